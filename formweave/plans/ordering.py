@@ -34,13 +34,12 @@ def forward_fill(df: DataFrame, value: str, group: list[str], order: str,
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("_ff_local", F.last(value, ignorenulls=True).over(local_w))
 
-    # One row per (group, bucket): the last marker inside the bucket, then
-    # the carry-in from earlier buckets of the same group.
-    summary = rows.groupBy(*group, b).agg(
-        F.max(F.when(F.col(value).isNotNull(), F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-        .alias("_ff_m"))
+    # One row per (group, bucket): the local fill of the bucket's last row is
+    # the bucket's last marker.  Taken from the windowed rows, the aggregate
+    # reuses their partitioning and sort order (no extra scan or sort).
+    summary = rows.groupBy(*group, b).agg(F.max_by("_ff_local", F.col(order)).alias("_ff_last"))
     carry_w = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.select(*group, b, F.last(F.col("_ff_m.v"), ignorenulls=True).over(carry_w).alias("_ff_carry"))
+    summary = summary.select(*group, b, F.last("_ff_last", ignorenulls=True).over(carry_w).alias("_ff_carry"))
 
     joined = rows.join(summary, on=[*group, b], how="left")
     group_known = F.lit(True)
