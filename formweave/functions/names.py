@@ -21,7 +21,7 @@ def base_name(c: Column) -> Column:
 
 def checkbox_code(c: Column) -> Column:
     """Option code of a ``base___code`` name, ``_`` read as ``-``."""
-    return F.regexp_replace(F.element_at(F.split(c, CHECKBOX_SEP), 2), "_", "-")
+    return F.regexp_replace(F.get(F.split(c, CHECKBOX_SEP), 1), "_", "-")
 
 
 def py_base_name(name: str) -> str:

@@ -1,0 +1,171 @@
+"""Scalar functions (S-ops) on literal inputs."""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from formweave.functions import choices as ch
+from formweave.functions.casts import cast_date, code_text
+from formweave.functions.logic import logic_values, logic_variables
+from formweave.functions.names import base_name, checkbox_code, py_base_name, py_checkbox_code
+from formweave.functions.nulls import is_in, nan_to_str, not_in
+from formweave.functions.paths import directory, file_name, stem, subject_from_second_token
+from formweave.functions.subject_id import parse_subject_id
+from formweave.operators.validate import is_number_ndp, parse_vtype
+
+
+def one(spark, col, value, schema="v string"):
+    return spark.createDataFrame([(value,)], schema).select(col.alias("r")).first()["r"]
+
+
+def test_checkbox_names(spark):
+    df = spark.createDataFrame([("race___1",), ("race____1",), ("gender",)], "n string")
+    got = [(r[0], r[1]) for r in df.select(base_name(F.col("n")), checkbox_code(F.col("n"))).collect()]
+    assert got == [("race", "1"), ("race", "-1"), ("gender", None)]
+    assert py_base_name("race____1") == "race" and py_checkbox_code("race____1") == "-1"
+    assert py_checkbox_code("gender") is None
+
+
+def parsed_items(spark, text):
+    df = spark.createDataFrame([(text,)], "choices string")
+    p = ch.parse_items(F.col("choices"))
+    keep = df.select(F.inline(ch.last_valid_items(p))).select("code", "label").collect()
+    bad = df.select(F.inline(ch.malformed_items(p))).select("item").collect()
+    return [(r.code, r.label) for r in keep], [r.item for r in bad]
+
+
+def test_choice_comma_in_label(spark):
+    got, bad = parsed_items(spark, "1, White | 2, Black, or AA")
+    assert got == [("1", "White"), ("2", "Black, or AA")] and bad == []
+
+
+def test_choice_duplicate_last_wins(spark):
+    got, _ = parsed_items(spark, "0, No | 1, Yes | 0, Nope")
+    assert sorted(got) == [("0", "Nope"), ("1", "Yes")]
+
+
+def test_choice_malformed_reported_not_cut(spark):
+    got, bad = parsed_items(spark, "a, X | 1, | 2, Two | |")
+    assert got == [("2", "Two")]
+    assert [b.strip() for b in bad] == ["a, X", "1,"]
+
+
+def test_choice_label_trimmed_negative_code(spark):
+    got, _ = parsed_items(spark, "  -1 ,  Unknown   |3,Three")
+    assert got == [("-1", "Unknown"), ("3", "Three")]
+
+
+def test_yesno_default(spark):
+    df = spark.createDataFrame([("yesno", None), ("yesno", "nan"), ("yesno", "0, N | 1, Y"), ("radio", None)],
+                               "t string, c string")
+    got = [r[0] for r in df.select(ch.default_yesno(F.col("t"), F.col("c"))).collect()]
+    assert got == ["0, No | 1, Yes", "0, No | 1, Yes", "0, N | 1, Y", None]
+
+
+def test_strict_items(spark):
+    df = spark.createDataFrame([("1, A | 2, B",), ("1, A, x | 2, B",)], "c string")
+    got = df.select(F.forall(ch.parse_items_strict(F.col("c")), lambda p: p["valid"])).collect()
+    assert [r[0] for r in got] == [True, False]
+
+
+def test_code_text_truncates(spark):
+    df = spark.createDataFrame([(2.0,), (1.7,), (None,), (-1.0,)], "v double")
+    assert [r[0] for r in df.select(code_text(F.col("v"))).collect()] == ["2", "1", None, "-1"]
+
+
+def test_cast_date(spark):
+    df = spark.createDataFrame([("2016-02-29",), ("2016-02-30",), ("unknown",), ("3/4/2016",), (None,),
+                                ("2016-2-3",), ("2016-02-03 10:11",)], "v string")
+    got = [r[0] for r in df.select(cast_date(F.col("v"))).collect()]
+    assert got[0].isoformat() == "2016-02-29T00:00:00"
+    assert got[1] is None and got[2] is None and got[4] is None
+    assert got[3].isoformat() == "2016-03-04T00:00:00"
+    assert got[5].isoformat() == "2016-02-03T00:00:00"
+    assert got[6].isoformat() == "2016-02-03T10:11:00"
+
+
+def test_subject_id_cases(spark):
+    ids = ["1001", "1001.0", "1001.2", "1001.7", "1001.1", "1.2.3", "1001.9", None]
+    df = spark.createDataFrame([(i,) for i in ids], "v string")
+    p = parse_subject_id(F.col("v"))
+    got = [tuple(r) for r in df.select(p["proband_id"], p["relation_code"], p["relation"], p["valid"]).collect()]
+    assert got == [
+        ("1001", None, "proband", True),
+        ("1001", "0", "proband", True),
+        ("1001", "2", "mother", True),
+        ("1001", "7", "sibling", True),
+        ("1001", "1", None, False),
+        (None, None, None, False),
+        ("1001", "9", None, True),
+        (None, None, None, None),
+    ]
+
+
+def test_subject_id_dash(spark):
+    p = parse_subject_id(F.col("v"), delim="-")
+    assert one(spark, p["relation"], "77-3") == "father"
+
+
+def test_paths(spark):
+    df = spark.createDataFrame([("file:/a/b/s1.vcf.gz",), ("/x/.bashrc",), ("/x/a.",), ("/x/..b",)], "p string")
+    got = [tuple(r) for r in df.select(file_name(F.col("p")), directory(F.col("p")),
+                                        stem(file_name(F.col("p")))).collect()]
+    assert got == [("s1.vcf.gz", "file:/a/b", "s1.vcf"), (".bashrc", "/x", ".bashrc"),
+                   ("a.", "/x", "a."), ("..b", "/x", ".")]
+
+
+def test_batch_subject_rule(spark):
+    names = ["B1_123FPM_x.vcf", "B1_123MP_x", "B1_1FDMP_x", "B1_12F3P_x", "B1_99_x"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r[0] for r in df.select(subject_from_second_token(F.col("n"))).collect()]
+
+    def ref(f):  # the documented rule, step by step
+        return f.split("_")[1].rstrip("P").rstrip("M").rstrip("D").rstrip("F")
+    assert got == [ref(n) for n in names]
+
+
+def test_logic_variables_and_values(spark):
+    logic = "[race(2)] = '1' and ([baseline] [ibd] >= 5 or [gender]<>\"\")"
+    df = spark.createDataFrame([(logic,)], "l string")
+    r = df.select(logic_variables(F.col("l")), logic_values(F.col("l"))).first()
+    assert r[0] == ["race(2)", "baseline:ibd", "gender"]
+    assert r[1] == ["1", "5", ""]
+
+
+def test_decimals_check(spark):
+    vals = ["12.3456", "12", None, "12.345", "1.2.3", "a.1234", "-3.0000"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = [r[0] for r in df.select(is_number_ndp(F.col("v"), 4)).collect()]
+    assert got == [True, True, True, False, False, False, True]
+
+
+def test_parse_vtype(spark):
+    df = spark.createDataFrame([("number_1dp",), ("integer",), ("number_2dp_comma_decimal",)], "v string")
+    got = [(r[0]["kind"], r[0]["decimals"]) for r in df.select(parse_vtype(F.col("v"))).collect()]
+    assert got == [("number", 1), ("integer", None), ("number", 2)]
+
+
+def test_membership_two_valued(spark):
+    df = spark.createDataFrame([("a",), (None,), ("c",)], "v string")
+    got = [tuple(r) for r in df.select(is_in(F.col("v"), ["a"]), not_in(F.col("v"), ["a"])).collect()]
+    assert got == [(True, False), (False, True), (False, True)]
+
+
+def test_nan_to_str(spark):
+    df = spark.createDataFrame([(float("nan"),), (None,), (1.5,)], "v double")
+    got = [r[0] for r in df.select(nan_to_str(F.col("v"), numeric=True)).collect()]
+    assert got == ["", "", "1.5"]
+
+
+def test_md5_matches_hashlib(spark, tmp_dir):
+    from formweave.operators.assets import content_md5
+    data = b"formweave" * 1000
+    with open(f"{tmp_dir}/a.bin", "wb") as f:
+        f.write(data)
+    want = hashlib.md5(data).hexdigest()
+    inline = content_md5(spark, f"{tmp_dir}/*.bin").collect()
+    streamed = content_md5(spark, f"{tmp_dir}/*.bin", inline_max_bytes=0).collect()
+    assert [r.md5 for r in inline] == [want] and [r.md5 for r in streamed] == [want]
+    assert streamed[0].bytes == len(data)
