@@ -16,6 +16,13 @@ from pyspark.sql import types as T
 NUMERIC_VTYPES = ("integer", "number", "number_1dp", "yesno")
 DATE_VTYPES = ("date_mdy", "date_dmy")
 DATE_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m", "yyyy-M-d H:m:s", "M/d/yyyy", "M/d/yyyy H:m")
+# The text shape each layout accepts, so a value is parsed by one layout
+# only (a failed parse costs an exception inside the JVM).
+DATE_SHAPES = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
+               r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}$",
+               r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$",
+               r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
+               r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{1,2}$")
 
 # Validation type -> Spark type.
 TYPE_CONVERSIONS: dict[str, T.DataType] = {
@@ -26,7 +33,11 @@ TYPE_CONVERSIONS: dict[str, T.DataType] = {
 
 def cast_date(c: Column) -> Column:
     """Text to timestamp; unparsable text (``2016-02-30``) becomes null."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(fmt)) for fmt in DATE_FORMATS])
+    out = None
+    for fmt, shape in zip(DATE_FORMATS, DATE_SHAPES):
+        parsed = F.try_to_timestamp(c, F.lit(fmt))
+        out = F.when(c.rlike(shape), parsed) if out is None else out.when(c.rlike(shape), parsed)
+    return out
 
 
 def strict_double(c: Column) -> Column:
