@@ -138,7 +138,7 @@ def _customer_tables(spark, sf_dir):
 def q_schema_table(spark, sf_dir):
     """T7 (tall) over the tables built from the customer export."""
     tables, compiled = _customer_tables(spark, sf_dir)
-    return schema_table(tables, compiled, {"demo_race": {"race"}})
+    return schema_table(tables, compiled, {"demo_race": {"race"}}, extra_categorical=("redcap_event_name",))
 
 
 def q_registered_sql(spark, sf_dir):
