@@ -84,13 +84,21 @@ def asset_table(spark: SparkSession, conf: Mapping,
     return out
 
 
+def _arrow_uri(path: str) -> str:
+    """Hadoop-style URI to one pyarrow understands (``s3a://`` -> ``s3://``)."""
+    for scheme in ("s3a://", "s3n://"):
+        if path.startswith(scheme):
+            return "s3://" + path[len(scheme):]
+    return path
+
+
 def _stream_md5(batches):
     import pandas as pd
     import pyarrow.fs as pafs
     for pdf in batches:
         digests = []
         for p in pdf["path"]:
-            fs, inner = pafs.FileSystem.from_uri(p)
+            fs, inner = pafs.FileSystem.from_uri(_arrow_uri(p))
             h = hashlib.md5()
             with fs.open_input_stream(inner) as f:
                 while True:
@@ -106,24 +114,26 @@ def content_md5(spark: SparkSession, globs: str | Iterable[str],
                 inline_max_bytes: int = INLINE_DIGEST_MAX_BYTES) -> DataFrame:
     """T5: ``(path, bytes, md5)`` of every matching file.
 
-    Files up to ``inline_max_bytes`` are digested by ``md5(content)`` (the
-    length filter is applied before any content is read); larger ones are
-    streamed in 1 MiB chunks, one file per row, spread over tasks.
+    One listing per glob feeds both branches.  Files up to
+    ``inline_max_bytes`` are digested by ``md5(content)`` (the length filter
+    is applied before any content is read); larger ones are streamed in
+    1 MiB chunks, one file per row, spread over tasks.
     """
     globs = [globs] if isinstance(globs, str) else list(globs)
-    listing = list_files(spark, globs)
-    small_parts = []
+    out = None
     for g in globs:
         try:
-            small_parts.append(spark.read.format("binaryFile").load(g)
-                               .filter(F.col("length") <= inline_max_bytes)
-                               .select("path", F.col("length").alias("bytes"), F.md5("content").alias("md5")))
+            files = spark.read.format("binaryFile").load(g)
         except AnalysisException:
             continue
-    large = listing.filter(F.col("length") > inline_max_bytes)
-    out = (large.select("path", F.col("length").cast("bigint").alias("bytes"))
-           .repartition(F.col("path"))
-           .mapInPandas(_stream_md5, "path string, bytes bigint, md5 string"))
-    for p in small_parts:
-        out = p.unionByName(out)
+        small = (files.filter(F.col("length") <= inline_max_bytes)
+                 .select("path", F.col("length").alias("bytes"), F.md5("content").alias("md5")))
+        large = (files.filter(F.col("length") > inline_max_bytes)
+                 .select("path", F.col("length").cast("bigint").alias("bytes"))
+                 .repartition(F.col("path"))
+                 .mapInPandas(_stream_md5, "path string, bytes bigint, md5 string"))
+        part = small.unionByName(large)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return spark.createDataFrame([], "path string, bytes bigint, md5 string")
     return out
