@@ -74,6 +74,27 @@ def type_counts(dd: DataFrame) -> DataFrame:
             .orderBy(F.col("n_fields").desc(), F.col("ftype")))
 
 
+def field_subset(dd: DataFrame, names: DataFrame | Iterable[str] | None = None,
+                 start: int | None = None, end: int | None = None) -> dict[str, DataFrame]:
+    """P13-P15 + AG1 bundle: the dictionary rows behind export column names
+    (or a position span), their type counts, all fields, checkbox fields
+    and the other fields, each as a lazy frame."""
+    if names is not None:
+        sub = fields_by_names(dd, names)
+    elif start is not None:
+        sub = fields_by_span(dd, start, end).drop("pos")
+    else:
+        sub = dd
+    flags = fields_by_type(sub)
+    return {
+        "dd": sub,
+        "type_counts": type_counts(sub),
+        "fields": sub.select("ord", "field"),
+        "checkboxes": flags.filter("is_checkbox").select("ord", "field"),
+        "not_checkboxes": flags.filter("not is_checkbox").select("ord", "field"),
+    }
+
+
 # --- N6 / S17 / S18: choice tables ----------------------------------------
 
 def choice_table(dd: DataFrame) -> DataFrame:
@@ -154,6 +175,6 @@ def field_map(dd: DataFrame) -> DataFrame:
 
 __all__ = [
     "choice_fields", "required_fields", "date_fields", "fields_by_names", "field_position",
-    "fields_by_span", "fields_by_type", "type_counts", "choice_table", "malformed_choices",
+    "fields_by_span", "fields_by_type", "field_subset", "type_counts", "choice_table", "malformed_choices",
     "choice_table_strict", "validation_table", "field_map", "NUMERIC_VTYPES", "DATE_VTYPES",
 ]

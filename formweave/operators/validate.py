@@ -7,7 +7,7 @@ partition, a single row at the end) unpivoted to ``(field, rule, n_bad)``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,6 +136,24 @@ def column_rules(df: DataFrame, compiled: CompiledDictionary) -> list[tuple[str,
     return cells
 
 
+# registry of extra per-column checks, column -> {rule name: bad-row
+# predicate builder}.  ``check_columns`` adds every registered rule of a
+# column present in the frame.
+COLUMN_CHECKS: dict[str, dict[str, Callable[[Column], Column]]] = {}
+
+
+def register_check(column: str, rule: str, bad: Callable[[Column], Column],
+                   registry: dict | None = None) -> None:
+    """Register ``bad(col)`` (true on a failing row) as rule ``rule`` of ``column``."""
+    reg = COLUMN_CHECKS if registry is None else registry
+    reg.setdefault(column, {})[rule] = bad
+
+
+def decimals_check(decimals: int) -> Callable[[Column], Column]:
+    """A registrable check: the value must have ``decimals`` decimal places when it has any."""
+    return lambda c: ~is_number_ndp(c, decimals)
+
+
 def _num(text: str | None):
     try:
         return float(text) if text is not None else None
@@ -143,9 +161,20 @@ def _num(text: str | None):
         return None
 
 
-def check_columns(df: DataFrame, compiled: CompiledDictionary) -> DataFrame:
-    """V6: ``(field, rule, n_bad)`` for every applicable rule of every column."""
-    return _tall(df, column_rules(df, compiled))
+def check_columns(df: DataFrame, compiled: CompiledDictionary,
+                  extra_checks: Mapping[str, Mapping[str, Callable[[Column], Column]]] | None = None) -> DataFrame:
+    """V6: ``(field, rule, n_bad)`` for every applicable rule of every column.
+
+    ``extra_checks`` (default: the :data:`COLUMN_CHECKS` registry) adds
+    user rules; all rules are counted in the same single aggregate.
+    """
+    cells = column_rules(df, compiled)
+    checks = COLUMN_CHECKS if extra_checks is None else extra_checks
+    for c, rules in checks.items():
+        if c in df.columns:
+            for rule, bad in rules.items():
+                cells.append((c, rule, F.coalesce(bad(F.col(c)), F.lit(False))))
+    return _tall(df, cells)
 
 
 def all_true(df: DataFrame, check: Column) -> Column:

@@ -17,7 +17,8 @@ def spark():
     from formweave.session import get_spark
     ckpt = tempfile.mkdtemp(prefix="formweave-test-ckpt-")
     s = get_spark("local[*]", app="formweave-tests", shuffle_partitions=8,
-                  extra={"spark.checkpoint.dir": ckpt})
+                  extra={"spark.checkpoint.dir": ckpt,
+                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="formweave-test-wh-")})
     yield s
     s.stop()
 

@@ -172,3 +172,11 @@ def test_profile_round_trip(spark, tmp_dir):
     races = sorted(tuple(r) for r in spark.table(res.views["subject_race"]).collect())
     assert races == [("10.2", "A"), ("10.2", "B"), ("11", "B")]
     assert "_schema" in res.paths
+
+
+def test_save_as_tables(spark, setup):
+    from formweave.sources.sinks import save_as_tables
+    dump, compiled = setup
+    tables = build_table(dump, TableSpec("demo", ("gender",)), KEYS, compiled)
+    names = save_as_tables(tables, prefix="fw_test_", mode="overwrite", sort_keys=KEYS)
+    assert spark.table(names["demo"]).count() == tables["demo"].count()

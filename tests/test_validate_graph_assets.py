@@ -99,3 +99,25 @@ def test_asset_table(spark, tmp_dir):
     hashes = [r.path_hash for r in asset_table(spark, conf).collect()]
     assert len(set(hashes)) == 3
     assert list_files(spark, f"{tmp_dir}/vcf/*.vcf.gz").schema.names == ["path", "length", "modificationTime"]
+
+
+def test_registered_checks(spark):
+    from formweave.operators.validate import decimals_check
+    from formweave.plans.profiles import BIOREPOSITORY_CHECKS
+    df, compiled = validation_setup(spark)
+    df = df.withColumn("samplenumber", F.lit("12.3456"))
+    extra = dict(BIOREPOSITORY_CHECKS)
+    extra["n"] = {"two_dp": decimals_check(2)}
+    got = {(r.field, r.rule): r.n_bad for r in check_columns(df, compiled, extra_checks=extra).collect()}
+    assert got[("samplenumber", "decimals")] == 0
+    assert got[("n", "two_dp")] == 2
+
+
+def test_field_subset(spark):
+    from formweave.operators.metadata import field_subset
+    dd = dictionary(spark, [row(i, f"f{i}", "checkbox" if i % 2 else "text") for i in range(6)])
+    b = field_subset(dd, names=["f1___1", "f2", "f3___2"])
+    assert sorted(r.field for r in b["checkboxes"].collect()) == ["f1", "f3"]
+    assert sorted(r.field for r in b["not_checkboxes"].collect()) == ["f2"]
+    assert {(r.ftype, r.n_fields) for r in b["type_counts"].collect()} == {("checkbox", 2), ("text", 1)}
+    assert field_subset(dd, start=1, end=3)["fields"].count() == 2
