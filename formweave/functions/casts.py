@@ -15,14 +15,10 @@ from pyspark.sql import types as T
 # a timestamp (the reference's conversion map), and the date layouts read.
 NUMERIC_VTYPES = ("integer", "number", "number_1dp", "yesno")
 DATE_VTYPES = ("date_mdy", "date_dmy")
-DATE_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m", "yyyy-M-d H:m:s", "M/d/yyyy", "M/d/yyyy H:m")
-# The text shape each layout accepts, so a value is parsed by one layout
-# only (a failed parse costs an exception inside the JVM).
-DATE_SHAPES = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
-               r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}$",
-               r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$",
-               r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
-               r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{1,2}$")
+# The date layouts read: year-month-day with an optional hour:minute[:second],
+# and month/day/year with an optional hour:minute (1 or 2 digit fields).
+ISO_DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( [0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2})?)?$"
+US_DATE_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}( [0-9]{1,2}:[0-9]{1,2})?$"
 
 # Validation type -> Spark type.
 TYPE_CONVERSIONS: dict[str, T.DataType] = {
@@ -32,12 +28,15 @@ TYPE_CONVERSIONS: dict[str, T.DataType] = {
 
 
 def cast_date(c: Column) -> Column:
-    """Text to timestamp; unparsable text (``2016-02-30``) becomes null."""
-    out = None
-    for fmt, shape in zip(DATE_FORMATS, DATE_SHAPES):
-        parsed = F.try_to_timestamp(c, F.lit(fmt))
-        out = F.when(c.rlike(shape), parsed) if out is None else out.when(c.rlike(shape), parsed)
-    return out
+    """Text to timestamp; unparsable text (``2016-02-30``) becomes null.
+
+    The text shape picks the layout, then Spark's own string-to-timestamp
+    cast (no formatter, no exception per failed layout) reads it; an
+    impossible date or time gives null.
+    """
+    us_as_iso = F.regexp_replace(c, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2")
+    return (F.when(c.rlike(ISO_DATE_SHAPE), c.try_cast("timestamp"))
+            .when(c.rlike(US_DATE_SHAPE), us_as_iso.try_cast("timestamp")))
 
 
 def strict_double(c: Column) -> Column:
