@@ -180,3 +180,39 @@ def test_save_as_tables(spark, setup):
     tables = build_table(dump, TableSpec("demo", ("gender",)), KEYS, compiled)
     names = save_as_tables(tables, prefix="fw_test_", mode="overwrite", sort_keys=KEYS)
     assert spark.table(names["demo"]).count() == tables["demo"].count()
+
+
+def test_recode_join_path_matches_inline(spark, setup, monkeypatch):
+    from formweave.operators import metadata, recode
+    dump, compiled = setup
+    dd = dictionary(spark, DD_ROWS)
+    inline = sorted(tuple(r) for r in recode_columns(dump, ["gender", "site"], compiled).collect())
+    monkeypatch.setattr(recode, "INLINE_MAP_LIMIT", 1)   # every field now too big to inline
+    with pytest.raises(ValueError):
+        recode_columns(dump, ["gender"], compiled)
+    joined = recode_columns(dump, ["gender", "site"], compiled, choice_df=metadata.choice_table(dd))
+    assert sorted(tuple(r) for r in joined.collect()) == inline
+
+
+def test_compile_cap(spark):
+    from formweave.plans.compiled import MetadataTooLargeError
+    dd = dictionary(spark, [row(i, f"f{i}", "radio", choices="0, a | 1, b") for i in range(5)])
+    with pytest.raises(MetadataTooLargeError):
+        CompiledDictionary.compile(dd, max_fields=3)
+    with pytest.raises(MetadataTooLargeError):
+        CompiledDictionary.compile(dd, max_choices=4)
+    assert len(CompiledDictionary.compile(dd, ["f1", "f2___x"]).fields) == 2
+
+
+def test_build_tables_big_fields_by_join(spark, setup, monkeypatch):
+    from formweave.operators import metadata, recode
+    from formweave.plans.tables import build_tables
+    dump, compiled = setup
+    spec = TableSpec("demo", ("gender", "site", "age"), {"race": "race_oth"})
+    want = {k: sorted(map(tuple, v.collect())) for k, v in build_tables(dump, [spec], KEYS, compiled).items()}
+    monkeypatch.setattr(recode, "INLINE_MAP_LIMIT", 1)
+    got = build_tables(dump, [spec], KEYS, compiled, choice_df=metadata.choice_table(dictionary(spark, DD_ROWS)))
+    assert {k: sorted(map(tuple, v.collect())) for k, v in got.items()} == want
+    lazy = build_tables(dump, [spec], KEYS, compiled, eager_guards=False,
+                        choice_df=metadata.choice_table(dictionary(spark, DD_ROWS)))
+    assert {k: sorted(map(tuple, v.collect())) for k, v in lazy.items()} == want
