@@ -41,8 +41,15 @@ def lower_edges(dd: DataFrame) -> DataFrame:
 
 
 def build_graph(dd: DataFrame) -> DataFrame:
-    """All unique edges."""
-    return top_level_edges(dd).unionByName(lower_edges(dd)).distinct()
+    """All unique edges (G2 and G5 from one scan of the dictionary)."""
+    logic, field = F.col("logic"), F.col("field")
+
+    def edge(src):
+        return F.struct(src.alias("src"), field.alias("dst"), F.lit("").alias("label"))
+
+    edges = (F.when(has_logic(logic), F.transform(logic_variables(logic), edge))
+             .otherwise(F.array(edge(F.lit(START)))))
+    return dd.select(F.inline(edges)).distinct()
 
 
 def logic_value_table(dd: DataFrame) -> DataFrame:

@@ -167,9 +167,10 @@ def field_map(dd: DataFrame) -> DataFrame:
     dictionary order.  Null keys are left out.  One aggregate with
     map-side combine, so a label shared by many fields does not pile up.
     """
-    fwd = dd.select(F.col("field").alias("key"), F.col("label").alias("value"), F.lit(0).alias("dir"), "ord")
-    rev = dd.select(F.col("label").alias("key"), F.col("field").alias("value"), F.lit(1).alias("dir"), "ord")
-    both = fwd.unionByName(rev).filter(F.col("key").isNotNull())
+    entries = F.array(
+        F.struct(F.col("field").alias("key"), F.col("label").alias("value"), F.lit(0).alias("dir"), F.col("ord")),
+        F.struct(F.col("label").alias("key"), F.col("field").alias("value"), F.lit(1).alias("dir"), F.col("ord")))
+    both = dd.select(F.inline(entries)).filter(F.col("key").isNotNull())  # one scan, two entries per row
     return both.groupBy("key").agg(F.max_by("value", F.struct("dir", "ord")).alias("value"))
 
 

@@ -51,11 +51,18 @@ class CompiledDictionary:
         if columns is not None:
             bases = sorted({py_base_name(c) for c in columns})
             sub = dd.filter(F.col("field").isin(*bases)) if bases else dd.limit(0)
-        rows = (sub.select("field", "ord", "ftype", "vtype", "vmin", "vmax", "required")
-                .limit(max_fields + 1).collect())
+        # One job: field rows and choice rows as one union, capped.
+        str_null = F.lit(None).cast("string")
+        fields = sub.select(F.lit("f").alias("kind"), "field", "ord", "ftype", "vtype", "vmin", "vmax",
+                            "required", str_null.alias("code"), str_null.alias("label"))
+        choices = choice_table(sub).select(
+            F.lit("c").alias("kind"), "field", F.lit(None).cast("bigint").alias("ord"),
+            *[str_null.alias(c) for c in ("ftype", "vtype", "vmin", "vmax", "required")], "code", "label")
+        got = fields.unionByName(choices).limit(max_fields + max_choices + 2).collect()
+        rows = [r for r in got if r["kind"] == "f"]
+        ch_rows = [r for r in got if r["kind"] == "c"]
         if len(rows) > max_fields:
             raise MetadataTooLargeError(f"more than {max_fields} fields to compile")
-        ch_rows = choice_table(sub).limit(max_choices + 1).collect()
         if len(ch_rows) > max_choices:
             raise MetadataTooLargeError(f"more than {max_choices} choice entries to compile")
         out = cls()
