@@ -336,6 +336,7 @@ from demo d left join race r on cast(r.subid as varchar) = d.subid and r.redcap_
 
 ORACLES: dict[str, str] = {
     "checkbox_table": CHECKBOX_TABLE,
+    "stream_checkbox_table": CHECKBOX_TABLE,
     "recode": RECODE,
     "choices": CHOICES,
     "choices_strict": CHOICES_STRICT,

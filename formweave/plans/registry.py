@@ -147,6 +147,26 @@ def q_registered_sql(spark, sf_dir):
     return customer_round_trip(spark, sf_dir)
 
 
+def q_stream_checkbox_table(spark, sf_dir):
+    """N2 on Structured Streaming: the customer table read as a file stream,
+    unfolded with streaming de-duplication, run to completion (available-now
+    trigger) into the shared work folder, and read back."""
+    from formweave.session import work_dir
+    from formweave.streaming.unfold import unfold_stream
+    _, compiled = _customer(spark, sf_dir)
+    schema = spark.read.parquet(f"{sf_dir}/customer.parquet").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/customer*.parquet")
+    stream.createOrReplaceTempView("customer_stream")
+    dump = normalize_nulls(spark.sql(fx.CUSTOMER_DUMP_SQL.replace("from customer", "from customer_stream")))
+    out = unfold_stream(dump, fx.CUSTOMER_KEYS, "race", compiled.choices["race"], other_col="race_oth")
+    folder = work_dir(spark, "stream")
+    q = (out.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", f"{folder}/checkpoint")
+         .trigger(availableNow=True).start(f"{folder}/out"))
+    q.awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 # --- queries over the orders export ---------------------------------------
 
 def q_parent_table(spark, sf_dir):
@@ -327,6 +347,7 @@ def q_fields_by_names(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "checkbox_table": q_checkbox_table,
+    "stream_checkbox_table": q_stream_checkbox_table,
     "recode": q_recode,
     "choices": q_choices,
     "choices_strict": q_choices_strict,
