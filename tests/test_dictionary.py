@@ -6,7 +6,6 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import dictionary, row
 from formweave.operators import metadata as md
@@ -137,4 +136,3 @@ def test_fields_by_names_and_span(spark):
     assert md.fields_by_span(dd, 4).count() == 2
     assert sorted(r.field for r in md.required_fields(dd).collect()) == []
     assert md.date_fields(dd).count() == 0
-    assert F is not None
