@@ -23,7 +23,7 @@ US_DATE_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}( [0-9]{1,2}:[0-9]{1,2})?$"
 # Validation type -> Spark type.
 TYPE_CONVERSIONS: dict[str, T.DataType] = {
     **{v: T.DoubleType() for v in NUMERIC_VTYPES},
-    **{v: T.TimestampType() for v in DATE_VTYPES},
+    **{v: T.TimestampNTZType() for v in DATE_VTYPES},
 }
 
 
@@ -32,11 +32,12 @@ def cast_date(c: Column) -> Column:
 
     The text shape picks the layout, then Spark's own string-to-timestamp
     cast (no formatter, no exception per failed layout) reads it; an
-    impossible date or time gives null.
+    impossible date or time gives null.  Form dates carry no time zone, so
+    the result is ``timestamp_ntz`` (independent of the session zone).
     """
     us_as_iso = F.regexp_replace(c, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2")
-    return (F.when(c.rlike(ISO_DATE_SHAPE), c.try_cast("timestamp"))
-            .when(c.rlike(US_DATE_SHAPE), us_as_iso.try_cast("timestamp")))
+    return (F.when(c.rlike(ISO_DATE_SHAPE), c.try_cast("timestamp_ntz"))
+            .when(c.rlike(US_DATE_SHAPE), us_as_iso.try_cast("timestamp_ntz")))
 
 
 def strict_double(c: Column) -> Column:
@@ -65,7 +66,7 @@ def cast_by_vtype(c: Column, vtype: str | None, current: T.DataType | None = Non
         return None
     if current is not None and current == target:
         return c
-    if isinstance(target, T.TimestampType):
+    if isinstance(target, T.TimestampNTZType):
         return cast_date(c) if isinstance(current, (T.StringType, type(None))) else c.cast(target)
     return strict_double(c) if strict else lenient_double(c)
 

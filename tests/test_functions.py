@@ -169,3 +169,13 @@ def test_md5_matches_hashlib(spark, tmp_dir):
     streamed = content_md5(spark, f"{tmp_dir}/*.bin", inline_max_bytes=0).collect()
     assert [r.md5 for r in inline] == [want] and [r.md5 for r in streamed] == [want]
     assert streamed[0].bytes == len(data)
+
+
+def test_cast_date_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = one(spark, cast_date(F.col("v")), "2016-01-02 10:30")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got.isoformat() == "2016-01-02T10:30:00"
