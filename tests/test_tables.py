@@ -216,3 +216,9 @@ def test_build_tables_big_fields_by_join(spark, setup, monkeypatch):
     lazy = build_tables(dump, [spec], KEYS, compiled, eager_guards=False,
                         choice_df=metadata.choice_table(dictionary(spark, DD_ROWS)))
     assert {k: sorted(map(tuple, v.collect())) for k, v in lazy.items()} == want
+
+
+def test_select_by_base(spark):
+    from formweave.operators.checkbox import select_by_base
+    df = spark.createDataFrame([(1, 1.0, 0.0, 2.0, "x")], "k int, race double, race___1 double, racex double, o string")
+    assert select_by_base(df, "race", ["k"]).columns == ["k", "race", "race___1"]
