@@ -40,7 +40,10 @@ def get_spark(master: str | None = None, app: str = "formweave",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -51,15 +54,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir`` (a folder every executor
     can reach).  Only when it is unset, as in local tests, we create one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the conf is visible
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="formweave-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # noqa: BLE001 - static conf on some sessions
+            pass
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def work_dir(spark: SparkSession, name: str = "work") -> str:
