@@ -222,3 +222,22 @@ def test_select_by_base(spark):
     from formweave.operators.checkbox import select_by_base
     df = spark.createDataFrame([(1, 1.0, 0.0, 2.0, "x")], "k int, race double, race___1 double, racex double, o string")
     assert select_by_base(df, "race", ["k"]).columns == ["k", "race", "race___1"]
+
+
+def test_unique_keys_skip_dedupe_same_result(spark, setup):
+    from formweave.plans.tables import build_tables, keys_unique
+    dump, compiled = setup
+    spec = TableSpec("demo", ("gender", "site", "age"), {"race": "race_oth"}, drop_after=("ev",))
+    assert not keys_unique(dump, KEYS)                     # s3/e1 appears twice
+    uniq = dump.dropDuplicates(KEYS)
+    assert keys_unique(uniq, KEYS)
+    plain = build_tables(uniq, [spec], KEYS, compiled)
+    fast = build_tables(uniq, [spec], KEYS, compiled, check_unique_keys=True)
+    for name in plain:
+        assert sorted(map(tuple, fast[name].collect())) == sorted(map(tuple, plain[name].collect()))
+    def n_aggregates(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+    assert n_aggregates(fast["demo"]) == n_aggregates(uniq)      # no de-duplication added
+    # with repeated keys the check keeps the de-duplication
+    dup = build_tables(dump, [spec], KEYS, compiled, check_unique_keys=True)
+    assert sorted(map(tuple, dup["demo"].collect())) == sorted(map(tuple, build_tables(dump, [spec], KEYS, compiled)["demo"].collect()))
