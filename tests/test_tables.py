@@ -241,3 +241,21 @@ def test_unique_keys_skip_dedupe_same_result(spark, setup):
     # with repeated keys the check keeps the de-duplication
     dup = build_tables(dump, [spec], KEYS, compiled, check_unique_keys=True)
     assert sorted(map(tuple, dup["demo"].collect())) == sorted(map(tuple, build_tables(dump, [spec], KEYS, compiled)["demo"].collect()))
+
+
+def test_checkbox_rows_unique_matches_distinct(spark, setup):
+    dump, compiled = setup
+    uniq = dump.dropDuplicates(KEYS).withColumn("race_oth", F.when(F.col("subid") == "s1", "WHITE")
+                                                .otherwise(F.col("race_oth")))
+    labels = dict(compiled.choices["race"])
+    labels["2"] = "White"                       # two options with one label: an in-row duplicate
+    for other in ("race_oth", None):
+        a = checkbox_table(uniq, KEYS, "race", labels, other_col=other)
+        b = checkbox_table(uniq, KEYS, "race", labels, other_col=other, rows_unique=True)
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+        def n_aggregates(df):
+            return df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+        assert n_aggregates(b) == n_aggregates(uniq)         # no de-duplication (shuffle) added
+    unknown = checkbox_table(uniq, KEYS, "race", {"1": "White"}, rows_unique=True)
+    assert sorted(map(tuple, unknown.collect()), key=str) == sorted(
+        map(tuple, checkbox_table(uniq, KEYS, "race", {"1": "White"}).collect()), key=str)
