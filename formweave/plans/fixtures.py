@@ -114,6 +114,31 @@ select p_partkey as ord,
 from part
 """
 
+# Sample export derived from ``orders``: the sample id repeats (one subject,
+# several samples) and is missing on some rows; a coded sample type, a
+# sample number, a date as text, a checkbox and a status column.
+ORDERS_SAMPLES_SQL = """
+select case when o_orderkey % 23 = 0 then null
+            else cast(o_custkey as string) || '.' || cast(o_orderkey % 8 as string) end as biorepidnumber,
+       cast(case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end as double) as sampletype,
+       cast(o_orderkey % 1000 as string) || '.' || cast(o_orderkey % 7 as string) as samplenumber,
+       cast(cast(o_orderdate as date) as string) as sample_date,
+       cast(case when o_orderkey % 2 = 0 then 1 else 0 end as double) as blood_samples___1,
+       cast(case when o_orderkey % 3 = 0 then 1 else 0 end as double) as blood_samples___2,
+       '2' as ibd_biorepository_sample_database_complete
+from orders
+"""
+
+ORDERS_SAMPLES_DICT_SQL = """
+select * from (values
+ (0, 'biorepidnumber', 'text', 'sample', 'Sample', 'Sample id', null, null, null, null, null, 'y'),
+ (1, 'sampletype', 'radio', 'sample', null, 'Sample type', '1, Blood | 2, Stool | 3, Biopsy', null, null, null, null, null),
+ (2, 'samplenumber', 'text', 'sample', null, 'Sample number', null, null, null, null, null, null),
+ (3, 'sample_date', 'text', 'sample', null, 'Sample date', null, 'date_mdy', null, null, null, null),
+ (4, 'blood_samples', 'checkbox', 'sample', null, 'Blood', '1, Serum | 2, Plasma', null, null, null, null, null)
+) as t(ord, field, ftype, form, hdr, label, choices, vtype, vmin, vmax, logic, required)
+"""
+
 # Subject identifiers derived from ``customer``: plain, proband code,
 # relation codes 1 to 9 (1 invalid, 8 and 9 without label), three parts,
 # and a trailing delimiter.
@@ -147,4 +172,6 @@ def views_sql(name: str) -> str:
         "part_dict": PART_DICT_SQL,
         "customer_ids": CUSTOMER_IDS_SQL,
         "customer_files": CUSTOMER_FILES_SQL,
+        "orders_samples": ORDERS_SAMPLES_SQL,
+        "orders_samples_dict": ORDERS_SAMPLES_DICT_SQL,
     }[name]

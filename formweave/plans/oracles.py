@@ -334,6 +334,16 @@ REGISTERED_SQL = _with(*CUSTOMER, _DEMO_CODES, _demo_guard, f"""demo as (
 select d.subid, d.redcap_event_name, d.gender, d.site, d.age, r.race
 from demo d left join race r on cast(r.subid as varchar) = d.subid and r.redcap_event_name = d.redcap_event_name"""
 
+_smp_guard, _smp_sel, _smp_join = _recoded(["sampletype"], "codes")
+BIOREPOSITORY_ROUND_TRIP = _with(f"dump as ({fx.ORDERS_SAMPLES_SQL})", _dd(fx.ORDERS_SAMPLES_DICT_SQL), CHOICE,
+                                 f"""codes as (
+  select biorepidnumber, {_code('sampletype')} as sampletype, samplenumber,
+         {_date('sample_date')} as sample_date,
+         sampletype is null and samplenumber is null and sample_date is null as empty
+  from dump)""", _smp_guard) + f"""
+select distinct s.biorepidnumber, {_smp_sel}, s.samplenumber, s.sample_date
+from codes s {_smp_join} where s.biorepidnumber is not null and not s.empty"""
+
 ORACLES: dict[str, str] = {
     "checkbox_table": CHECKBOX_TABLE,
     "stream_checkbox_table": CHECKBOX_TABLE,
@@ -366,6 +376,7 @@ ORACLES: dict[str, str] = {
     "content_md5": CONTENT_MD5,
     "schema_table": SCHEMA_TABLE,
     "registered_sql": REGISTERED_SQL,
+    "biorepository_round_trip": BIOREPOSITORY_ROUND_TRIP,
 }
 
 # Queries checked on rows only (none at present).

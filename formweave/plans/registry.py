@@ -167,6 +167,12 @@ def q_stream_checkbox_table(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out")
 
 
+def q_biorepository_round_trip(spark, sf_dir):
+    """N10 profile run (repeated and missing keys) through files in the shared work folder."""
+    from formweave.plans.roundtrip import samples_round_trip
+    return samples_round_trip(spark, sf_dir)
+
+
 # --- queries over the orders export ---------------------------------------
 
 def q_parent_table(spark, sf_dir):
@@ -377,4 +383,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_md5": q_content_md5,
     "schema_table": q_schema_table,
     "registered_sql": q_registered_sql,
+    "biorepository_round_trip": q_biorepository_round_trip,
 }
