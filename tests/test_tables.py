@@ -259,3 +259,12 @@ def test_checkbox_rows_unique_matches_distinct(spark, setup):
     unknown = checkbox_table(uniq, KEYS, "race", {"1": "White"}, rows_unique=True)
     assert sorted(map(tuple, unknown.collect()), key=str) == sorted(
         map(tuple, checkbox_table(uniq, KEYS, "race", {"1": "White"}).collect()), key=str)
+
+
+def test_observed_guards_equal_computed(spark, setup, tmp_dir):
+    from formweave.operators.recode import guard_values, observe_guards, observed_guards
+    dump, compiled = setup
+    observed, obs, cols = observe_guards(dump, ["gender", "site", "age"], compiled)
+    observed.write.parquet(f"{tmp_dir}/staged")
+    got = observed_guards(obs, cols)
+    assert got == guard_values(dump, ["gender", "site", "age"], compiled) == {"gender": True, "site": False}
