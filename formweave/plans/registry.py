@@ -330,13 +330,17 @@ def q_field_flags(spark, sf_dir):
 
 def part_export_names(dd: DataFrame) -> DataFrame:
     """Export column names of the part dictionary: one per field, one per
-    checkbox option (``base___code``), one status column per form."""
-    plain = dd.filter(F.coalesce(F.col("ftype") != "checkbox", F.lit(True))).select(F.col("field").alias("name"))
-    boxes = (metadata.choice_table(dd.filter(F.col("ftype") == "checkbox"))
-             .select(F.concat(F.col("field"), F.lit("___"), F.regexp_replace("code", "-", "_")).alias("name")))
+    checkbox option (``base___code``) from the same scan, and one status
+    column per form."""
+    from formweave.functions import choices as ch
+    options = F.transform(ch.last_valid_items(ch.parse_items(F.col("choices"))),
+                          lambda p: F.concat(F.col("field"), F.lit("___"), F.regexp_replace(p["code"], "-", "_")))
+    is_checkbox = F.coalesce(F.col("ftype") == "checkbox", F.lit(False))
+    names = F.when(is_checkbox, F.coalesce(options, F.array().cast("array<string>"))).otherwise(F.array(F.col("field")))
+    fields = dd.select(F.explode(names).alias("name"))
     forms = (dd.select(F.concat(F.lower(F.regexp_replace("form", "#", "")), F.lit("_complete")).alias("name"))
              .filter(F.col("name").isNotNull()).distinct())
-    return plain.unionByName(boxes).unionByName(forms)
+    return fields.unionByName(forms)
 
 
 def q_column_types(spark, sf_dir):
