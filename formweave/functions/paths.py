@@ -38,6 +38,8 @@ def subject_from_second_token(name: Column) -> Column:
 
 
 # batch code -> subject parser over the file-name column.
+# Fixed value: the one batch code whose file names carry the subject id as
+# their second ``_`` token.
 SUBJECT_PARSERS: dict[str, Callable[[Column], Column]] = {
     "REGENERON1": subject_from_second_token,
 }
