@@ -73,6 +73,18 @@ def _tall(df: DataFrame, cells: list[tuple[str, str, Column]]) -> DataFrame:
     return row.select(stacked)
 
 
+def numeric_bounds(validation: DataFrame, columns: list[str], max_fields: int = 200_000) -> dict[str, tuple]:
+    """Typed numeric bounds (N7) of the given export columns, on the driver.
+
+    Bounded by the export's width and capped, like the metadata compile.
+    """
+    rows = (validation.filter(F.col("field").isin(*columns))
+            .select("field", "min_num", "max_num").limit(max_fields + 1).collect())
+    if len(rows) > max_fields:
+        raise RuntimeError(f"more than {max_fields} bounded fields")
+    return {r["field"]: (r["min_num"], r["max_num"]) for r in rows}
+
+
 def range_report(df: DataFrame, bounds: Mapping[str, tuple]) -> DataFrame:
     """V3 report: ``(field, n_values, n_out_of_range)`` for numeric bounds."""
     aggs, names = [], []

@@ -21,7 +21,8 @@ from formweave.operators.assets import asset_table, content_md5
 from formweave.operators.checkbox import checkbox_table
 from formweave.operators.recode import recode_columns
 from formweave.operators.typing import column_types, recast
-from formweave.operators.validate import check_columns, is_number_ndp, range_report, required_report
+from formweave.operators.validate import (check_columns, is_number_ndp, numeric_bounds, range_report,
+                                          required_report)
 from formweave.plans import fixtures as fx
 from formweave.plans.compiled import CompiledDictionary
 from formweave.plans.tables import TableSpec, build_parent, build_table, schema_table
@@ -211,9 +212,8 @@ def q_range_check(spark, sf_dir):
     """V3: values outside the dictionary bounds (null bound = open)."""
     _view(spark, sf_dir, "lineitem")
     dd = prepare_dictionary(spark.sql(LINEITEM_BOUNDS_SQL))
-    v = metadata.validation_table(dd).select("field", "min_num", "max_num").collect()
-    bounds = {r["field"]: (r["min_num"], r["max_num"]) for r in v}
     li = spark.table("lineitem")
+    bounds = numeric_bounds(metadata.validation_table(dd), li.columns)
     return range_report(li, bounds)
 
 
