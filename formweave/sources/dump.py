@@ -60,16 +60,20 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
 def read_dump(spark: SparkSession, path: str, compiled: CompiledDictionary,
               keys: Iterable[str] = (), allowed_extra: Iterable[str] = (),
               drop_null_keys: bool = False, unknown_type: str = "raise",
-              strict: bool = True, repartition: int | None = None) -> tuple[DataFrame, dict]:
+              strict: bool = True, repartition: int | None = None,
+              multi_line: bool = False) -> tuple[DataFrame, dict]:
     """Typed export read.
 
     Returns the frame and a report dict (``column_types``, ``missing_dates``).
     ``strict`` fails the read on a cell that does not fit its type.
+    ``multi_line`` accepts newlines inside quoted cells (free-text notes);
+    each file is then parsed by one task, so split large exports into many
+    files (or ``repartition``) when using it.
     """
     header = read_header(spark, path)
     schema, rtypes = dump_schema(header, compiled, allowed_extra, unknown_type=unknown_type)
     df = load_csv(spark, path, schema=schema, repartition=repartition,
-                  mode="FAILFAST" if strict else "PERMISSIVE")
+                  mode="FAILFAST" if strict else "PERMISSIVE", multiLine=multi_line)
     df = normalize_nulls(df)
     df, missing = recast(df, compiled)
     if drop_null_keys:

@@ -268,3 +268,13 @@ def test_observed_guards_equal_computed(spark, setup, tmp_dir):
     observed.write.parquet(f"{tmp_dir}/staged")
     got = observed_guards(obs, cols)
     assert got == guard_values(dump, ["gender", "site", "age"], compiled) == {"gender": True, "site": False}
+
+
+def test_read_dump_multiline_notes(spark, tmp_dir):
+    from formweave.sources.dump import read_dump
+    dd = dictionary(spark, [row(0, "id", "text"), row(1, "note", "text"), row(2, "g", "radio", choices="0, a")])
+    compiled = CompiledDictionary.compile(dd, ["id", "note", "g"])
+    with open(f"{tmp_dir}/e.csv", "w") as f:
+        f.write('id,note,g\n1,"two\nlines",0\n2,plain,\n')
+    df, _ = read_dump(spark, f"{tmp_dir}/e.csv", compiled, multi_line=True)
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "two\nlines", 0.0), ("2", "plain", None)]
