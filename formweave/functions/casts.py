@@ -7,6 +7,8 @@ lenient: an unparsable date becomes null and is counted by the reports.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +57,24 @@ def code_text(c: Column) -> Column:
     return c.try_cast("bigint").cast("string")
 
 
+_CANONICAL_INT = re.compile(r"-?(0|[1-9][0-9]*)")
+_INT64 = (-(2 ** 63), 2 ** 63 - 1)
+
+
+def known_code(c: Column, keys) -> Column:
+    """True when the code text of ``c`` (S14) is one of ``keys``.
+
+    Code text is always a canonical integer, so the test runs on the
+    truncated number (no per-row string conversion): only canonical
+    integer keys can ever match.  Null only when ``c`` is null; a code
+    with no integer value is unknown.
+    """
+    nums = sorted({int(k) for k in keys if _CANONICAL_INT.fullmatch(k) and _INT64[0] <= int(k) <= _INT64[1]})
+    if not nums:
+        return F.when(c.isNotNull(), F.lit(False))
+    return F.when(c.isNotNull(), F.coalesce(c.try_cast("bigint").isin(*nums), F.lit(False)))
+
+
 def cast_by_vtype(c: Column, vtype: str | None, current: T.DataType | None = None,
                   strict: bool = True) -> Column | None:
     """The cast of one column for its validation type.

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formweave.functions.casts import cast_date, code_text
+from formweave.functions.casts import cast_date, known_code
 from formweave.plans.compiled import CompiledDictionary
 
 # Validation kinds read as numbers.
@@ -109,9 +109,7 @@ def recode_report(df: DataFrame, compiled: CompiledDictionary) -> DataFrame:
     cells = []
     for c in df.columns:
         if c in compiled.choices and isinstance(df.schema[c].dataType, T.NumericType):
-            keys = list(compiled.choices[c])
-            known = code_text(F.col(c)).isin(*keys) if keys else F.lit(False)
-            cells.append((c, "unknown_code", F.col(c).isNotNull() & ~known))
+            cells.append((c, "unknown_code", F.col(c).isNotNull() & ~known_code(F.col(c), compiled.choices[c])))
         elif (compiled.vtype(c) or "").startswith("date") and isinstance(df.schema[c].dataType, T.StringType):
             cells.append((c, "bad_date", F.col(c).isNotNull() & cast_date(F.col(c)).isNull()))
     return _tall(df, cells)
@@ -127,9 +125,7 @@ def column_rules(df: DataFrame, compiled: CompiledDictionary) -> list[tuple[str,
         col = F.col(c)
         is_text = isinstance(df.schema[c].dataType, T.StringType)
         if c in compiled.choices and isinstance(df.schema[c].dataType, T.NumericType):
-            keys = list(compiled.choices[c])
-            known = code_text(col).isin(*keys) if keys else F.lit(False)
-            cells.append((c, "choice", col.isNotNull() & ~known))
+            cells.append((c, "choice", col.isNotNull() & ~known_code(col, compiled.choices[c])))
         kind, decimals = py_parse_vtype(meta.vtype)
         if kind in NUMERIC_KINDS:
             num = col.try_cast("double") if is_text else col.cast("double")

@@ -179,3 +179,13 @@ def test_cast_date_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got.isoformat() == "2016-01-02T10:30:00"
+
+
+def test_known_code_matches_text_rule(spark):
+    from formweave.functions.casts import known_code
+    keys = ["0", "1", "-1", "01", "+2", "1-", "12"]
+    vals = [0.0, 1.0, 1.9, -1.0, -1.5, 2.0, 12.0, None, 1e20, -0.0]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r[0] for r in df.select(known_code(F.col("v"), keys)).collect()]
+    want = [None if v is None else (abs(v) < 2 ** 63 and str(int(v)) in keys) for v in vals]
+    assert got == want

@@ -278,3 +278,20 @@ def test_read_dump_multiline_notes(spark, tmp_dir):
         f.write('id,note,g\n1,"two\nlines",0\n2,plain,\n')
     df, _ = read_dump(spark, f"{tmp_dir}/e.csv", compiled, multi_line=True)
     assert sorted(tuple(r) for r in df.collect()) == [("1", "two\nlines", 0.0), ("2", "plain", None)]
+
+
+def test_guards_wide_export(spark, tmp_dir):
+    """More coded columns than one mask holds: lazy, eager and observed flags agree."""
+    from formweave.operators.recode import guard_values, observe_guards, observed_guards
+    n = 140
+    dd = dictionary(spark, [row(i, f"c{i}", "radio", choices="0, a | 1, b") for i in range(n)])
+    vals = [tuple(float(2 if (i % 9 == 0 and r == 1) else r % 2) for i in range(n)) for r in range(3)]
+    df = spark.createDataFrame(vals, ", ".join(f"c{i} double" for i in range(n)))
+    compiled = CompiledDictionary.compile(dd, df.columns)
+    want = {f"c{i}": i % 9 != 0 for i in range(n)}
+    assert guard_values(df, df.columns, compiled) == want
+    obs_df, obs, cols = observe_guards(df, df.columns, compiled)
+    obs_df.write.parquet(f"{tmp_dir}/w")
+    assert observed_guards(obs, cols) == want
+    lazy = recode_columns(df, df.columns, compiled).first()
+    assert [lazy[f"c{i}"] for i in (0, 1, 9, 139)] == ["0", "a", "0", "a"]   # row 0: codes 0
