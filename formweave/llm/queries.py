@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from formweave.llm.fingerprint import edited_fingerprints
+from formweave.llm.language_model import lm_scores
 from formweave.llm.set_join import near_duplicates
 
 
@@ -11,12 +14,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(modulus: int, remainder: int):
+    """The fixed fold: crc32 of the doc_id as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == remainder
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every text, learnt from the rows outside the fold 2 of 7."""
+    return lm_scores(_table(spark, sf_dir, "documents"), held_out(7, 2))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes on four-word shingles at 0.8."""
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
 QUERIES = {
+    "op8_fingerprints": op8_fingerprints,
+    "op9_lm_scores": op9_lm_scores,
     "op10_near_duplicates": op10_near_duplicates,
 }
 

@@ -150,7 +150,7 @@ def _link_blocks(percent: int):
     return run
 
 
-def _links(documents: DataFrame, placed: DataFrame, k: int, percent: int) -> DataFrame:
+def links_in_clusters(documents: DataFrame, placed: DataFrame, k: int, percent: int) -> DataFrame:
     """Links inside each ``(cluster, block)`` of ``placed`` (doc_id, cluster,
     block), decided on the full sets."""
     return (documents.select("doc_id", "text").join(placed, "doc_id")
@@ -181,7 +181,7 @@ def _link_large(documents: DataFrame, members: DataFrame, k: int, percent: int,
         pivots = spread(members.where(F.pmod(F.xxhash64("id", F.lit(100 + seed)),
                                              F.ceil(F.col("n") / 16).cast("bigint")) == 0))
         placed = dealt(seed).union(pivots).distinct().withColumnRenamed("id", "doc_id")
-        edges = _links(documents, placed, k, percent).checkpoint()
+        edges = links_in_clusters(documents, placed, k, percent).checkpoint()
         found = edges if found is None else found.union(edges)
     labels = connected_components(found)
     labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -189,7 +189,7 @@ def _link_large(documents: DataFrame, members: DataFrame, k: int, percent: int,
             .groupBy("cluster").agg(F.max_by("component", F.struct("count", "component")).alias("main")))
     rest = labelled.join(main, "cluster").where("component <> main").select("id", "cluster", "n")
     placed = dealt(0).union(spread(rest)).distinct().withColumnRenamed("id", "doc_id")
-    return found.union(_links(documents, placed, k, percent))
+    return found.union(links_in_clusters(documents, placed, k, percent))
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 10, levels: int = 3,
@@ -250,7 +250,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     members = clusters.join(clusters.groupBy("component").agg(F.count("*").alias("n")), "component") \
         .select("id", F.col("component").alias("cluster"), "n")
     one = members.where(F.col("n") <= block_rows)
-    links = _links(documents, one.select(F.col("id").alias("doc_id"), "cluster", F.lit(0).cast("bigint").alias("block")),
+    links = links_in_clusters(documents, one.select(F.col("id").alias("doc_id"), "cluster", F.lit(0).cast("bigint").alias("block")),
                    k, percent)
     several = members.where(F.col("n") > block_rows).checkpoint()
     if several.take(1):
