@@ -193,7 +193,7 @@ def _link_large(documents: DataFrame, members: DataFrame, k: int, percent: int,
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees: int = 10, levels: int = 3,
-                    leaf_rows: int = 256, block_rows: int = 4096) -> DataFrame:
+                    leaf_rows: int = 2048, block_rows: int = 4096) -> DataFrame:
     """One row per row of ``documents`` (columns ``doc_id``, ``text``):
     ``doc_id, n_shingles, component_id, kept``.
 
