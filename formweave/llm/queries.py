@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from formweave.llm.fingerprint import edited_fingerprints
 from formweave.llm.language_model import lm_scores
+from formweave.llm.quality import quality_scores
 from formweave.llm.set_join import near_duplicates
+from formweave.llm.toxicity import toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,16 @@ def held_out(modulus: int, remainder: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == remainder
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text, learnt outside the fold 0 of 5."""
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out(5, 0))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text, learnt outside the fold 1 of 3."""
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out(3, 1))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
@@ -35,6 +47,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_toxicity": op2_toxicity,
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_near_duplicates": op10_near_duplicates,
