@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formweave.llm.fingerprint import edited_fingerprints
+from formweave.llm.html_text import extract_pages
 from formweave.llm.language_model import lm_scores
 from formweave.llm.quality import quality_scores
 from formweave.llm.set_join import near_duplicates
@@ -31,6 +32,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out(3, 1))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
@@ -49,6 +55,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op6_html_text": op6_html_text,
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_near_duplicates": op10_near_duplicates,
