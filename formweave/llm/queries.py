@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formweave.llm.chat import conversation_digests, format_conversations
 from formweave.llm.fingerprint import edited_fingerprints
 from formweave.llm.html_text import extract_pages
 from formweave.llm.language_model import lm_scores
@@ -32,6 +33,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out(3, 1))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted and read back, plus one (-1) whose texts
+    look like a template."""
+    sample = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", sample), (-1, 1, "assistant", sample)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return conversation_digests(format_conversations(turns)).drop("n_tokens")
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract_pages(_table(spark, sf_dir, "pages"))
@@ -55,10 +66,32 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
+    "op3_chat": op3_chat,
     "op6_html_text": op6_html_text,
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
-ORACLES: dict[str, str] = {}
+# Independent DuckDB SQL.  The escaped control strings of the template are
+# fixed values; what is counted is their length after one more backslash.
+_ESCAPED = r"""regexp_replace(regexp_replace({0},
+    '(<)(\\*(?:\|(?:turn|text|end|image|audio|document|im_start|im_end|endoftext|eot_id|start_header_id|end_header_id)\|>|</?SYS>>|/?s>))',
+    '\1\\\2', 'g'), '(\[)(\\*/?INST\])', '\1\\\2', 'g')"""
+
+ORACLES: dict[str, str] = {
+    "op3_chat": f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+loss as (
+  select conv_id, string_agg(text, '' order by turn nulls first, role, text) as t from turns
+  where role = 'assistant' group by conv_id)
+select t.conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       coalesce(any_value(length(loss.t)), 0) as loss_chars,
+       sha256(coalesce(any_value(loss.t), '')) as loss_sha256,
+       cast(sum(23 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) as bigint) as formatted_chars
+from turns t left join loss on loss.conv_id is not distinct from t.conv_id group by t.conv_id""",
+}
