@@ -9,6 +9,7 @@ from formweave.llm.chat import conversation_digests, format_conversations
 from formweave.llm.fingerprint import edited_fingerprints
 from formweave.llm.html_text import extract_pages
 from formweave.llm.language_model import lm_scores
+from formweave.llm.mixing import mix_sources
 from formweave.llm.quality import quality_scores
 from formweave.llm.set_join import near_duplicates
 from formweave.llm.toxicity import toxicity_scores
@@ -48,6 +49,11 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the fixed source weights."""
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
@@ -68,6 +74,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_chat": op3_chat,
     "op6_html_text": op6_html_text,
+    "op7_mix": op7_mix,
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_near_duplicates": op10_near_duplicates,
@@ -94,4 +101,40 @@ select t.conv_id, count(*) as n_turns,
        sha256(coalesce(any_value(loss.t), '')) as loss_sha256,
        cast(sum(23 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) as bigint) as formatted_chars
 from turns t left join loss on loss.conv_id is not distinct from t.conv_id group by t.conv_id""",
+    "op7_mix": r"""
+with docs as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size, length(text) as n
+  from documents),
+keyed as (
+  select doc_id, source, size,
+         -ln((cast('0x' || substr(md5(concat_ws(':', 'mix', cast(doc_id as varchar))), 1, 13) as bigint) + 0.5)
+             / 4503599627370496.0::double)
+         / greatest(coalesce(1.0::double / (1.0::double + abs(n::double / greatest(size, 1) - 5.0::double)), 0.0), 1e-9::double) as key
+  from docs),
+sized as (
+  select source, cast(sum(size) as bigint) as source_size,
+         [3, 1, 2][((row_number() over (order by source nulls last) - 1) % 3) + 1] as w
+  from keyed group by source),
+levels as (
+  select *, (1.5::double * sum(source_size) over ()
+             - 2.0::double * coalesce(sum(source_size) over (order by source_size::double / w, source nulls last
+                                                     rows between unbounded preceding and 1 preceding), 0))
+            / (sum(w) over () - coalesce(sum(w) over (order by source_size::double / w, source nulls last
+                                                      rows between unbounded preceding and 1 preceding), 0)) as level
+  from sized),
+goal as (
+  select source, source_size,
+         least(2.0::double * source_size,
+               coalesce((select min_by(level, source_size::double / w) from levels where 2.0 * source_size > level * w) * w, 0)) as target
+  from sized),
+placed as (
+  select k.doc_id, k.size, g.source_size, g.target,
+         coalesce(sum(k.size) over (partition by k.source order by k.key, k.doc_id, k.size
+                                    rows between unbounded preceding and 1 preceding), 0) as before
+  from keyed k join goal g on k.source is not distinct from g.source)
+select doc_id, cast(size as bigint) as size, source_size, target,
+       cast(case when source_size = 0 then 0 else floor(target / source_size) end * size
+            + greatest(0, least(size, floor(target)
+              - case when source_size = 0 then 0 else floor(target / source_size) end * source_size - before)) as bigint) as taken
+from placed""",
 }
