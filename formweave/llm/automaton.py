@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 
-ORDER = 4
-BITS = 12            # of a symbol; ORDER * BITS stays below 64
+ORDER = 3
+BITS = 10            # of a symbol; ORDER * BITS stays below 64
 SYMBOLS = 1 << BITS
 RARE, END = 0, 1     # END also stands before the first word of a text
 EMPTY = np.int64(-1)

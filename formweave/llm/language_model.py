@@ -100,7 +100,7 @@ def frequent_words(training: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.key for r in rows], np.int64).astype(np.uint64))
 
 
-def train(training: DataFrame, frequent: np.ndarray, max_grams: int = 1 << 20) -> Automaton:
+def train(training: DataFrame, frequent: np.ndarray, max_grams: int = 1 << 18) -> Automaton:
     """The automaton learnt from all rows of ``training`` (column ``text``).
 
     Counts cover the whole table.  ``max_grams`` bounds the model, not the
@@ -215,7 +215,7 @@ def _finish(rare_n: int, discount: float, unknown: float):
     return run
 
 
-def lm_scores(documents: DataFrame, held_out, max_grams: int = 1 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def lm_scores(documents: DataFrame, held_out, max_grams: int = 1 << 18, bucket_bytes: int = 16 << 20) -> DataFrame:
     """One row per row of ``documents`` (``doc_id``, ``text``): ``doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
