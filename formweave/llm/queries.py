@@ -9,6 +9,7 @@ from formweave.llm.chat import conversation_digests, format_conversations
 from formweave.llm.fingerprint import edited_fingerprints
 from formweave.llm.html_text import extract_pages
 from formweave.llm.language_model import lm_scores
+from formweave.llm.line_dedup import drop_recurring_lines
 from formweave.llm.mixing import mix_sources
 from formweave.llm.quality import quality_scores
 from formweave.llm.set_join import near_duplicates
@@ -44,6 +45,12 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(turns)).drop("n_tokens")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its recurring lines."""
+    return drop_recurring_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "dropped_lines", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract_pages(_table(spark, sf_dir, "pages"))
@@ -73,6 +80,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op3_chat": op3_chat,
+    "op4_line_dedup": op4_line_dedup,
     "op6_html_text": op6_html_text,
     "op7_mix": op7_mix,
     "op8_fingerprints": op8_fingerprints,
