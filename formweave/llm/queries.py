@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formweave.llm.chat import conversation_digests, format_conversations
+from formweave.llm.decontaminate import contaminated
 from formweave.llm.fingerprint import edited_fingerprints
 from formweave.llm.html_text import extract_pages
 from formweave.llm.language_model import lm_scores
@@ -51,6 +52,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "dropped_lines", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark passage, with the passage."""
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("mark")
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract_pages(_table(spark, sf_dir, "pages"))
@@ -81,6 +87,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_chat": op3_chat,
     "op4_line_dedup": op4_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_html_text": op6_html_text,
     "op7_mix": op7_mix,
     "op8_fingerprints": op8_fingerprints,
