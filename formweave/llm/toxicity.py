@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, MULT, mix, slices, words
+from formweave.llm.arrays import LOWER, mix, slices, words
 from formweave.llm.labelled import Adam, labelled_sample, sigmoid
 
 WINDOW, STRIDE = 48, 36          # words
@@ -25,6 +25,7 @@ STATES, ATTENTION = 8, 8
 TABLE_BITS = 18
 PREFIXES, INNER = (4, 6), 5      # bytes
 INPUTS = 6
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 LETTER = np.zeros(256, bool)
 LETTER[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
 
@@ -45,31 +46,26 @@ def word_keys(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     bare = (lo >= ends) | (hi <= starts)
     lo, hi = np.where(bare, starts, lo), np.where(bare, ends, hi)
     size = hi - lo
-    code = low.astype(np.uint64) + np.uint64(1)
-    padded = np.concatenate((code, np.zeros(max(*PREFIXES, INNER), np.uint64)))
+    padded = np.concatenate((low, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(low) + 1, np.dtype("<u8"), padded.data, strides=(1,))     # the next eight bytes
 
     def slot(h: np.ndarray, salt: int) -> np.ndarray:
-        return (mix(h ^ np.uint64(salt)) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        return (mix(h ^ np.uint64(salt)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
 
     def run(at: np.ndarray, length: np.ndarray, most: int) -> np.ndarray:
-        """Packed hash of up to ``most`` bytes from each position."""
-        h = np.zeros(len(at), np.uint64)
-        for k in range(most):
-            h = np.where(k < length, mix(h * MULT + padded[at + k]), h)
-        return h
+        """Up to ``most`` (at most eight) bytes from each position, packed."""
+        return eight[at] & FIRST_BYTES[np.minimum(length, most)]
 
-    inner_of = np.repeat(np.arange(len(lo)), np.maximum(size - INNER + 1, 0))
     count = np.maximum(size - INNER + 1, 0)
+    inner_of = np.repeat(np.arange(len(lo), dtype=np.int32), count)
     at = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-    sequence = np.zeros(len(at), np.uint64)
-    for k in range(INNER):
-        sequence = sequence * np.uint64(257) + padded[at + k]
+    sequence = eight[at] & FIRST_BYTES[INNER]
     whole = np.zeros(len(lo), np.uint64)
     if len(lo):
         inside = np.concatenate(([0], np.cumsum(letter.astype(np.int64))))
         other = 1 - (inside[ends] - inside[starts]) / (ends - starts)
         # whole words: head, tail and length of the spelling
-        whole = mix(run(lo, size, 8) + mix(run(np.maximum(hi - 8, lo), np.minimum(size, 8), 8)) + size.astype(np.uint64))
+        whole = mix(run(lo, size, 8) + mix(run(np.maximum(hi - 8, lo), size, 8)) + size.astype(np.uint64))
     else:
         other = np.zeros(0)
     return {"word": slot(whole, 0), **{f"prefix{n}": slot(run(lo, size, n), n) for n in PREFIXES},
@@ -80,6 +76,15 @@ def word_keys(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 TABLES = ["word", *[f"prefix{n}" for n in PREFIXES], "inner"]
 
 
+def joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """The keys of consecutive slices as one."""
+    at = np.cumsum([0, *[len(k["word"]) for k in parts]])
+    out = {name: np.concatenate([k[name] for k in parts]) for name in parts[0] if name not in ("first", "inner_of")}
+    out["inner_of"] = np.concatenate([k["inner_of"] + np.int32(a) for k, a in zip(parts, at)])
+    out["first"] = np.concatenate([[0], *[k["first"][1:] + a for k, a in zip(parts, at)]])
+    return out
+
+
 def presence(keys: dict[str, np.ndarray], table: str, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, slot) pairs of a table."""
     of_word = np.repeat(np.arange(n_texts), np.diff(keys["first"]))
@@ -217,8 +222,8 @@ def train(texts: pa.Array, label: np.ndarray, rounds: int = 6, batch: int = 64)
     model = {"tables": {t: np.zeros(1 << TABLE_BITS, np.float32) for t in TABLES}, "net": start_parameters()}
     if not n:
         return model
-    _, data, offsets = next(slices([pa.RecordBatch.from_arrays([texts], ["text"])], max_bytes=1 << 40))
-    keys = word_keys(data, offsets)
+    keys = joined([word_keys(data, offsets) for _, data, offsets in
+                   slices([pa.RecordBatch.from_arrays([texts], ["text"])], max_bytes=1 << 19)])
     n_toxic, n_clean = label.sum(), n - label.sum()
     text = np.repeat(np.arange(n), np.diff(keys["first"]))
     own = {}
@@ -277,7 +282,7 @@ def _scorer(shared, threshold: float):
     return run
 
 
-def toxicity_scores(documents: DataFrame, labels: DataFrame, held_out: Column, per_class: int = 1500,
+def toxicity_scores(documents: DataFrame, labels: DataFrame, held_out: Column, per_class: int = 600,
                     threshold: float = 0.7) -> DataFrame:
     """One row per row of ``documents``: ``doc_id, held_out, score,
     predicted`` (1 if ``score >= threshold``); the score tells how likely
