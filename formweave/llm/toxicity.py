@@ -299,3 +299,20 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, held_out: Column, p
     shared = documents.sparkSession.sparkContext.broadcast(train(texts, label))
     return documents.select("doc_id", "text", held.alias("held_out")).mapInArrow(
         _scorer(shared, threshold), "doc_id bigint, held_out boolean, score double, predicted int")
+
+
+def _filter(shared, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in slices(batches, max_bytes=2 << 20):
+            yield rows.filter(pa.array(score_texts(shared.value, data, offsets) < threshold))
+
+    return run
+
+
+def drop_toxic(documents: DataFrame, labels: DataFrame, held_out: Column, per_class: int = 600,
+               threshold: float = 0.7) -> DataFrame:
+    """``documents`` without those that ``toxicity_scores`` predicts to be
+    toxic; all columns are kept and no text is shuffled."""
+    texts, label = labelled_sample(documents, labels, "toxic", ~F.coalesce(held_out, F.lit(False)), per_class)
+    shared = documents.sparkSession.sparkContext.broadcast(train(texts, label))
+    return documents.mapInArrow(_filter(shared, threshold), documents.schema)
