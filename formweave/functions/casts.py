@@ -17,10 +17,16 @@ from pyspark.sql import types as T
 # a timestamp (the reference's conversion map), and the date layouts read.
 NUMERIC_VTYPES = ("integer", "number", "number_1dp", "yesno")
 DATE_VTYPES = ("date_mdy", "date_dmy")
-# The date layouts read: year-month-day with an optional hour:minute[:second],
-# and month/day/year with an optional hour:minute (1 or 2 digit fields).
-ISO_DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( [0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2})?)?$"
-US_DATE_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}( [0-9]{1,2}:[0-9]{1,2})?$"
+# The date layouts read: year-month-day or year/month/day, eight digits, and
+# month/day/year; fields of 1 or 2 digits; then optionally a time after a space
+# or T, hour:minute with optional seconds and up to nine decimals of a second.
+TIME_SHAPE = r"([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]{1,9})?)?)?$"
+ISO_DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}" + TIME_SHAPE
+OTHER_DATE_SHAPES = (
+    (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2"),
+    (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})", "$1-$2-$3"),
+    (r"^([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3"),
+)
 
 # Validation type -> Spark type.
 TYPE_CONVERSIONS: dict[str, T.DataType] = {
@@ -37,9 +43,11 @@ def cast_date(c: Column) -> Column:
     impossible date or time gives null.  Form dates carry no time zone, so
     the result is ``timestamp_ntz`` (independent of the session zone).
     """
-    us_as_iso = F.regexp_replace(c, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2")
-    return (F.when(c.rlike(ISO_DATE_SHAPE), c.try_cast("timestamp_ntz"))
-            .when(c.rlike(US_DATE_SHAPE), us_as_iso.try_cast("timestamp_ntz")))
+    c = F.trim(c)
+    out = F.when(c.rlike(ISO_DATE_SHAPE), c.try_cast("timestamp_ntz"))
+    for shape, as_iso in OTHER_DATE_SHAPES:
+        out = out.when(c.rlike(shape + TIME_SHAPE), F.regexp_replace(c, shape, as_iso).try_cast("timestamp_ntz"))
+    return out
 
 
 def strict_double(c: Column) -> Column:
@@ -57,6 +65,13 @@ def code_text(c: Column) -> Column:
     return c.try_cast("bigint").cast("string")
 
 
+def kept_code_text(c: Column) -> Column:
+    """Text of a code that is not recoded: integer text of a whole number,
+    otherwise the value as it stands (``1.5`` -> ``'1.5'``)."""
+    whole = c.try_cast("bigint")
+    return F.coalesce(F.when(whole.cast("double") == c, whole.cast("string")), c.cast("string"))
+
+
 _CANONICAL_INT = re.compile(r"-?(0|[1-9][0-9]*)")
 _INT64 = (-(2 ** 63), 2 ** 63 - 1)
 
@@ -91,9 +106,18 @@ def cast_by_vtype(c: Column, vtype: str | None, current: T.DataType | None = Non
     return strict_double(c) if strict else lenient_double(c)
 
 
+# A number with any fixed count of decimals has numeric bounds too.
+DECIMAL_VTYPE = r"^number_[0-9]+dp$"
+
+
+def has_numeric_bounds(vtype: str | None) -> bool:
+    """Whether bounds of this validation type are numbers (driver side)."""
+    return vtype is not None and (vtype in NUMERIC_VTYPES or re.fullmatch(DECIMAL_VTYPE.strip("^$"), vtype) is not None)
+
+
 def typed_bound_num(vtype: Column, raw: Column) -> Column:
     """Numeric bound for numeric validation types, else null."""
-    return F.when(vtype.isin(*NUMERIC_VTYPES), raw.try_cast("double"))
+    return F.when(vtype.isin(*NUMERIC_VTYPES) | vtype.rlike(DECIMAL_VTYPE), raw.try_cast("double"))
 
 
 def typed_bound_ts(vtype: Column, raw: Column) -> Column:

@@ -49,13 +49,17 @@ def parse_items(choices: Column) -> Column:
     return F.transform(items, one)
 
 
-def last_valid_items(parsed: Column) -> Column:
-    """Valid items, keeping only the last item of each code (last wins)."""
-    return F.filter(
-        parsed,
-        lambda p: p["valid"] & ~F.exists(
-            parsed, lambda q: q["valid"] & (q["code"] == p["code"]) & (q["pos"] > p["pos"])),
-    )
+def sorted_valid_items(parsed: Column) -> Column:
+    """Valid items as ``array<struct<code, pos, label>>`` in order of code and
+    position.  Select it under a name before :func:`last_of_code`, so that
+    the list is parsed and sorted once."""
+    return F.array_sort(F.transform(F.filter(parsed, lambda p: p["valid"]),
+                                    lambda p: F.struct(p["code"].alias("code"), p["pos"].alias("pos"), p["label"].alias("label"))))
+
+
+def last_of_code(items: Column) -> Column:
+    """From sorted items the last one of each code (last wins)."""
+    return F.filter(items, lambda p, i: ~F.coalesce(F.get(items, i + 1)["code"] == p["code"], F.lit(False)))
 
 
 def malformed_items(parsed: Column) -> Column:

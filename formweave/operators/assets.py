@@ -9,7 +9,6 @@ chunks by a small Arrow-batched helper, so no file has to fit in memory.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -26,6 +25,16 @@ INLINE_DIGEST_MAX_BYTES = 64 * 1024 * 1024
 DIGEST_CHUNK_BYTES = 1024 * 1024
 
 
+def _listing(spark: SparkSession, glob: str) -> DataFrame | None:
+    """The files of one glob; none if it matches nothing.  Any other error is raised."""
+    try:
+        return spark.read.format("binaryFile").load(glob)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def list_files(spark: SparkSession, globs: str | Iterable[str]) -> DataFrame:
     """``(path, length, modificationTime)`` of the files matching the globs.
 
@@ -34,10 +43,10 @@ def list_files(spark: SparkSession, globs: str | Iterable[str]) -> DataFrame:
     globs = [globs] if isinstance(globs, str) else list(globs)
     out = None
     for g in globs:
-        try:
-            df = spark.read.format("binaryFile").load(g).select("path", "length", "modificationTime")
-        except AnalysisException:
+        df = _listing(spark, g)
+        if df is None:
             continue
+        df = df.select("path", "length", "modificationTime")
         out = df if out is None else out.unionByName(df)
     if out is None:
         return spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
@@ -84,55 +93,62 @@ def asset_table(spark: SparkSession, conf: Mapping,
     return out
 
 
-def _arrow_uri(path: str) -> str:
-    """Hadoop-style URI to one pyarrow understands (``s3a://`` -> ``s3://``)."""
-    for scheme in ("s3a://", "s3n://"):
-        if path.startswith(scheme):
-            return "s3://" + path[len(scheme):]
-    return path
-
-
-def _stream_md5(batches):
-    import pandas as pd
-    import pyarrow.fs as pafs
-    for pdf in batches:
-        digests = []
-        for p in pdf["path"]:
-            fs, inner = pafs.FileSystem.from_uri(_arrow_uri(p))
-            h = hashlib.md5()
-            with fs.open_input_stream(inner) as f:
-                while True:
-                    chunk = f.read(DIGEST_CHUNK_BYTES)
-                    if not chunk:
-                        break
-                    h.update(chunk)
-            digests.append(h.hexdigest())
-        yield pd.DataFrame({"path": pdf["path"], "bytes": pdf["bytes"], "md5": digests})
+def _stream_md5():
+    """The streaming digest as a nested function, which is sent to workers by value."""
+    chunk_bytes = DIGEST_CHUNK_BYTES
+
+    def run(batches):
+        import hashlib
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        def opened(path: str):
+            """Paths come as Spark lists them, not as escaped URIs: only scheme
+            and authority are parsed, the rest is taken literally."""
+            scheme, _, rest = path.partition(":")
+            if scheme == "file":
+                return pafs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
+            authority, slash, inner = rest.lstrip("/").partition("/")
+            arrow = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+            fs, base = pafs.FileSystem.from_uri(f"{arrow}://{authority}/")
+            return fs.open_input_stream(f"{base.rstrip('/')}{slash}{inner}")
+
+        for pdf in batches:
+            digests = []
+            for path in pdf["path"]:
+                h = hashlib.md5()
+                with opened(path) as f:
+                    while chunk := f.read(chunk_bytes):
+                        h.update(chunk)
+                digests.append(h.hexdigest())
+            yield pd.DataFrame({"path": pdf["path"], "bytes": pdf["bytes"], "md5": digests})
+
+    return run
 
 
 def content_md5(spark: SparkSession, globs: str | Iterable[str],
                 inline_max_bytes: int = INLINE_DIGEST_MAX_BYTES) -> DataFrame:
     """T5: ``(path, bytes, md5)`` of every matching file.
 
-    One listing per glob feeds both branches.  Files up to
-    ``inline_max_bytes`` are digested by ``md5(content)`` (the length filter
-    is applied before any content is read); larger ones are streamed in
-    1 MiB chunks, one file per row, spread over tasks.
+    Files up to ``inline_max_bytes`` are digested by ``md5(content)`` (the
+    length filter is applied before any content is read).  Only if the
+    listing has larger ones, these are streamed in 1 MiB chunks, one file
+    per row, spread over tasks; the digests are the same.
     """
     globs = [globs] if isinstance(globs, str) else list(globs)
     out = None
     for g in globs:
-        try:
-            files = spark.read.format("binaryFile").load(g)
-        except AnalysisException:
+        files = _listing(spark, g)
+        if files is None:
             continue
-        small = (files.filter(F.col("length") <= inline_max_bytes)
-                 .select("path", F.col("length").alias("bytes"), F.md5("content").alias("md5")))
+        part = (files.filter(F.col("length") <= inline_max_bytes)
+                .select("path", F.col("length").alias("bytes"), F.md5("content").alias("md5")))
         large = (files.filter(F.col("length") > inline_max_bytes)
-                 .select("path", F.col("length").cast("bigint").alias("bytes"))
-                 .repartition(F.col("path"))
-                 .mapInPandas(_stream_md5, "path string, bytes bigint, md5 string"))
-        part = small.unionByName(large)
+                 .select("path", F.col("length").cast("bigint").alias("bytes")))
+        if large.take(1):
+            part = part.unionByName(large.repartition(F.col("path")).mapInPandas(
+                _stream_md5(), "path string, bytes bigint, md5 string"))
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], "path string, bytes bigint, md5 string")

@@ -104,10 +104,8 @@ def choice_table(dd: DataFrame) -> DataFrame:
     and reported by :func:`malformed_choices`.  No shuffle: the parse and
     the de-duplication happen inside each dictionary row.
     """
-    parsed = ch.parse_items(F.col("choices"))
-    return (choice_fields(dd)
-            .select("field", F.inline(ch.last_valid_items(parsed)))
-            .select("field", "code", "label"))
+    items = choice_fields(dd).select("field", ch.sorted_valid_items(ch.parse_items(F.col("choices"))).alias("_items"))
+    return items.select("field", F.inline(ch.last_of_code(F.col("_items")))).select("field", "code", "label")
 
 
 def malformed_choices(dd: DataFrame) -> DataFrame:
@@ -125,9 +123,9 @@ def choice_table_strict(dd: DataFrame) -> DataFrame:
     fails for the whole list); duplicate codes keep the last label.
     """
     parsed = ch.parse_items_strict(F.col("choices"))
-    ok = choice_fields(dd).select("field", parsed.alias("items")).filter(F.forall("items", lambda p: p["valid"]))
-    last = F.filter("items", lambda p: ~F.exists("items", lambda q: (q["code"] == p["code"]) & (q["pos"] > p["pos"])))
-    return ok.select("field", F.inline(last)).select("field", "code", "label")
+    ok = choice_fields(dd).select("field", parsed.alias("_all")).filter(F.forall("_all", lambda p: p["valid"]))
+    items = ok.select("field", ch.sorted_valid_items(F.col("_all")).alias("_items"))
+    return items.select("field", F.inline(ch.last_of_code(F.col("_items")))).select("field", "code", "label")
 
 
 # --- N7 -------------------------------------------------------------------

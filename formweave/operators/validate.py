@@ -1,8 +1,7 @@
 """Validation (V1-V8, AG5).
 
-Row checks are column expressions.  Reports are one wide aggregate per
-export (one ``count_if`` per field and rule, partial aggregation on every
-partition, a single row at the end) unpivoted to ``(field, rule, n_bad)``.
+Row checks are column expressions.  A report counts, in one grouped
+aggregate per export, the cells ``(field, rule)`` that rows fail.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formweave.functions.casts import cast_date, known_code
+from formweave.functions.casts import DATE_VTYPES, cast_date, has_numeric_bounds, known_code
 from formweave.plans.compiled import CompiledDictionary
 
 # Validation kinds read as numbers.
@@ -61,27 +60,28 @@ def in_range(c: Column, lo=None, hi=None) -> Column:
 
 
 def _tall(df: DataFrame, cells: list[tuple[str, str, Column]]) -> DataFrame:
-    """One aggregate row of ``count_if`` cells unpivoted to ``(field, rule, n_bad)``."""
+    """``(field, rule, n_bad)`` of all cells, zeros included.
+
+    Each row gives the numbers of the cells it fails, and these are counted
+    by one aggregate with map-side combine.  So the plan has one grouped
+    count however many fields and rules there are.
+    """
+    spark = df.sparkSession
     if not cells:
-        spark = df.sparkSession
         return spark.createDataFrame([], "field string, rule string, n_bad bigint")
-    aggs = [F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(cells)]
-    row = df.agg(*aggs)
-    stacked = F.inline(F.array(*[
-        F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule"), F.col(f"c{i}").cast("bigint").alias("n_bad"))
-        for i, (f, r, _) in enumerate(cells)]))
-    return row.select(stacked)
+    failed = F.array_compact(F.array(*[F.when(bad, F.lit(i)) for i, (_, _, bad) in enumerate(cells)]))
+    counts = df.select(F.explode(failed).alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+    names = spark.createDataFrame([(i, f, r) for i, (f, r, _) in enumerate(cells)], "cell int, field string, rule string")
+    return (names.join(counts, "cell", "left")
+            .select("field", "rule", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_bad")))
 
 
-def numeric_bounds(validation: DataFrame, columns: list[str], max_fields: int = 200_000) -> dict[str, tuple]:
+def numeric_bounds(validation: DataFrame, columns: list[str]) -> dict[str, tuple]:
     """Typed numeric bounds (N7) of the given export columns, on the driver.
 
-    Bounded by the export's width and capped, like the metadata compile.
+    Bounded by the export's width, like the metadata compile.
     """
-    rows = (validation.filter(F.col("field").isin(*columns))
-            .select("field", "min_num", "max_num").limit(max_fields + 1).collect())
-    if len(rows) > max_fields:
-        raise RuntimeError(f"more than {max_fields} bounded fields")
+    rows = validation.filter(F.col("field").isin(*columns)).select("field", "min_num", "max_num").collect()
     return {r["field"]: (r["min_num"], r["max_num"]) for r in rows}
 
 
@@ -132,13 +132,20 @@ def column_rules(df: DataFrame, compiled: CompiledDictionary) -> list[tuple[str,
             cells.append((c, "type", col.isNotNull() & num.isNull()))
             if decimals is not None:
                 cells.append((c, "decimals", ~is_number_ndp(col, decimals)))
-            lo = _num(meta.vmin)
-            hi = _num(meta.vmax)
+            lo, hi = (_num(b) if has_numeric_bounds(meta.vtype) else None for b in (meta.vmin, meta.vmax))
             if lo is not None or hi is not None:
                 cells.append((c, "range", num.isNotNull() & ~in_range(num, lo, hi)))
         elif kind is not None and kind.startswith("date"):
             ts = cast_date(col) if is_text else col
             cells.append((c, "type", col.isNotNull() & ts.isNull()))
+            bounds = [(b, low) for b, low in ((meta.vmin, True), (meta.vmax, False)) if b is not None] \
+                if meta.vtype in DATE_VTYPES else []
+            if bounds:
+                outside = F.lit(False)
+                for text, low in bounds:        # a bound that is no date is open, as in N7
+                    bound = cast_date(F.lit(text))
+                    outside = outside | F.coalesce(ts < bound if low else ts > bound, F.lit(False))
+                cells.append((c, "range", outside))
         if meta.required:
             cells.append((c, "required", col.isNull()))
     return cells
@@ -174,7 +181,8 @@ def check_columns(df: DataFrame, compiled: CompiledDictionary,
     """V6: ``(field, rule, n_bad)`` for every applicable rule of every column.
 
     ``extra_checks`` (default: the :data:`COLUMN_CHECKS` registry) adds
-    user rules; all rules are counted in the same single aggregate.
+    user rules; all rules are counted by the same aggregate.  Run it on the
+    export as read, with dates as text, so that bad dates are counted too.
     """
     cells = column_rules(df, compiled)
     checks = COLUMN_CHECKS if extra_checks is None else extra_checks

@@ -11,6 +11,8 @@ would be listed in ``ROWS_ONLY``.
 from __future__ import annotations
 
 from formweave.plans import fixtures as fx
+from formweave.plans import spec_exports
+from formweave.plans.roundtrip import BIOREPOSITORY_SAMPLE, REGISTRY_SAMPLE
 
 DATE_SQL_FORMATS = ("%Y-%m-%d", "%Y-%m-%d %H:%M", "%Y-%m-%d %H:%M:%S", "%m/%d/%Y", "%m/%d/%Y %H:%M")
 SF_DIR = "/root/testdata/sf0.01"
@@ -344,7 +346,68 @@ BIOREPOSITORY_ROUND_TRIP = _with(f"dump as ({fx.ORDERS_SAMPLES_SQL})", _dd(fx.OR
 select distinct s.biorepidnumber, {_smp_sel}, s.samplenumber, s.sample_date
 from codes s {_smp_join} where s.biorepidnumber is not null and not s.empty"""
 
+UNPIVOT_CHECKBOX = _with(*CUSTOMER) + """
+unpivot (select subid, redcap_event_name, race___1, race___2, race____1 from dump)
+on race___1, race___2, race____1 into name box value checked"""
+
+CATEGORY_COLUMNS = _with(*CUSTOMER) + " union all\n".join(
+    f"select '{c}' as column_name, count(distinct {c}) as n_values from dump"
+    for c in ("redcap_event_name", "gender", "site", "race___1", "race___2", "race____1", "ibd"))
+
+RAW_EDGES = _with(*PART) + "select field as field_name, logic as branch_logic from dd"
+
+# An independent reading of a date: split into its numbers, then made.
+_VISIT = """(select try_cast(case when position('/' in v) > 0
+    then split_part(v, '/', 3) || '-' || lpad(split_part(v, '/', 1), 2, '0') || '-' || lpad(split_part(v, '/', 2), 2, '0')
+    else v end as date) from (select visit_date as v))"""
+DATE_RANGE_CHECK = _with(*ORDERS, f"d as (select visit_date, {_VISIT} as day from dump)") + """
+select 'visit_date' as field, 'required' as rule, count(*) filter (where visit_date is null) as n_bad from d
+union all select 'visit_date', 'type', count(*) filter (where visit_date is not null and day is null) from d
+union all select 'visit_date', 'range', count(*) filter (where day not between date '1995-01-01' and date '2000-12-31') from d"""
+
+RECODE_REPORT = f"""
+select 'gender' as field, 'unknown_code' as rule, count(*) filter (where gender > 2) as n_bad from ({fx.CUSTOMER_DUMP_SQL})
+union all select 'site', 'unknown_code', count(*) filter (where site > 1) from ({fx.CUSTOMER_DUMP_SQL})
+union all select 'ibd', 'unknown_code', count(*) filter (where ibd > 1) from ({fx.CUSTOMER_DUMP_SQL})
+union all select 'priority', 'unknown_code', count(*) filter (where priority not between 1 and 5) from ({fx.ORDERS_DUMP_SQL})
+union all select 'paid', 'unknown_code', count(*) filter (where paid > 2) from ({fx.ORDERS_DUMP_SQL})
+union all select 'visit_date', 'bad_date', count(*) filter (where visit_date is not null and {_VISIT} is null)
+          from ({fx.ORDERS_DUMP_SQL})"""
+
+ALL_CHECKS = """
+select l_returnflag, count(*) as n_rows,
+       not exists (select 1 from lineitem where not l_quantity > 0 or l_quantity is null) as all_positive,
+       not exists (select 1 from lineitem where not l_discount < 0.05 or l_discount is null) as all_low_discount
+from lineitem group by l_returnflag"""
+
+REGISTERED_CHECKS = _with(*CUSTOMER) + """
+select 'balance' as field, 'whole' as rule, count(*) filter (where position('.' in balance) > 0) as n_bad from dump
+union all select 'race_oth', 'short', count(*) filter (where length(race_oth) < 19) from dump
+union all select 'age', 'two_digits', count(*) filter (where position('.' in age) > 0) from dump"""
+
+# Trailing P, M, D and F runs, taken off one letter after the other.
+BATCH_ASSETS = _with(f"f as ({fx.CUSTOMER_FILES_SQL})") + """
+select file_name, 'file:/data/b1' as directory, 'REGENERON1' as batch_code, 'VCF' as file_type, 'WES' as assay_type,
+       file_key as bytes, rtrim(rtrim(rtrim(rtrim(split_part(file_name, '_', 2), 'P'), 'M'), 'D'), 'F') as subject_id,
+       true as own_hash, true as same_hash
+from f"""
+
+SORTED_FILES = "select count(*) as n_rows, 0 as n_unsorted from orders"
+
 ORACLES: dict[str, str] = {
+    "unpivot_checkbox": UNPIVOT_CHECKBOX,
+    "category_columns": CATEGORY_COLUMNS,
+    "raw_edges": RAW_EDGES,
+    "date_range_check": DATE_RANGE_CHECK,
+    "recode_report": RECODE_REPORT,
+    "all_checks": ALL_CHECKS,
+    "registered_checks": REGISTERED_CHECKS,
+    "batch_assets": BATCH_ASSETS,
+    "sorted_files": SORTED_FILES,
+    "registry_tables": spec_exports.tables_sql(REGISTRY_SAMPLE),
+    "biorepository_tables": spec_exports.tables_sql(BIOREPOSITORY_SAMPLE),
+    "profile_report": spec_exports.report_sql(REGISTRY_SAMPLE),
+    "sample_report": spec_exports.report_sql(BIOREPOSITORY_SAMPLE),
     "checkbox_table": CHECKBOX_TABLE,
     "stream_checkbox_table": CHECKBOX_TABLE,
     "recode": RECODE,

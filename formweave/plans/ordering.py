@@ -20,6 +20,15 @@ def _bucket(order: str, bits: int) -> Column:
     return F.shiftright(F.col(order), bits)
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join on ``on`` with nulls equal; the columns of ``left``, then the others of ``right``."""
+    side = right.select(*[F.col(c).alias(f"_right_{c}") if c in on else F.col(c) for c in right.columns])
+    condition = F.lit(True)
+    for c in on:
+        condition = condition & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    return left.join(side, condition, how).drop(*[f"_right_{c}" for c in on])
+
+
 def forward_fill(df: DataFrame, value: str, group: list[str], order: str,
                  out: str | None = None, bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
     """Last non-null ``value`` at or before each row, within ``group``, in ``order``.
@@ -35,13 +44,15 @@ def forward_fill(df: DataFrame, value: str, group: list[str], order: str,
     rows = rows.withColumn("_ff_local", F.last(value, ignorenulls=True).over(local_w))
 
     # One row per (group, bucket): the local fill of the bucket's last row is
-    # the bucket's last marker.  Taken from the windowed rows, the aggregate
-    # reuses their partitioning and sort order (no extra scan or sort).
-    summary = rows.groupBy(*group, b).agg(F.max_by("_ff_local", F.col(order)).alias("_ff_last"))
+    # the bucket's last marker.  Whole rows are compared and the join below is
+    # null-safe, so neither pruning nor an added null filter makes this side
+    # differ from the other: both read one exchange of the same scan.
+    summary = (rows.groupBy(*group, b).agg(F.max_by(F.struct(*rows.columns), F.col(order)).alias("_ff_row"))
+               .select(*group, b, F.col("_ff_row._ff_local").alias("_ff_last")))
     carry_w = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(*group, b, F.last("_ff_last", ignorenulls=True).over(carry_w).alias("_ff_carry"))
 
-    joined = rows.join(summary, on=[*group, b], how="left")
+    joined = _join_null_safe(rows, summary, [*group, b], "left")
     group_known = F.lit(True)
     for g in group:
         group_known = group_known & F.col(g).isNotNull()
@@ -59,12 +70,15 @@ def global_position(df: DataFrame, order: str, out: str = "pos",
     """
     b = "_gp_bucket"
     rows = df.withColumn(b, _bucket(order, bits))
-    counts = rows.groupBy(b).agg(F.count(F.lit(1)).alias("_gp_n"))
+    in_bucket = Window.partitionBy(b).orderBy(order)
+    rows = rows.withColumn("_gp_row", F.row_number().over(in_bucket))
+    # The last row of a bucket holds its count (whole rows, as above).
+    counts = (rows.groupBy(b).agg(F.max_by(F.struct(*rows.columns), F.col("_gp_row")).alias("_gp_last"))
+              .select(b, F.col("_gp_last._gp_row").alias("_gp_n")))
     # One row per bucket: a global window over this table is small.
     offsets = counts.select(
         b, F.coalesce(F.sum("_gp_n").over(Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)),
                       F.lit(0)).alias("_gp_off"))
-    in_bucket = Window.partitionBy(b).orderBy(order)
-    return (rows.join(offsets, on=b, how="inner")
-            .withColumn(out, F.col("_gp_off") + F.row_number().over(in_bucket) - 1)
-            .drop(b, "_gp_off"))
+    return (_join_null_safe(rows, offsets, [b], "inner")
+            .withColumn(out, F.col("_gp_off") + F.col("_gp_row") - 1)
+            .drop(b, "_gp_off", "_gp_row"))

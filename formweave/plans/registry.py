@@ -9,20 +9,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from formweave.functions.casts import cast_date
 from formweave.functions.nulls import is_in, nan_to_str, not_in
-from formweave.functions.paths import stem, subject_from_second_token
+from formweave.functions.paths import SUBJECT_PARSERS, path_hash, stem, subject_from_second_token
 from formweave.functions.subject_id import parse_subject_id
 from formweave.operators import graph, metadata
-from formweave.operators.assets import asset_table, content_md5
-from formweave.operators.checkbox import checkbox_table
+from formweave.operators.assets import asset_rows, asset_table, content_md5
+from formweave.operators.checkbox import checkbox_table, unpivot_checkbox
 from formweave.operators.recode import recode_columns
-from formweave.operators.typing import column_types, recast
-from formweave.operators.validate import (check_columns, is_number_ndp, numeric_bounds, range_report,
-                                          required_report)
+from formweave.operators.typing import category_columns, column_types, dump_schema, recast
+from formweave.operators.validate import (all_true, check_columns, decimals_check, is_number_ndp, numeric_bounds,
+                                          range_report, recode_report, register_check, required_report, verify_all)
 from formweave.plans import fixtures as fx
 from formweave.plans.compiled import CompiledDictionary
 from formweave.plans.tables import TableSpec, build_parent, build_table, schema_table
@@ -90,6 +89,20 @@ def q_checkbox_table(spark, sf_dir):
     return checkbox_table(dump, fx.CUSTOMER_KEYS, "race", compiled.choices["race"], other_col="race_oth")
 
 
+def q_unpivot_checkbox(spark, sf_dir):
+    """The options of a checkbox field as rows."""
+    return unpivot_checkbox(customer_dump(spark, sf_dir), fx.CUSTOMER_KEYS, "race")
+
+
+def q_category_columns(spark, sf_dir):
+    """The customer export's category columns, with their distinct values."""
+    dump, compiled = _customer(spark, sf_dir)
+    _, rtypes = dump_schema(dump.columns, compiled, ("redcap_event_name",))
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in category_columns(rtypes)]
+    return (dump.select(F.inline(F.array(*cells))).where("value is not null").groupBy("column_name")
+            .agg(F.count_distinct("value").alias("n_values")))
+
+
 def q_recode(spark, sf_dir):
     """J1 with the whole-column guard (``site`` stays codes)."""
     dump, compiled = _customer(spark, sf_dir)
@@ -157,9 +170,13 @@ def q_stream_checkbox_table(spark, sf_dir):
     _, compiled = _customer(spark, sf_dir)
     schema = spark.read.parquet(f"{sf_dir}/customer.parquet").schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/customer*.parquet")
+    # the time the rows arrive bounds the de-duplication state by a watermark
+    stream = stream.withColumn("arrived", F.col("_metadata.file_modification_time"))
     stream.createOrReplaceTempView("customer_stream")
-    dump = normalize_nulls(spark.sql(fx.CUSTOMER_DUMP_SQL.replace("from customer", "from customer_stream")))
-    out = unfold_stream(dump, fx.CUSTOMER_KEYS, "race", compiled.choices["race"], other_col="race_oth")
+    dump = normalize_nulls(spark.sql(fx.CUSTOMER_DUMP_SQL.replace("select c_custkey", "select arrived, c_custkey", 1)
+                                     .replace("from customer", "from customer_stream")))
+    out = unfold_stream(dump, fx.CUSTOMER_KEYS, "race", compiled.choices["race"], other_col="race_oth",
+                        event_time="arrived").drop("arrived")
     folder = work_dir(spark, "stream")
     q = (out.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", f"{folder}/checkpoint")
@@ -192,9 +209,68 @@ def q_subject_events(spark, sf_dir):
 
 def q_date_recast(spark, sf_dir):
     """Date text to timestamps; unparsable text is null."""
-    raw, _, compiled = _orders(spark, sf_dir)
-    return raw.select("subid", "redcap_event_name", F.col("visit_date").alias("visit_date_raw"),
-                      cast_date(F.col("visit_date")).alias("visit_date"))
+    raw = orders_dump(spark, sf_dir).withColumn("visit_date_raw", F.col("visit_date"))
+    compiled = CompiledDictionary.compile(orders_dict(spark), raw.columns)
+    typed, _ = recast(raw, compiled)
+    return typed.select("subid", "redcap_event_name", "visit_date_raw", "visit_date")
+
+
+def q_date_range_check(spark, sf_dir):
+    """V2/V3/V6 on dates: bad dates, and dates outside the typed bounds."""
+    raw = orders_dump(spark, sf_dir)
+    report = check_columns(raw, CompiledDictionary.compile(orders_dict(spark), raw.columns))
+    return report.where("field = 'visit_date'")
+
+
+def q_recode_report(spark, sf_dir):
+    """V5: unknown codes and unparsable dates, of two exports."""
+    customers, compiled = _customer(spark, sf_dir)
+    raw = orders_dump(spark, sf_dir)
+    return recode_report(customers, compiled).unionByName(
+        recode_report(raw, CompiledDictionary.compile(orders_dict(spark), raw.columns)))
+
+
+def q_registry_tables(spark, sf_dir):
+    """Real Registry specifications over a derived export of full width,
+    through files."""
+    from formweave.plans import roundtrip
+    return roundtrip.spec_tables(spark, sf_dir, roundtrip.REGISTRY_SAMPLE)
+
+
+def q_biorepository_tables(spark, sf_dir):
+    """The real Biorepository sample specification, through files."""
+    from formweave.plans import roundtrip
+    return roundtrip.spec_tables(spark, sf_dir, roundtrip.BIOREPOSITORY_SAMPLE)
+
+
+def q_profile_report(spark, sf_dir):
+    """V5/V6/S12/N7 of a profile run: forced lab types, date bounds, bad dates
+    and unknown codes, counted on the text as read."""
+    from formweave.plans import roundtrip
+    return roundtrip.run_specs(spark, sf_dir, roundtrip.REGISTRY_SAMPLE).column_report.where("n_bad > 0")
+
+
+def q_sample_report(spark, sf_dir):
+    """The same for the Biorepository profile, with the rows dropped for a
+    missing key."""
+    from formweave.plans import roundtrip
+    return roundtrip.run_specs(spark, sf_dir, roundtrip.BIOREPOSITORY_SAMPLE).column_report.where("n_bad > 0")
+
+
+def q_sorted_files(spark, sf_dir):
+    """O1: rows of written tables, and rows that stand before a smaller key in
+    their file."""
+    from formweave.session import work_dir
+    from formweave.sources.sinks import write_tables
+    _view(spark, sf_dir, "orders")
+    table = spark.table("orders").select("o_custkey", "o_orderkey", "o_orderstatus").repartition(4, "o_orderstatus")
+    path = write_tables({"orders": table}, work_dir(spark, "sorted"), sort_keys=("o_custkey", "o_orderkey"))["orders"]
+    rows = spark.read.parquet(path).select("o_custkey", "o_orderkey", F.col("_metadata.file_path").alias("file"),
+                                           F.col("_metadata.row_index").alias("at"))
+    key = F.struct("o_custkey", "o_orderkey")
+    before = F.lag(key).over(Window.partitionBy("file").orderBy("at"))
+    return rows.select(F.coalesce(before > key, F.lit(False)).alias("unsorted")).agg(
+        F.count("*").alias("n_rows"), F.count_if("unsorted").alias("n_unsorted"))
 
 
 # --- queries over lineitem / part / customer columns ----------------------
@@ -237,6 +313,25 @@ def q_decimals_check(spark, sf_dir):
                     is_number_ndp(F.col("price_text"), 2).alias("ok_2dp"))
 
 
+def q_all_checks(spark, sf_dir):
+    """AG5/V7: checks that must hold on every row; one does, one does not."""
+    _view(spark, sf_dir, "lineitem")
+    rows = verify_all(spark.table("lineitem"), F.col("l_quantity") > 0, "quantity")
+    return rows.groupBy("l_returnflag").agg(F.count("*").alias("n_rows")).select(
+        "l_returnflag", "n_rows", all_true(rows, F.col("l_quantity") > 0).alias("all_positive"),
+        all_true(rows, F.col("l_discount") < 0.05).alias("all_low_discount"))
+
+
+def q_registered_checks(spark, sf_dir):
+    """rules of a check registry, counted with the others."""
+    dump, compiled = _customer(spark, sf_dir)
+    checks: dict = {}
+    register_check("balance", "whole", lambda c: c.contains("."), checks)
+    register_check("age", "two_digits", decimals_check(2), checks)
+    register_check("race_oth", "short", lambda c: F.length(c) < 19, checks)
+    return check_columns(dump, compiled, extra_checks=checks).where("rule in ('whole', 'two_digits', 'short')")
+
+
 def q_subject_id(spark, sf_dir):
     """Proband and relation from sample identifiers."""
     ids = _fixture(spark, sf_dir, "customer_ids", ("customer",))
@@ -253,6 +348,19 @@ def q_batch_subject(spark, sf_dir):
                         subject_from_second_token(F.col("file_name")).alias("subject_id"))
 
 
+def q_batch_assets(spark, sf_dir):
+    """Asset rows of a batch with a registered file-name parser,
+    and whether their path hashes tell all paths apart."""
+    files = _fixture(spark, sf_dir, "customer_files", ("customer",)).select(
+        F.concat(F.lit("file:/data/b1/"), F.col("file_name")).alias("path"), F.col("file_key").alias("length"))
+    rows = asset_rows(files, "REGENERON1", "VCF", "WES", SUBJECT_PARSERS["REGENERON1"])
+    clash = rows.groupBy("path_hash").agg(F.count_distinct("directory", "file_name").alias("paths"))
+    return rows.join(clash, "path_hash").select(
+        "file_name", "directory", "batch_code", "file_type", "assay_type", "bytes", "subject_id",
+        (F.col("paths") == 1).alias("own_hash"), (F.col("path_hash") == path_hash(
+            F.concat_ws("/", "directory", "file_name"))).alias("same_hash"))
+
+
 def q_assets(spark, sf_dir):
     """Asset table of the benchmark files (hash left out: no SQL twin)."""
     conf = {"BATCHES": {"BENCH": {"ASSAY_TYPE": "TABLES",
@@ -293,6 +401,11 @@ def q_branch_edges(spark, sf_dir):
     return graph.build_graph(part_dict(spark, sf_dir))
 
 
+def q_raw_edges(spark, sf_dir):
+    """G1: fields with their branching logic as it stands."""
+    return graph.raw_edges(part_dict(spark, sf_dir))
+
+
 def q_logic_values(spark, sf_dir):
     """Compared values in branching logic."""
     return graph.logic_value_table(part_dict(spark, sf_dir))
@@ -315,17 +428,20 @@ def q_type_counts(spark, sf_dir):
 
 def q_field_span(spark, sf_dir):
     """Position of every field, and membership in a span."""
-    pos = metadata.field_position(part_dict(spark, sf_dir))
-    return pos.select("field", "pos", ((F.col("pos") >= 100) & (F.col("pos") < 900)).alias("in_span"))
+    dd = part_dict(spark, sf_dir)
+    inside = metadata.fields_by_span(dd, 100, 900).select("field", F.lit(True).alias("in_span"))
+    return (metadata.field_position(dd).join(inside, "field", "left")
+            .select("field", "pos", F.coalesce("in_span", F.lit(False)).alias("in_span")))
 
 
 def q_field_flags(spark, sf_dir):
     """Required, checkbox and date flags per field."""
     dd = part_dict(spark, sf_dir)
-    return dd.select("field",
-                     F.coalesce(F.col("required") == "y", F.lit(False)).alias("is_required"),
-                     F.coalesce(F.col("ftype") == "checkbox", F.lit(False)).alias("is_checkbox"),
-                     F.coalesce(F.col("vtype").startswith("date"), F.lit(False)).alias("is_date"))
+    required = metadata.required_fields(dd).select("field", F.lit(True).alias("is_required"))
+    dates = metadata.date_fields(dd).select("field", F.lit(True).alias("is_date"))
+    return (metadata.fields_by_type(dd).join(required, "field", "left").join(dates, "field", "left")
+            .select("field", F.coalesce("is_required", F.lit(False)).alias("is_required"), "is_checkbox",
+                    F.coalesce("is_date", F.lit(False)).alias("is_date")))
 
 
 def part_export_names(dd: DataFrame) -> DataFrame:
@@ -333,14 +449,19 @@ def part_export_names(dd: DataFrame) -> DataFrame:
     checkbox option (``base___code``) from the same scan, and one status
     column per form."""
     from formweave.functions import choices as ch
-    options = F.transform(ch.last_valid_items(ch.parse_items(F.col("choices"))),
+    rows = dd.select("field", "ftype", "form", ch.sorted_valid_items(ch.parse_items(F.col("choices"))).alias("_items"))
+    options = F.transform(ch.last_of_code(F.col("_items")),
                           lambda p: F.concat(F.col("field"), F.lit("___"), F.regexp_replace(p["code"], "-", "_")))
+    none = F.array().cast("array<string>")
     is_checkbox = F.coalesce(F.col("ftype") == "checkbox", F.lit(False))
-    names = F.when(is_checkbox, F.coalesce(options, F.array().cast("array<string>"))).otherwise(F.array(F.col("field")))
-    fields = dd.select(F.explode(names).alias("name"))
-    forms = (dd.select(F.concat(F.lower(F.regexp_replace("form", "#", "")), F.lit("_complete")).alias("name"))
-             .filter(F.col("name").isNotNull()).distinct())
-    return fields.unionByName(forms)
+    own = F.when(is_checkbox, F.coalesce(options, none)).otherwise(F.array(F.col("field")))
+    form = F.concat(F.lower(F.regexp_replace("form", "#", "")), F.lit("_complete"))
+    status = F.when(form.isNotNull(), F.array(form)).otherwise(none)
+    # fields are numbered, so only the forms' names can be equal
+    numbered = F.concat(F.transform(own, lambda n, i: F.struct(n.alias("name"), F.col("field").alias("of"), i.alias("at"))),
+                        F.transform(status, lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("of"),
+                                                               F.lit(None).cast("int").alias("at"))))
+    return rows.select(F.inline(numbered)).distinct().select("name")
 
 
 def q_column_types(spark, sf_dir):
@@ -388,4 +509,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_table": q_schema_table,
     "registered_sql": q_registered_sql,
     "biorepository_round_trip": q_biorepository_round_trip,
+    "unpivot_checkbox": q_unpivot_checkbox,
+    "category_columns": q_category_columns,
+    "raw_edges": q_raw_edges,
+    "date_range_check": q_date_range_check,
+    "recode_report": q_recode_report,
+    "all_checks": q_all_checks,
+    "registered_checks": q_registered_checks,
+    "batch_assets": q_batch_assets,
+    "sorted_files": q_sorted_files,
+    "registry_tables": q_registry_tables,
+    "biorepository_tables": q_biorepository_tables,
+    "profile_report": q_profile_report,
+    "sample_report": q_sample_report,
 }

@@ -3,12 +3,17 @@ shared work folder used to cut lineage or stage intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+
+
+class NoSharedFolderError(RuntimeError):
+    """A session that is not local names no shared folder."""
+
+
 # Settings every session of ours wants.  On a cluster the launcher sets
 # executor memory, shuffle partitions and the checkpoint folder; these
 # only fill gaps.
@@ -52,7 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     A cluster names it in ``spark.checkpoint.dir`` (a folder every executor
-    can reach).  Only when it is unset, as in local tests, we create one.
+    can reach).  Only a local session without one gets a folder of its own,
+    as in tests; elsewhere a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -64,6 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise NoSharedFolderError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="formweave-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
@@ -76,11 +85,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str = "work") -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
+    """The path of a fresh folder below the shared checkpoint folder (Spark's
+    writers create it)."""
     base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`work_dir`, through the file system it is on."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

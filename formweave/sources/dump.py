@@ -33,7 +33,9 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     for k, v in options.items():
         reader = reader.option(k, v)
     if schema is not None:
-        reader = reader.schema(schema)
+        # Spark then compares every file's header with the schema, so files
+        # whose columns are in another order fail instead of being swapped.
+        reader = reader.schema(schema).option("enforceSchema", False)
     df = reader.csv(path)
     if not df.columns:
         raise EmptyInputError(f"file was empty: {path}")
@@ -61,10 +63,12 @@ def read_dump(spark: SparkSession, path: str, compiled: CompiledDictionary,
               keys: Iterable[str] = (), allowed_extra: Iterable[str] = (),
               drop_null_keys: bool = False, unknown_type: str = "raise",
               strict: bool = True, repartition: int | None = None,
-              multi_line: bool = False) -> tuple[DataFrame, dict]:
+              multi_line: bool = False, recast_dates: bool = True) -> tuple[DataFrame, dict]:
     """Typed export read.
 
     Returns the frame and a report dict (``column_types``, ``missing_dates``).
+    ``recast_dates=False`` leaves date fields as text (to be reported on
+    first).  Every file must have the header of the first one.
     ``strict`` fails the read on a cell that does not fit its type.
     ``multi_line`` accepts newlines inside quoted cells (free-text notes);
     each file is then parsed by one task, so split large exports into many
@@ -75,7 +79,8 @@ def read_dump(spark: SparkSession, path: str, compiled: CompiledDictionary,
     df = load_csv(spark, path, schema=schema, repartition=repartition,
                   mode="FAILFAST" if strict else "PERMISSIVE", multiLine=multi_line)
     df = normalize_nulls(df)
-    df, missing = recast(df, compiled)
+    typed, missing = recast(df, compiled)
+    df = typed if recast_dates else df
     if drop_null_keys:
         df = drop_null_key(df, list(keys))
     return df, {"column_types": rtypes, "missing_dates": missing}

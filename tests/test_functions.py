@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from formweave.functions import choices as ch
@@ -31,7 +32,7 @@ def test_checkbox_names(spark):
 def parsed_items(spark, text):
     df = spark.createDataFrame([(text,)], "choices string")
     p = ch.parse_items(F.col("choices"))
-    keep = df.select(F.inline(ch.last_valid_items(p))).select("code", "label").collect()
+    keep = df.select(F.inline(ch.last_of_code(ch.sorted_valid_items(p)))).select("code", "label").collect()
     bad = df.select(F.inline(ch.malformed_items(p))).select("item").collect()
     return [(r.code, r.label) for r in keep], [r.item for r in bad]
 
@@ -171,6 +172,35 @@ def test_md5_matches_hashlib(spark, tmp_dir):
     assert streamed[0].bytes == len(data)
 
 
+def test_md5_of_odd_names_is_the_same_on_both_paths(spark, tmp_dir):
+    from formweave.operators.assets import content_md5
+    names = ["a", "a#b", "with space", "50%25", "é+ü", "q=1&r"]
+    for i, name in enumerate(names):
+        with open(f"{tmp_dir}/{name}", "wb") as f:
+            f.write(name.encode() * (i + 1))
+    want = sorted(hashlib.md5(n.encode() * (i + 1)).hexdigest() for i, n in enumerate(names))
+    for limit in (0, 3, 1 << 20):
+        assert sorted(r.md5 for r in content_md5(spark, tmp_dir, inline_max_bytes=limit).collect()) == want
+
+
+def test_listing_raises_but_for_missing_paths(spark, tmp_dir):
+    from pyspark.errors import AnalysisException, IllegalArgumentException
+
+    from formweave.operators.assets import content_md5, list_files
+    assert list_files(spark, f"{tmp_dir}/none*").collect() == content_md5(spark, f"{tmp_dir}/none*").collect() == []
+    with pytest.raises((AnalysisException, IllegalArgumentException, Exception)):
+        list_files(spark, "nosuchscheme://x/y").collect()
+
+
+@pytest.mark.parametrize("text, want", [
+    ("3/4/2000 10:11:12", "2000-03-04 10:11:12"), ("2000-03-04T10:11:12.5", "2000-03-04 10:11:12.500000"),
+    ("2000/3/4", "2000-03-04 00:00:00"), ("20000304", "2000-03-04 00:00:00"), ("20000304 01:02", "2000-03-04 01:02:00"),
+    (" 2000-3-4 ", "2000-03-04 00:00:00"), ("20000230", None), ("2000-13-01", None), ("not a date", None), ("2000", None)])
+def test_date_layouts(spark, text, want):
+    got = one(spark, cast_date(F.col("v")), text)
+    assert (str(got) if got is not None else None) == want
+
+
 def test_cast_date_ignores_session_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:

@@ -9,8 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from formweave.plans.oracles import ROWS_ONLY, SF_DIR
-from formweave.plans.registry import TABLES
+from formweave.plans.oracles import ORACLES, ROWS_ONLY, SF_DIR
+from formweave.plans.registry import QUERIES, TABLES
 
 
 def _norm(v):
@@ -40,7 +40,8 @@ def con(smoke_dir):
 def test_contract_keys():
     qs, os_ = E.queries(), E.oracle_sql()
     assert set(os_) <= set(qs)
-    assert set(qs) - set(os_) == set(ROWS_ONLY)
+    assert set(QUERIES) - set(ORACLES) == set(ROWS_ONLY)
+    assert set(QUERIES) <= set(qs) and set(ORACLES) <= set(os_)
 
 
 def test_entry(spark):
@@ -49,7 +50,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, smoke_dir, name):
     df = E.queries()[name](spark, smoke_dir)
     srows, scols = [tuple(r) for r in df.collect()], df.columns

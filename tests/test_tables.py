@@ -187,20 +187,59 @@ def test_recode_join_path_matches_inline(spark, setup, monkeypatch):
     dump, compiled = setup
     dd = dictionary(spark, DD_ROWS)
     inline = sorted(tuple(r) for r in recode_columns(dump, ["gender", "site"], compiled).collect())
-    monkeypatch.setattr(recode, "INLINE_MAP_LIMIT", 1)   # every field now too big to inline
+    monkeypatch.setattr(recode, "INLINE_MAP_LIMIT", 1)   # every field now looked up by a join
+    for choices in (None, metadata.choice_table(dd)):
+        joined = recode_columns(dump, ["gender", "site"], compiled, choice_df=choices)
+        assert sorted(tuple(r) for r in joined.collect()) == inline
+
+
+@pytest.mark.parametrize("n", [3_000, 20_000])
+def test_long_option_lists_recode_and_report_alike(spark, n):
+    from formweave.operators.recode import guard_values
+    from formweave.operators.validate import check_columns
+    dd = dictionary(spark, [row(0, "code", "dropdown", choices=" | ".join(f"{i}, Label {i}" for i in range(n))),
+                            row(1, "other", "dropdown", choices=" | ".join(f"{i}, Label {i}" for i in range(n)))])
+    compiled = CompiledDictionary.compile(dd)
+    df = spark.range(200).selectExpr("id", f"cast(id * {n // 200} as double) as code",
+                                     f"cast(id + {n} - 100 as double) as other")
+    assert guard_values(df, ["code", "other"], compiled) == {"code": True, "other": False}
+    got = {r.id: r for r in recode_columns(df, ["code", "other"], compiled).collect()}
+    assert all(got[i].code == f"Label {i * (n // 200)}" and got[i].other == str(i + n - 100) for i in range(200))
+    bad = {(r.field, r.rule): r.n_bad for r in check_columns(df, compiled, extra_checks={}).collect()}
+    assert bad == {("code", "choice"): 0, ("other", "choice"): 100}
+
+
+def test_a_cancelled_column_keeps_its_values(spark):
+    dd = dictionary(spark, [row(0, "c", "radio", choices="1, One | 2, Two")])
+    df = spark.createDataFrame([(1.0,), (1.5,), (2.0,), (9e30,), (None,)], "c double")
+    got = [r.c for r in recode_columns(df, ["c"], CompiledDictionary.compile(dd)).collect()]
+    assert got == ["1", "1.5", "2", "9.0E30", None]
+
+
+def test_checkbox_plan_and_choice_parse_are_linear(spark):
+    import time
+
+    from formweave.operators import metadata
+    dd = dictionary(spark, [row(0, "box", "checkbox", choices=" | ".join(f"{i}, L{i}" for i in range(500))),
+                            row(1, "long", "radio", choices=" | ".join(f"{i % 9000}, L{i}" for i in range(10_000)))])
+    compiled = CompiledDictionary.compile(dd, ["box"])
+    df = spark.range(10).select("id", *[(F.col("id") == i % 10).cast("double").alias(f"box___{i}") for i in range(500)])
+    start = time.perf_counter()
+    out = checkbox_table(df, ["id"], "box", compiled.choices["box"])
+    assert time.perf_counter() - start < 8
+    assert out.count() == 500
+    start = time.perf_counter()
+    labels = {r.code: r.label for r in metadata.choice_table(dd).where("field = 'long'").collect()}
+    assert len(labels) == 9000 and labels["5"] == "L9005" and labels["8999"] == "L8999"
+    assert time.perf_counter() - start < 20
+    with pytest.raises(Exception, match="unknown choice code: 1"):
+        checkbox_table(df, ["id"], "box", {"0": "a"}, unknown="fail").collect()
     with pytest.raises(ValueError):
-        recode_columns(dump, ["gender"], compiled)
-    joined = recode_columns(dump, ["gender", "site"], compiled, choice_df=metadata.choice_table(dd))
-    assert sorted(tuple(r) for r in joined.collect()) == inline
+        checkbox_table(df, ["id"], "box", {}, rows_unique=True, foreign_key_cols=["id"])
 
 
-def test_compile_cap(spark):
-    from formweave.plans.compiled import MetadataTooLargeError
+def test_compile_takes_the_columns_fields(spark):
     dd = dictionary(spark, [row(i, f"f{i}", "radio", choices="0, a | 1, b") for i in range(5)])
-    with pytest.raises(MetadataTooLargeError):
-        CompiledDictionary.compile(dd, max_fields=3)
-    with pytest.raises(MetadataTooLargeError):
-        CompiledDictionary.compile(dd, max_choices=4)
     assert len(CompiledDictionary.compile(dd, ["f1", "f2___x"]).fields) == 2
 
 
@@ -295,3 +334,51 @@ def test_guards_wide_export(spark, tmp_dir):
     assert observed_guards(obs, cols) == want
     lazy = recode_columns(df, df.columns, compiled).first()
     assert [lazy[f"c{i}"] for i in (0, 1, 9, 139)] == ["0", "a", "0", "a"]   # row 0: codes 0
+
+
+def test_files_with_swapped_columns_fail_instead_of_being_mixed(spark, tmp_dir):
+    from formweave.sources.dump import read_dump
+    dd = dictionary(spark, [row(0, "subid", "text"), row(1, "note", "text")])
+    compiled = CompiledDictionary.compile(dd)
+    for name, text in (("a", "subid,note\ns1,n1\n"), ("b", "note,subid\nn2,s2\n")):
+        with open(f"{tmp_dir}/{name}.csv", "w") as f:
+            f.write(text)
+    same, _ = read_dump(spark, f"{tmp_dir}/a.csv", compiled)
+    assert [tuple(r) for r in same.collect()] == [("s1", "n1")]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_dump(spark, tmp_dir, compiled)[0].collect()
+
+
+def test_report_counts_bad_dates_date_bounds_and_forced_types(spark):
+    from formweave.operators.validate import check_columns
+    dd = dictionary(spark, [row(0, "vd", "text", vtype="date_mdy", vmin="2000-01-01", vmax="bad"),
+                            row(1, "alb", "text", vmin="3", vmax="5"), row(2, "w", "text", vtype="number_2dp", vmax="2")])
+    compiled = CompiledDictionary.compile(dd).with_types({"number": ["alb"]})
+    df = spark.createDataFrame([("not a date", "9", "1.25"), ("1990-05-05", "abc", "3.50"), ("3/4/2000 10:11:12", "4", None),
+                                (None, None, "x")], "vd string, alb string, w string")
+    got = {(r.field, r.rule): r.n_bad for r in check_columns(df, compiled, extra_checks={}).collect()}
+    assert got == {("vd", "type"): 1, ("vd", "range"): 1, ("alb", "type"): 1, ("alb", "range"): 1,
+                   ("w", "type"): 1, ("w", "decimals"): 1, ("w", "range"): 1}
+
+
+def test_wide_reports_have_one_grouped_aggregate(spark):
+    from formweave.operators.validate import check_columns
+    n = 300
+    dd = dictionary(spark, [row(i, f"c{i}", "text", vtype="number_1dp", vmin="1", vmax="9", required="y") for i in range(n)])
+    df = spark.range(500).select(*[F.when(F.col("id") % 10 == 0, None).otherwise((F.col("id") % (i + 2)).cast("string")).alias(f"c{i}")
+                                   for i in range(n)])
+    got = check_columns(df, CompiledDictionary.compile(dd), extra_checks={}).collect()
+    assert len(got) == 4 * n
+    assert {r.n_bad for r in got if r.rule == "required"} == {50} and {r.n_bad for r in got if r.rule == "type"} == {0}
+
+
+def test_fill_and_positions_read_their_input_once(spark, tmp_dir):
+    from formweave.plans.ordering import forward_fill, global_position
+    spark.range(1000).selectExpr("id as ord", "id % 3 as g", "case when id % 7 = 0 then id end as v", "'x' as other") \
+        .write.parquet(f"{tmp_dir}/t")
+    t = spark.read.parquet(f"{tmp_dir}/t")
+    for df in (forward_fill(t, "v", ["g"], "ord", bits=5), global_position(t, "ord", bits=5)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Scan parquet") <= 1 or "ReusedExchange" in plan
