@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from formweave.plans.registry import QUERIES  # noqa: E402
 from formweave.session import get_spark  # noqa: E402
 
 OPS = ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
@@ -43,7 +43,7 @@ def main() -> None:
     out = ["# PLANS", "",
            f"Executed physical plans of the registered queries at `{sf_dir}` (final adaptive plans).",
            "Generated by `python tools/plans.py`. Exchange counts exclude broadcast exchanges.", ""]
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
