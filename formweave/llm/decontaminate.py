@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, SPACE, mix, slices
+from formweave.llm.arrays import LOWER, MULT, slices
 
 Q = 7
 EDITS = 0.1              # edit budget, as a share of the passage's length
 FILTER_BITS = 22
-SEGMENT = 1 << 16        # document places whose q-grams are looked up at once
+SEGMENT = 1 << 19        # document places whose q-grams are looked up at once
+MOST_PAIRS = 1 << 22     # shared q-grams counted at once
+COUNT_BITS = 20
 
 
 def normal_form(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -32,8 +34,7 @@ def normal_form(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     head = (data & 0xC0) != 0x80
     points = np.concatenate(([0], np.cumsum(head)))[offsets]
     code = np.frombuffer(LOWER[data].tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    blank = code < 128
-    blank[blank] = SPACE[code[blank]]
+    blank = (code == 32) | ((code >= 9) & (code <= 13))
     first = np.zeros(len(code) + 1, bool)
     first[points] = True
     keep = np.ones(len(code), bool)
@@ -44,11 +45,14 @@ def normal_form(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def gram_hashes(code: np.ndarray) -> np.ndarray:
-    """Hash of the q-gram at each place (the last ``Q - 1`` are not valid)."""
-    out = np.zeros(max(len(code) - Q + 1, 0), np.uint64)
-    for k in range(Q):
-        out = out * np.uint64(0x100000001B3) + code[k:len(out) + k].astype(np.uint64)
-    return mix(out)
+    """Hash of the q-gram (``Q`` = 7) at each place where one begins."""
+    base = 0x100000001B3
+    one, two, three = (np.uint64(base ** k & 0xFFFFFFFFFFFFFFFF) for k in (1, 2, 3))
+    n = max(len(code) - Q + 1, 0)
+    c = code.astype(np.uint64)
+    pair = c[:-1] * one + c[1:]
+    four = pair[:-2] * two + pair[2:]
+    return (four[:n] * three + (pair[4:4 + n] * one + c[6:6 + n])) * MULT
 
 
 class Passages:
@@ -70,7 +74,7 @@ class Passages:
         # where the lemma gives no bound, allow as many edits as leave one
         self.budget = np.minimum(budget, (self.size - Q) // Q)
         self.least = self.size - Q + 1 - Q * self.budget
-        self.width = 2 * (self.budget + 1)
+        self.half = self.budget + 1
         grams = [gram_hashes(c) for c in self.codes]
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
@@ -79,46 +83,89 @@ class Passages:
         self.owner, self.place = owner[order], place[order]
         self.gram, self.first = np.unique(flat[order], return_index=True)
         self.first = np.append(self.first, len(flat))
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[(self.gram >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        prefix, slot = np.unique((self.gram >> np.uint64(64 - FILTER_BITS)).astype(np.int64), return_index=True)
+        self.filter, self.slot = np.zeros(1 << FILTER_BITS, bool), np.zeros(1 << FILTER_BITS, np.int32)
+        self.filter[prefix], self.slot[prefix] = True, slot
+
+
+def look_up(p: Passages, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose q-gram some passage has, and its number in the index."""
+    prefix = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    hit = np.flatnonzero(p.filter[prefix])
+    at, prefix, h = p.slot[prefix[hit]], prefix[hit], h[hit]
+    found = p.gram[at] == h
+    rest = np.flatnonzero(~found)
+    while len(rest):                      # the few prefixes that several q-grams share
+        at[rest] += 1
+        rest = rest[at[rest] < len(p.gram)]
+        rest = rest[(p.gram[at[rest]] >> np.uint64(64 - FILTER_BITS)).astype(np.int64) == prefix[rest]]
+        same = p.gram[at[rest]] == h[rest]
+        found[rest[same]] = True
+        rest = rest[~same]
+    return hit[found], at[found]
 
 
 def candidates(p: Passages, code: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int, int]]:
     """``(text, passage, first diagonal of the band)`` of all bands that reach
-    the bound.  Segments overlap by more than any band's region."""
+    the bound.
+
+    Shared q-grams are counted per half band; two neighbours are a band.
+    Counts in a hashed table, which can only be too high, leave out almost
+    everything before the exact count.  Segments overlap by more than any
+    band's region, and a segment with very many shared q-grams is halved."""
     out: set[tuple[int, int, int]] = set()
     if not len(p.size) or len(code) < Q:
         return out
-    reach = int(p.size.max() + 2 * p.width.max()) + Q
-    for lo in range(0, len(code), SEGMENT):
-        part = code[lo:lo + SEGMENT + reach]
-        h = gram_hashes(part)
-        hit = np.flatnonzero(p.filter[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(p.gram, h[hit]), len(p.gram) - 1)
-        hit, at = hit[p.gram[at] == h[hit]], at[p.gram[at] == h[hit]]
-        if not len(hit):
-            continue
-        text = np.searchsorted(bounds, hit + lo, side="right") - 1
-        inside = hit + lo + Q <= bounds[text + 1]
+    reach = int(p.size.max() + 4 * p.half.max()) + Q
+    h = gram_hashes(code)
+    todo = [(lo, min(lo + SEGMENT, len(h))) for lo in range(0, len(h), SEGMENT)]
+    while todo:
+        lo, hi = todo.pop()
+        hit, at = look_up(p, h[lo:hi + reach])
+        hit += lo
+        text = np.searchsorted(bounds, hit, side="right") - 1
+        inside = hit + Q <= bounds[text + 1]
         hit, at, text = hit[inside], at[inside], text[inside]
         count = p.first[at + 1] - p.first[at]
+        if count.sum() > MOST_PAIRS and hi - lo > reach:
+            todo += [(lo, (lo + hi) // 2), ((lo + hi) // 2, hi)]
+            continue
+        if not len(hit):
+            continue
         posting = np.arange(int(count.sum())) + np.repeat(p.first[at] - (np.cumsum(count) - count), count)
-        item, text = p.owner[posting], np.repeat(text, count)
-        # places inside the text; shifted to be positive
-        diagonal = np.repeat(hit + lo, count) - bounds[text] - p.place[posting] + p.size[item]
-        width = p.width[item]
-        for shift in (0, 1):          # bands of even and odd number overlap by half
-            band = (diagonal + shift * (width // 2)) // width
-            key = np.stack((text, item, band))
-            order = np.lexsort(key[::-1])
-            key = key[:, order]
-            edge = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0))))
-            enough = np.diff(np.append(edge, key.shape[1])) >= p.least[key[1, edge]]
-            for t, i, b in key[:, edge[enough]].T:
-                out.add((int(t), int(i), int(b * p.width[i] - shift * (p.width[i] // 2) - p.size[i])))
+        item = p.owner[posting]
+        place = np.repeat(hit - bounds[text], count)      # inside the text
+        half = (place - p.place[posting] + p.size[item]) // p.half[item]
+        first, span = int(text[0]), int(half.max()) + 3
+        pair = np.repeat(text - first, count) * len(p.size) + item
+        key = pair * span + half + 1
+        slots = [((key + d).astype(np.uint64) * MULT >> np.uint64(64 - COUNT_BITS)).astype(np.int64) for d in (-1, 0, 1)]
+        table = np.bincount(slots[1], minlength=1 << COUNT_BITS)
+        own = table[slots[1]]
+        some = np.flatnonzero(own + np.maximum(table[slots[0]], table[slots[2]]) >= p.least[item])
+        if not len(some):
+            continue
+        # the bound counts places of the passage: a repeating text has each but once
+        most = int(p.size.max())
+        key, n = np.unique(np.unique(key[some] * most + p.place[posting[some]]) // most, return_counts=True)
+        after = np.append(np.where(np.diff(key) == 1, n[1:], 0), 0)
+        pair = key // span
+        i = pair % len(p.size)
+        for k in np.flatnonzero(n + after >= p.least[i]):
+            out.add((int(pair[k] // len(p.size)) + first, int(i[k]), int((key[k] % span - 1) * p.half[i[k]] - p.size[i[k]])))
     return out
 
 
+def verbatim(passage: np.ndarray, text: np.ndarray, first: int, width: int) -> int | None:
+    """The first diagonal of a band on which the text holds the passage as it is."""
+    lo, hi = max(first, 0), min(first + width, len(text) - len(passage) + 1)
+    if lo >= hi:
+        return None
+    rows = np.lib.stride_tricks.sliding_window_view(text[lo:hi + len(passage) - 1], len(passage))
+    same = np.flatnonzero((rows == passage).all(axis=1))
+    return lo + int(same[0]) if len(same) else None
+
+
 def align(passage: np.ndarray, text: np.ndarray, first: int, width: int, budget: int) -> tuple[int, int, int] | None:
     """Fewest edits of the passage against a part of the text, on diagonals
     from ``first - budget`` to ``first + width + budget``: edits, and start
@@ -158,8 +205,13 @@ def find_passages(p: Passages, data: np.ndarray, offsets: np.ndarray) -> list[tu
     code, bounds, origin = normal_form(data, offsets)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for t, i, first in sorted(candidates(p, code, bounds)):
-        found = align(p.codes[i], code[bounds[t]:bounds[t + 1]], first, int(p.width[i]), int(p.budget[i]))
-        if found and ((t, i) not in best or (found[0], found[1]) < best[t, i][:2]):
+        if (t, i) in best and best[t, i][0] == 0:
+            continue                       # bands come in order, so this is the first place
+        passage, text, width = p.codes[i], code[bounds[t]:bounds[t + 1]], 2 * int(p.half[i])
+        exact = verbatim(passage, text, first, width)
+        found = (0, exact, exact + len(passage)) if exact is not None else \
+            align(passage, text, first, width, int(p.budget[i]))
+        if found and ((t, i) not in best or found[:2] < best[t, i][:2]):
             best[t, i] = found
     return [(t, i, e, int(origin[bounds[t] + s]), int(origin[bounds[t] + end - 1]) + 1) for (t, i), (e, s, end) in best.items()]
 
