@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 4 << 20
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -22,6 +23,11 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+def with_id(rows: DataFrame, *columns, name: str = "doc_id") -> DataFrame:
+    """The id as bigint (whatever integer type the table has) and ``columns``."""
+    return rows.select(rows[name].cast("bigint").alias(name), *columns)
+
+
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     """The column as strings, null as the empty text."""
     col = batch.column(batch.schema.names.index(name))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, MULT, slices
+from formweave.llm.arrays import LOWER, MULT, slices, with_id
 
 Q = 7
 EDITS = 0.1              # edit budget, as a share of the passage's length
@@ -252,7 +252,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, block_bytes: int =
     items = benchmark.select("item_id", "text").where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // block_bytes
-    rows = documents.select("doc_id", "text", F.xxhash64("text").alias("mark")).where("text is not null")
+    rows = with_id(documents, "text", F.xxhash64("text").alias("mark")).where("text is not null")
     out = None
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, shingles, slices, text_column, word_hashes, words
+from formweave.llm.arrays import LOWER, shingles, slices, text_column, word_hashes, words, with_id
 from formweave.llm.components import connected_components
 from formweave.llm.minwise import permutations, signature
 from formweave.llm.set_join import links_in_clusters
@@ -62,7 +62,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     """``doc_id, fingerprint`` for every row of ``documents`` (``doc_id``,
     ``text``).  Null texts count as empty; all texts without words share one
     fingerprint.  Other columns are ignored."""
-    return documents.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id bigint, fingerprint string")
+    return with_id(documents, "text").mapInArrow(_fingerprints, "doc_id bigint, fingerprint string")
 
 
 def similar_documents(documents: DataFrame, bands: int = 16, percent: int = 80) -> DataFrame:
@@ -153,6 +153,6 @@ def edited_fingerprints(documents: DataFrame, rows_per_part: int = 4000) -> Data
     count as empty; rows that share a doc_id follow each other by text; rows
     without doc_id come first.  A single row is its own next document; an
     empty table gives no rows.  Other columns are ignored."""
-    return with_next(documents, rows_per_part).mapInArrow(
+    return with_next(with_id(documents, "text"), rows_per_part).mapInArrow(
         _edit, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
                "edited_fingerprint string, near_edited double, near_next double")

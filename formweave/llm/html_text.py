@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from formweave.llm.arrays import text_column
+from formweave.llm.arrays import text_column, with_id
 
 #: HTML element names and the usual words of class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -211,5 +211,5 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     Broken markup (unclosed elements, comments and tags) is read on.  Ids and
     urls may be null or repeat; other columns are ignored; an empty table
     gives no rows."""
-    return pages.select("page_id", "url", "html").mapInArrow(
+    return with_id(pages, "url", "html", name="page_id").mapInArrow(
         _extract, "page_id bigint, url string, text string, n_chars bigint")

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, slices, word_hashes, words
+from formweave.llm.arrays import LOWER, slices, word_hashes, words, with_id
 from formweave.llm.automaton import BITS, END, ORDER, RARE, SYMBOLS, Automaton, compile_automaton, grams
 from formweave.session import ensure_checkpoint_dir
 
@@ -232,7 +232,7 @@ def lm_scores(documents: DataFrame, held_out, max_grams: int = 1 << 18, bucket_b
     table gives no rows.  Other columns are ignored."""
     spark = documents.sparkSession
     ensure_checkpoint_dir(spark)
-    rows = documents.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = with_id(documents, "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     training = rows.where("not held_out")
     frequent = frequent_words(training)
     model = spark.sparkContext.broadcast(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import slices
+from formweave.llm.arrays import slices, with_id
 from formweave.llm.labelled import Adam, labelled_sample, sigmoid
 
 UNIT = 4                # bytes a filter moves by; a filter sees two units
@@ -175,5 +175,5 @@ def quality_scores(documents: DataFrame, labels: DataFrame, held_out: Column, pe
     held = F.coalesce(held_out, F.lit(False))
     texts, label = labelled_sample(documents, labels, "quality", ~held, per_class)
     model = train(texts, label)
-    return documents.select("doc_id", "text", held.alias("held_out")).mapInArrow(
+    return with_id(documents, "text", held.alias("held_out")).mapInArrow(
         _scorer(model, threshold), "doc_id bigint, held_out boolean, score double, predicted int")

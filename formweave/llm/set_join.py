@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, mix, shingles, slices, word_hashes, words
+from formweave.llm.arrays import LOWER, mix, shingles, slices, word_hashes, words, with_id
 from formweave.llm.components import connected_components
 from formweave.llm.minwise import permutations, signature
 from formweave.session import ensure_checkpoint_dir
@@ -153,7 +153,7 @@ def _link_blocks(percent: int):
 def links_in_clusters(documents: DataFrame, placed: DataFrame, k: int, percent: int) -> DataFrame:
     """Links inside each ``(cluster, block)`` of ``placed`` (doc_id, cluster,
     block), decided on the full sets."""
-    return (documents.select("doc_id", "text").join(placed, "doc_id")
+    return (with_id(documents, "text").join(placed, "doc_id")
             .mapInArrow(_sets(k, True), "doc_id bigint, cluster bigint, block bigint, items binary")
             .groupBy("cluster", "block").applyInArrow(_link_blocks(percent), "a bigint, b bigint"))
 
@@ -213,7 +213,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     Other columns are ignored; an empty table gives no rows.
     """
     ensure_checkpoint_dir(documents.sparkSession)
-    sets = (documents.select("doc_id", "text")
+    sets = (with_id(documents, "text")
             .mapInArrow(_sets(k, False), "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, marks array<int>")
             .checkpoint())
     full = sets.where("n_shingles > 0 and doc_id is not null")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, mix, slices, words
+from formweave.llm.arrays import LOWER, mix, slices, words, with_id
 from formweave.llm.labelled import Adam, labelled_sample, sigmoid
 
 WINDOW, STRIDE = 48, 36          # words
@@ -297,7 +297,7 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, held_out: Column, p
     held = F.coalesce(held_out, F.lit(False))
     texts, label = labelled_sample(documents, labels, "toxic", ~held, per_class)
     shared = documents.sparkSession.sparkContext.broadcast(train(texts, label))
-    return documents.select("doc_id", "text", held.alias("held_out")).mapInArrow(
+    return with_id(documents, "text", held.alias("held_out")).mapInArrow(
         _scorer(shared, threshold), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
