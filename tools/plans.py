@@ -9,9 +9,12 @@ from the final adaptive plan after one execution.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
+import tempfile
+import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -20,41 +23,66 @@ from formweave.session import get_spark  # noqa: E402
 
 OPS = ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin",
        "BroadcastNestedLoopJoin", "CartesianProduct", "HashAggregate", "SortAggregate", "ObjectHashAggregate",
-       "Window", "Expand", "Generate", "Subquery", "MapInPandas", "Sort")
+       "Window", "Expand", "Generate", "Subquery", "MapInPandas", "Sort", "ReusedExchange")
 
 
-def summarize(plan: str) -> dict:
-    final = plan.split("+- == Initial Plan ==")[0]
-    counts = {op: len(re.findall(rf"(?<![A-Za-z]){op}\b", final)) for op in OPS}
+def summarize(plan: str) -> tuple[str, list[str]]:
+    """Operators and scans of one executed plan (formatted description)."""
+    plan = plan.split("== Initial Plan ==")[0]
+    tree, _, details = plan.partition("\n\n")
+    counts = {op: len(re.findall(rf"(?<![A-Za-z]){op}\b", tree)) for op in OPS}
     scans = []
-    for line in final.splitlines():
-        if "FileScan" in line or "Scan parquet" in line or "BinaryFile" in line:
-            schema = re.search(r"ReadSchema: (struct<[^>]*>)", line)
-            pushed = re.search(r"PushedFilters: (\[[^\]]*\])", line)
-            fmt = re.search(r"FileScan (\w+)", line)
-            scans.append((fmt.group(1) if fmt else "scan", schema.group(1) if schema else "",
-                          pushed.group(1) if pushed else ""))
-    return {"counts": {k: v for k, v in counts.items() if v}, "scans": scans}
+    for block in details.split("\n\n"):
+        schema = re.search(r"ReadSchema: (.*)", block)
+        if schema:
+            kind = re.search(r"\) Scan (\w+)", block)
+            pushed = re.search(r"PushedFilters: (\[.*\])", block)
+            scans.append(f"scan `{kind[1] if kind else 'files'}` ReadSchema `{schema[1][:400]}`"
+                         + (f" PushedFilters `{pushed[1]}`" if pushed else ""))
+    return ", ".join(f"{k} {v}" for k, v in counts.items() if v) or "(scan and project only)", scans
+
+
+def executions(folder: str) -> list[tuple[float, str]]:
+    """Start time and final plan of every SQL execution in the event log."""
+    found: dict[int, list] = {}
+    for name in os.listdir(folder):
+        with open(f"{folder}/{name}") as f:
+            for line in f:
+                if "sparkPlanInfo" in line:
+                    e = json.loads(line)
+                    if "time" in e:
+                        found[e["executionId"]] = [e["time"] / 1000, e["physicalPlanDescription"]]
+                    elif e["executionId"] in found:
+                        found[e["executionId"]][1] = e["physicalPlanDescription"]
+    return sorted(tuple(x) for x in found.values())
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    log = tempfile.mkdtemp(prefix="run-")
+    spark = get_spark("local[8]", shuffle_partitions=8, extra={
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": log, "spark.eventLog.rolling.enabled": "false",
+        "spark.eventLog.compress": "false", "spark.sql.debug.maxToStringFields": "2000",
+        "spark.sql.maxMetadataStringLength": "2000"})
+    began: list[tuple[str, float]] = []
+    for name, q in QUERIES.items():
+        began.append((name, time.time()))
+        q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    began.append(("", time.time() + 1e9))
+    spark.stop()
+    runs = executions(log)
     out = ["# PLANS", "",
-           f"Executed physical plans of the registered queries at `{sf_dir}` (final adaptive plans).",
+           f"Executed physical plans of the registered queries at `{sf_dir}` (final adaptive plans), one line per",
+           "execution: writes and small jobs that a query makes while it is built come first, its own plan last.",
            "Generated by `python tools/plans.py`. Exchange counts exclude broadcast exchanges.", ""]
-    for name, q in QUERIES.items():
-        df = q(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        s = summarize(plan)
-        ops = ", ".join(f"{k} {v}" for k, v in s["counts"].items()) or "(scan and project only)"
-        out.append(f"## {name}")
-        out.append("")
-        out.append(f"Operators: {ops}")
-        out.append("")
-        for fmt, schema, pushed in s["scans"]:
-            out.append(f"* scan `{fmt}` ReadSchema `{schema}`" + (f" PushedFilters `{pushed}`" if pushed and pushed != "[]" else ""))
+    for (name, start), (_, end) in zip(began, began[1:]):
+        own = [summarize(plan) for at, plan in runs if start <= at < end]
+        out += [f"## {name}", ""]
+        for i, (ops, scans) in enumerate(own):
+            out.append(f"{i + 1}. {ops}")
+            out += [f"   * {s}" for s in dict.fromkeys(scans[:4])]
+            if len(scans) > 4:
+                out.append(f"   * and {len(scans) - 4} more scans")
         out.append("")
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w") as f:
