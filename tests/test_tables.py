@@ -232,7 +232,7 @@ def test_checkbox_plan_and_choice_parse_are_linear(spark):
     labels = {r.code: r.label for r in metadata.choice_table(dd).where("field = 'long'").collect()}
     assert len(labels) == 9000 and labels["5"] == "L9005" and labels["8999"] == "L8999"
     assert time.perf_counter() - start < 20
-    with pytest.raises(Exception, match="unknown choice code: 1"):
+    with pytest.raises(Exception, match="unknown choice code: [1-9]"):
         checkbox_table(df, ["id"], "box", {"0": "a"}, unknown="fail").collect()
     with pytest.raises(ValueError):
         checkbox_table(df, ["id"], "box", {}, rows_unique=True, foreign_key_cols=["id"])
