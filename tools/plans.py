@@ -28,8 +28,8 @@ OPS = ("Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin", "S
 
 def summarize(plan: str) -> tuple[str, list[str]]:
     """Operators and scans of one executed plan (formatted description)."""
-    plan = plan.split("== Initial Plan ==")[0]
     tree, _, details = plan.partition("\n\n")
+    tree = tree.split("== Initial Plan ==")[0]
     counts = {op: len(re.findall(rf"(?<![A-Za-z]){op}\b", tree)) for op in OPS}
     scans = []
     for block in details.split("\n\n"):
