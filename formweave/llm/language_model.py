@@ -1,17 +1,23 @@
-"""Language-model scoring with a weighted backoff automaton.
-
-The probability of a token is that of its class after the classes before
-it (the automaton, see ``automaton.py``) times, for a rare word, that of
-the word in the class of rare words, from its discounted corpus count; the
-discounted mass goes to the unknown word.  So the model is a distribution
-over the vocabulary and one unknown word, as the add-one baseline is.
-
-Passes over the texts: frequent words, n-grams of classes (both combined
-per task, then by Spark), and scores.  The vocabulary grows with the
-corpus, so it is never gathered: each block of texts asks for the counts
-of its distinct words, bucket by bucket of the hash space, and the answers
-go back to the block.  A frequent word costs one entry per block, not one
-per document, so no bucket holds a hot group.
+"""Language-model scoring with weighted backoff over n-grams of words.
+
+The probability of a word is the interpolated Witten-Bell one of up to
+``WORDS`` words: a context (the words before) that the training texts have
+hands a share of its mass to the shorter context, one they lack all of it,
+as failure arcs of a backoff automaton do.  Below single words lies the
+uniform distribution over the vocabulary and one unknown word, so the model
+is a distribution over these, as the add-one baseline is.  Every n-gram
+counts, however rare, and nothing of the model is gathered.
+
+Scale.  Each block of texts asks for the counts of its distinct n-grams,
+bucket by bucket of the hash space of contexts, and the answers (count of
+the n-gram; total and number of different words of its context) go back to
+the block.  A frequent n-gram costs one entry per block, not one per
+document.  The n-grams of a context that would fill a bucket alone are
+dealt by themselves; the totals of these few contexts, the empty one among
+them, are summed over all buckets.
+
+``frequent_words`` and ``train`` learn a small automaton of word classes
+(``automaton.py``) that fits one process; scoring does not use them.
 """
 
 from __future__ import annotations
@@ -24,12 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, slices, word_hashes, words, with_id
+from formweave.llm.arrays import LOWER, MULT, mix, slices, word_hashes, words, with_id
 from formweave.llm.automaton import BITS, END, ORDER, RARE, SYMBOLS, Automaton, compile_automaton, grams
 from formweave.session import ensure_checkpoint_dir
 
 END_TOKEN = np.uint64(0)        # stands for the end of a text among word hashes
 MERGE_ROWS = 1 << 21
+WORDS = 4                       # of the longest n-gram
+NO_CONTEXT = np.uint64(0)       # hash of the empty context
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,124 +141,212 @@ def train(training: DataFrame, frequent: np.ndarray, max_grams: int = 1 << 18) -
     return compile_automaton(orders)
 
 
-def _score(model, n_buckets: int):
-    """Per text: the score of its classes, and its tokens as places in the
-    block's sorted list of distinct hashes, rare ones first.  Per block and
-    bucket: those hashes, with how often the block's training texts have them."""
+def _contexts(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the 0, 1, ... ``WORDS - 1`` tokens before each token, one row
+    per length; before the first token of a text stands its end."""
+    place = np.arange(len(tokens)) - np.repeat(at[:-1], np.diff(at))
+    out = [np.full(len(tokens), NO_CONTEXT)]
+    for back in range(1, WORDS):
+        word = np.full(len(tokens), END_TOKEN)
+        word[back:] = tokens[:max(0, len(tokens) - back)]
+        word[place < back] = END_TOKEN
+        out.append(mix(out[-1] * MULT + word + np.uint64(back)))
+    return np.stack(out)
+
+
+def _asked(tokens: np.ndarray, at: np.ndarray, hot: np.ndarray, n_buckets: int):
+    """Distinct n-grams of a block sorted by bucket, their contexts and
+    buckets, and the place of each token's n-grams among them (one row per
+    length).  The n-grams of one context stand together unless it is ``hot``
+    (sorted hashes)."""
+    context = _contexts(tokens, at)
+    gram, index, place = np.unique(mix(context * MULT + tokens).ravel(), return_index=True, return_inverse=True)
+    of = context.ravel()[index]
+    spread = np.where(_place(hot, of) >= 0, gram, of)
+    order = np.argsort(spread, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    bucket = (((spread[order] >> np.uint64(40)) * np.uint64(n_buckets)) >> np.uint64(24)).astype(np.int64)
+    return gram[order], of[order], bucket, rank[place].reshape(context.shape)
+
+
+def _place(among: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each key in a sorted array that is not empty, or -1."""
+    at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
+    return np.where(among[at] == keys, at, -1)
+
+
+def _cuts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of rows with equal columns begins, and the end."""
+    new = np.zeros(max(0, len(columns[0]) - 1), bool)
+    for x in columns:
+        new |= x[1:] != x[:-1]
+    return np.concatenate(([0], np.flatnonzero(new) + 1, [len(columns[0])]))
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    """One byte per count, then those of 255 and more in full."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype(np.int64).tobytes()
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(data[:n], np.uint8).astype(np.int64)
+    if len(data) > n:
+        out[out == 255] = np.frombuffer(data[n:], np.int64)
+    return out
+
+
+def _ask(hot, n_buckets: int):
+    """The texts with the number of their block; and per block and bucket the
+    block's n-grams (context by context), with how often its training texts
+    have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        frequent, automaton = model.value["frequent"], Automaton(**model.value["automaton"])
         for number, (rows, data, offsets) in enumerate(slices(batches)):
             block = (task << 32) | number
             tokens, at = _tokens(data, offsets)
-            classes = _classes(tokens, frequent)
-            n, length = rows.num_rows, np.diff(at)
+            gram, of, bucket, place = _asked(tokens, at, hot.value, n_buckets)
+            n = rows.num_rows
             held = np.asarray(rows.column("held_out").to_pylist(), bool)
-            text = np.repeat(np.arange(n), length)
-            distinct, place = np.unique(tokens, return_inverse=True)
-            count = np.bincount(place, ~held[text], len(distinct)).astype(np.int32)
-            listed = place[np.lexsort((classes != RARE, text))].astype(np.int32)
+            learnt = np.repeat(~held, np.diff(at))
+            count = np.bincount(place[:, learnt].ravel(), minlength=len(gram))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(n, block)), pa.nulls(n, pa.int64()), rows.column("doc_id"), rows.column("held_out"),
-                pa.array(length), pa.array(np.bincount(text[classes == RARE], minlength=n)),
-                pa.array(automaton.score(classes, at)),
-                pa.array([listed[lo:hi].tobytes() for lo, hi in zip(at, at[1:])], pa.binary()), pa.nulls(n, pa.binary())], names)
-            bucket = (((distinct >> np.uint64(40)) * np.uint64(n_buckets)) >> np.uint64(24)).astype(np.int64)
-            found, cuts = np.unique(bucket, return_index=True)
-            cuts = [*cuts, len(bucket)]
-            m = len(found)
+                rows.column("text").cast(pa.string()), *[pa.nulls(n, pa.binary())] * 4], names)
+            runs, rows_of = _cuts(bucket, of), _cuts(bucket)
+            first = np.searchsorted(runs, rows_of)
+            m, size = len(rows_of) - 1, np.diff(runs)
+            spans = list(zip(rows_of, rows_of[1:]))
+            heads = list(zip(first, first[1:]))
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(m, block)), pa.array(found), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()),
-                pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()),
-                pa.array([distinct[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary()),
-                pa.array([count[lo:hi].tobytes() for lo, hi in zip(cuts, cuts[1:])], pa.binary())], names)
-
-    names = ["block", "bucket", "doc_id", "held_out", "n_tokens", "n_rare", "score", "items", "counts"]
+                pa.array(np.full(m, block)), pa.array(bucket[rows_of[:-1]]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()),
+                pa.nulls(m, pa.string()),
+                pa.array([gram[lo:hi].tobytes() for lo, hi in spans], pa.binary()),
+                pa.array([of[runs[lo:hi]].tobytes() for lo, hi in heads], pa.binary()),
+                pa.array([_pack(size[lo:hi]) for lo, hi in heads], pa.binary()),
+                pa.array([_pack(count[lo:hi]) for lo, hi in spans], pa.binary())], names)
+
+    names = ["block", "bucket", "doc_id", "held_out", "text", "grams", "contexts", "runs", "counts"]
     return run
 
 
-def _answer(frequent: np.ndarray):
-    """One bucket of the hash space: the corpus count of every hash asked for,
-    by block in the order asked; on one row also the bucket's vocabulary and
-    tokens, and those of rare words."""
+def _answer(hot):
+    """One bucket of the hash space: the corpus count of every n-gram asked
+    for, and total and number of different words of every context, by block in
+    the order asked; on one row also what the bucket has of hot contexts."""
 
     def run(table: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, np.int32) for x in table.column("counts").to_pylist()])
-        distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
+        grams = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
+        contexts = [np.frombuffer(x, np.uint64) for x in table.column("contexts").to_pylist()]
+        size = [_unpack(x, len(c)) for x, c in zip(table.column("runs").to_pylist(), contexts)]
+        counts = np.concatenate([_unpack(x, len(g)) for x, g in zip(table.column("counts").to_pylist(), grams)])
+        cuts, heads = np.cumsum([len(x) for x in grams])[:-1], np.cumsum([len(x) for x in contexts])[:-1]
+        distinct, index, place = np.unique(np.concatenate(grams), return_index=True, return_inverse=True)
         total = np.bincount(place, counts, len(distinct)).astype(np.int64)
-        rare = total[_classes(distinct, frequent) == RARE]
-        stats = [(total > 0).sum(), total.sum(), (rare > 0).sum(), rare.sum(), (rare == 1).sum(), (rare == 2).sum()]
-        cuts = np.cumsum([len(a) for a in asked])[:-1]
-        first = np.arange(len(asked)) == 0
+        contexts = np.concatenate(contexts)
+        known, group = np.unique(contexts, return_inverse=True)
+        of = np.repeat(group, np.concatenate(size))[index]
+        all_ = np.bincount(of, total, len(known)).astype(np.int64)
+        kinds = np.bincount(of[total > 0], minlength=len(known))
+        some = np.flatnonzero((_place(hot.value, known) >= 0) & (all_ > 0))
+        shared = [[]] * table.num_rows
+        shared[0] = [{"context": int(known[i].view(np.int64)), "c": int(all_[i]), "t": int(kinds[i])} for i in some]
         return pa.table({
             "block": table.column("block"), "bucket": table.column("bucket"),
-            "answers": pa.array([a.tobytes() for a in np.split(total[place], cuts)], pa.binary()),
-            **{name: pa.array(np.where(first, int(x), 0)) for name, x in zip(STATS, stats)}})
+            "n": pa.array([_pack(x) for x in np.split(total[place], cuts)], pa.binary()),
+            "c": pa.array([_pack(x) for x in np.split(all_[group], heads)], pa.binary()),
+            "t": pa.array([_pack(x) for x in np.split(kinds[group], heads)], pa.binary()),
+            "hot": pa.array(shared, pa.list_(pa.struct([("context", pa.int64()), ("c", pa.int64()), ("t", pa.int64())])))})
 
     return run
 
 
-STATS = ["v", "n", "rare_v", "rare_n", "once", "twice"]
-
-
-def _finish(rare_n: int, discount: float, unknown: float):
+def _finish(totals, n_buckets: int):
     """One block: from the corpus counts, the sums over each text's tokens."""
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        hot, hot_c, hot_t = totals.value
+        everything, vocabulary = (int(x[_place(hot, np.array([NO_CONTEXT]))[0]]) for x in (hot_c, hot_t))
+        batch = texts.combine_chunks().to_batches()[0]
+        (rows, data, offsets), = slices(iter([batch]), max_bytes=1 << 62)
+        tokens, at = _tokens(data, offsets)
+        gram, of, bucket, place = _asked(tokens, at, hot, n_buckets)
+        runs, rows_of = _cuts(bucket, of), _cuts(bucket)
+        n_runs = np.diff(np.searchsorted(runs, rows_of))
         order = np.argsort(answers.column("bucket").to_numpy())
-        parts = answers.column("answers").to_pylist()
-        count = np.concatenate([np.frombuffer(parts[i], np.int64) for i in order])
-        base = np.log10(count + 1.0)
-        within = np.log10(np.where(count > 0, np.maximum(count - discount, 1e-9), unknown) / (rare_n + 1))
-        places = [np.frombuffer(x, np.int32) for x in texts.column("items").to_pylist()]
-        n_rare, score = texts.column("n_rare").to_pylist(), texts.column("score").to_pylist()
+        n, c, t = ([answers.column(x)[int(i)].as_py() for i in order] for x in ("n", "c", "t"))
+        n = np.concatenate([_unpack(x, m) for x, m in zip(n, np.diff(rows_of), strict=True)])
+        c, t = (np.repeat(np.concatenate([_unpack(x, m) for x, m in zip(y, n_runs, strict=True)]), np.diff(runs))
+                for y in (c, t))
+        at_hot = _place(hot, of)
+        c, t = (np.where(at_hot >= 0, whole[at_hot], part) for whole, part in ((hot_c, c), (hot_t, t)))
+        count = n[place[0]]
+        p = (count + vocabulary / (vocabulary + 1)) / max(1, everything + vocabulary) if everything else np.ones(len(count))
+        for k in range(1, WORDS):
+            seen, different = c[place[k]], t[place[k]]
+            p = np.where(seen > 0, (n[place[k]] + different * p) / np.maximum(seen + different, 1), p)
+        m, length = batch.num_rows, np.diff(at)
+        text = np.repeat(np.arange(m), length)
         return pa.table({
-            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": texts.column("n_tokens"),
-            "n_known": pa.array([int((count[p] > 0).sum()) for p in places], pa.int64()),
-            "log_counts": pa.array([float(base[p].sum()) for p in places], pa.float64()),
-            "score": pa.array([s + float(within[p[:r]].sum()) for p, r, s in zip(places, n_rare, score)], pa.float64())})
+            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(length),
+            "n_known": pa.array(np.bincount(text[count > 0], minlength=m)),
+            "log_counts": pa.array(np.bincount(text, np.log10(count + 1.0), m)),
+            "score": pa.array(np.bincount(text, np.log10(p), m))})
 
     return run
 
 
-def lm_scores(documents: DataFrame, held_out, max_grams: int = 1 << 18, bucket_bytes: int = 16 << 20) -> DataFrame:
+def _hot_contexts(training: DataFrame, size: int, n_buckets: int) -> np.ndarray:
+    """Sorted hashes of the empty context and of those that have about a
+    bucket's share of a sample's tokens.  They only say how the work is
+    spread; no result depends on them."""
+    part = min(1.0, max(64 << 20, n_buckets << 13) / max(size, 1))
+    share = 1 / max(1000, n_buckets)
+    rows = (_count(training.sample(part, 1), lambda tokens, at: _contexts(tokens, at)[1:].ravel(), share / (WORDS - 1))
+            .where(F.col("n") >= share * part * size / 16).select("key").collect())
+    return np.unique(np.array([0, *[r.key for r in rows]], np.int64).view(np.uint64))
+
+
+def lm_scores(documents: DataFrame, held_out, bucket_bytes: int = 16 << 20) -> DataFrame:
     """One row per row of ``documents`` (``doc_id``, ``text``): ``doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``held_out`` is a boolean column over ``documents``; null counts as
     false.  The model learns from the other rows.  ``base_score`` is the
     add-one unigram log10 probability of the text's tokens (words after
-    lowering A-Z, then one end), ``score`` that of the backoff automaton;
-    in both, all words that the training rows lack are one unknown word.
-    Words are counted by 64-bit hashes.
+    lowering A-Z, then one end), ``score`` that of the backoff model with
+    all n-grams of up to ``WORDS`` tokens; in both, all words that the
+    training rows lack are one unknown word.  Words and n-grams are counted
+    by 64-bit hashes.
 
     Null and blank texts have one token, the end.  Repeated rows count as
-    often as they occur.  Without training rows the classes are uniform and
-    all words unknown.  Very long texts form a block of their own.  An empty
-    table gives no rows.  Other columns are ignored."""
+    often as they occur.  Without training rows every token is the unknown
+    word, at probability one.  Very long texts form a block of their own.  An
+    empty table gives no rows.  Other columns are ignored."""
     spark = documents.sparkSession
     ensure_checkpoint_dir(spark)
     rows = with_id(documents, "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    training = rows.where("not held_out")
-    frequent = frequent_words(training)
-    model = spark.sparkContext.broadcast(
-        {"frequent": frequent, "automaton": train(training, frequent, max_grams).parts()})
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    scored = rows.mapInArrow(_score(model, max(1, size // bucket_bytes)), (
-        "block bigint, bucket bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_rare bigint, score double, "
-        "items binary, counts binary")).checkpoint()
-    answers = (scored.where("bucket is not null").select("block", "bucket", "items", "counts").groupBy("bucket")
-               .applyInArrow(_answer(frequent), "block bigint, bucket bigint, answers binary, "
-                             + ", ".join(f"{x} bigint" for x in STATS)).checkpoint())
-    v, n, rare_v, rare_n, once, twice = (x or 0 for x in answers.agg(*[F.sum(x) for x in STATS]).first())
-    # absolute discounting inside the class of rare words: what is taken off
-    # the known words, and one count more, is the unknown word's
-    discount = once / (once + 2 * twice) if once and twice else 0.5
-    texts = scored.where("bucket is null").drop("bucket", "counts")
-    return (texts.groupBy("block").cogroup(answers.select("block", "bucket", "answers").groupBy("block"))
-            .applyInArrow(_finish(rare_n, discount, discount * rare_v + 1),
+    n_buckets = max(1, WORDS * size // bucket_bytes)
+    keys = _hot_contexts(rows.where("not held_out"), size, n_buckets)
+    hot = spark.sparkContext.broadcast(keys)
+    asked = rows.mapInArrow(_ask(hot, n_buckets), (
+        "block bigint, bucket bigint, doc_id bigint, held_out boolean, text string, "
+        "grams binary, contexts binary, runs binary, counts binary")).checkpoint()
+    answers = (asked.where("bucket is not null").select("block", "bucket", "grams", "contexts", "runs", "counts")
+               .groupBy("bucket").applyInArrow(_answer(hot), (
+                   "block bigint, bucket bigint, n binary, c binary, t binary, "
+                   "hot array<struct<context: bigint, c: bigint, t: bigint>>")).checkpoint())
+    c, t = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    for r in (answers.select(F.inline("hot")).groupBy("context").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect()):
+        i = np.searchsorted(keys, np.int64(r.context).view(np.uint64))
+        c[i], t[i] = r.c, r.t
+    totals = spark.sparkContext.broadcast((keys, c, t))
+    n, v = int(c[0]), int(t[0])                 # of the empty context, whose hash is the least
+    return (asked.where("bucket is null").select("block", "doc_id", "held_out", "text").groupBy("block")
+            .cogroup(answers.select("block", "bucket", "n", "c", "t").groupBy("block"))
+            .applyInArrow(_finish(totals, n_buckets),
                           "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, score double")
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"),
                     (F.col("log_counts") - F.col("n_tokens") * float(np.log10(n + v + 1))).alias("base_score"), "score"))

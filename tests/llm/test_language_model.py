@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from formweave.llm.arrays import slices
 from formweave.llm.automaton import BITS, END, ORDER, SYMBOLS, compile_automaton, grams
-from formweave.llm.language_model import _classes, _tokens, frequent_words, lm_scores, train
+from formweave.llm.language_model import WORDS, _classes, _tokens, frequent_words, lm_scores, train
 
 
 def held(i):
@@ -140,3 +141,34 @@ def test_odd_rows(spark, odd_rows):
     assert {i: sorted(x) for i, x in got.items()} == base(rows)
     assert scores(odd_rows.limit(0)) == []
     assert all(r.train_tokens == 0 and r.base_score == 0 for r in lm_scores(odd_rows, F.lit(True)).collect())
+
+
+def test_every_ngram_counts(spark):
+    """The scores are the Witten-Bell recursion over all n-grams of words,
+    also those seen once, however many words and buckets there are."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(2500)]
+    rows = [(i, " ".join(["of the", rng.choice(vocabulary)] * 3 + rng.choices(vocabulary, k=rng.randint(0, 40))))
+            for i in range(300)]
+    rows += [(i + 300, " ".join(t.split()[2:] + ["of the"])) for i, t in rows[:60]]
+    n, c, t = Counter(), Counter(), Counter()
+    for i, text in rows:
+        s = [None] * (WORDS - 1) + tokens(text) + [None]
+        if not held(i):
+            n.update(tuple(s[j - k:j + 1]) for j in range(WORDS - 1, len(s)) for k in range(WORDS))
+    for g, x in n.items():
+        c[g[:-1]] += x
+        t[g[:-1]] += 1
+    assert t[()] > SYMBOLS                      # more words than the classes of the small automaton
+
+    def p(history, word):
+        below = p(history[1:], word) if history else 1 / (t[()] + 1)
+        return (n[(*history, word)] + t[history] * below) / (c[history] + t[history]) if c[history] else below
+
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for bucket_bytes in (1 << 10, 16 << 20):
+        got = {r.doc_id: r.score for r in scores(df, bucket_bytes=bucket_bytes)}
+        for i, text in rows:
+            s = [None] * (WORDS - 1) + tokens(text) + [None]
+            want = sum(math.log10(p(tuple(s[j - WORDS + 1:j]), s[j])) for j in range(WORDS - 1, len(s)))
+            assert abs(got[i] - want) < 1e-6 * abs(want), i
