@@ -30,7 +30,7 @@ from formweave.llm.minwise import permutations, signature
 from formweave.session import ensure_checkpoint_dir
 
 HASHES = 64          # coordinates of a signature
-SURE = 0.6           # signature agreement below which a pair at 0.8 is ruled out (four deviations)
+SURE = 0.5           # signature agreement below which a pair at 0.8 is ruled out (six deviations, see Recall)
 
 
 def _sets(k: int, with_set: bool):
@@ -204,7 +204,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
 
     Recall: a pair at similarity s meets in one tree with probability of at
     least ``s * (1 - (1 - s)**2) ** (levels - 1)``: 0.74 at 0.8, so ten
-    trees miss it with probability 2e-6.
+    trees miss it with probability 2e-6.  Where it meets, its signatures
+    agree in less than ``SURE`` with probability 2e-08.
 
     Null and blank texts have no shingles: they are linked with nothing.
     Rows that share a doc_id are one document (linked with each other when

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
+import pyarrow as pa
 from llm_util import lower, tokens  # noqa: F401
 
 from formweave.llm.components import connected_components
-from formweave.llm.set_join import link_sets, near_duplicates
+from formweave.llm.set_join import HASHES, SURE, _compare_nodes, link_sets, near_duplicates
 
 
 def brute(rows, k):
@@ -76,3 +78,15 @@ def test_components(spark):
     got = {r.id: r.component for r in connected_components(edges).collect()}
     assert got == {1: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8}
     assert connected_components(edges.limit(0)).collect() == []
+
+
+def test_signatures_rule_out_no_pair_at_the_threshold():
+    """Signatures of a pair at 0.8 that agree in 38 of 64 coordinates (one
+    pair in ten thousand does so or worse) still propose it."""
+    marks = np.arange(2 * HASHES, dtype=np.int32).reshape(2, HASHES)
+    marks[1, :38] = marks[0, :38]
+    lists = pa.ListArray.from_arrays(pa.array([0, HASHES, 2 * HASHES], pa.int32()), pa.array(marks.ravel()))
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 1]), pa.array([5, 6]), lists], ["node", "rep", "marks"])
+    assert [e for b in _compare_nodes(iter([rows])) for e in zip(*b.to_pydict().values())] == [(5, 6)]
+    missed = sum(math.comb(HASHES, i) * 0.8 ** i * 0.2 ** (HASHES - i) for i in range(math.ceil(SURE * HASHES)))
+    assert missed < 2e-6
