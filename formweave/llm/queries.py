@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formweave.llm.chat import conversation_digests, format_conversations
+from formweave.llm.curve_packing import pack_documents
 from formweave.llm.decontaminate import contaminated
 from formweave.llm.fingerprint import edited_fingerprints
 from formweave.llm.html_text import extract_pages
 from formweave.llm.language_model import lm_scores
 from formweave.llm.line_dedup import drop_recurring_lines
+from formweave.llm.merkle import manifest
 from formweave.llm.mixing import mix_sources
+from formweave.llm.prefix_trie import prefix_trie
 from formweave.llm.quality import quality_scores
 from formweave.llm.set_join import near_duplicates
 from formweave.llm.toxicity import toxicity_scores
@@ -82,6 +85,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, checked against rows of which those in
+    the fold 0 of 7 have one more in n_chars."""
+    return manifest(_table(spark, sf_dir, "documents"), tampered=held_out(7, 0))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -93,6 +112,9 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scores": op9_lm_scores,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_merkle": op12_merkle,
+    "op13_packing": op13_packing,
 }
 
 # Independent DuckDB SQL.  The escaped control strings of the template are
@@ -101,6 +123,13 @@ _ESCAPED = r"""regexp_replace(regexp_replace({0},
     '(<)(\\*(?:\|(?:turn|text|end|image|audio|document|im_start|im_end|endoftext|eot_id|start_header_id|end_header_id)\|>|</?SYS>>|/?s>))',
     '\1\\\2', 'g'), '(\[)(\\*/?INST\])', '\1\\\2', 'g')"""
 
+# CRC-32 of a decimal number's text: the reflected polynomial is a fixed value.
+_CRC32 = """xor(list_reduce([4294967295::ubigint] || list_transform(string_split(cast({0} as varchar), ''), lambda c: ascii(c)::ubigint),
+    lambda a, b: list_reduce([xor(a, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[],
+                             lambda x, i: xor(x >> 1, 3988292384::ubigint * (x & 1)))), 4294967295::ubigint)"""
+_FIELD = "coalesce(strlen(cast({0} as varchar)) || ':' || cast({0} as varchar), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{0}", "text")) + ")"
+
 ORACLES: dict[str, str] = {
     "op3_chat": f"""
 with turns as (
@@ -152,4 +181,86 @@ select doc_id, cast(size as bigint) as size, source_size, target,
             + greatest(0, least(size, floor(target)
               - case when source_size = 0 then 0 else floor(target / source_size) end * source_size - before)) as bigint) as taken
 from placed""",
+    "op11_prefix_trie": f"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as j,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as turn_id,
+         length(coalesce(text, '')) as chars
+  from conversations where conv_id is not null),
+convs as (
+  select conv_id, count(*) as n, conv_id - conv_id % 100 as head_id, cast({_CRC32.format("conv_id")} % 6 as bigint) as h
+  from turns group by conv_id),
+shared as (select c.conv_id, c.h, c.head_id, least(c.h, coalesce(o.n, 0)) as k from convs c left join convs o on o.conv_id = c.head_id),
+rebuilt as (
+  select s.conv_id, t.j as d, t.turn_id, t.chars from shared s join turns t on t.conv_id = s.head_id and t.j <= s.h
+  union all
+  select s.conv_id, s.k + t.j - s.h, t.turn_id, t.chars from shared s join turns t on t.conv_id = s.conv_id and t.j > s.h),
+prefixes as (
+  select conv_id, d, chars, d = max(d) over (partition by conv_id) as is_end,
+         sha256(string_agg(turn_id, ',') over (partition by conv_id order by d rows unbounded preceding)) as mark
+  from rebuilt
+  union all
+  select conv_id, 0, 0, conv_id not in (select conv_id from rebuilt), 'root' from convs),
+nodes as (
+  select mark, min(conv_id) as conv_id, any_value(d) as depth, any_value(chars) as chars, count(*) as n_convs,
+         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where is_end), '')) as ends_sha256
+  from prefixes group by mark),
+linked as (
+  select n.*, p.mark as parent, o.conv_id as parent_conv_id
+  from nodes n left join prefixes p on p.conv_id = n.conv_id and p.d = n.depth - 1 left join nodes o on o.mark = p.mark),
+children as (select parent, count(*) as n from linked where parent is not null group by parent),
+below as (
+  select p.mark, sum(case when c.n is null then 1 else 0 end) as n_leaves, sum((n.n_convs - 1) * n.chars) as saved
+  from linked n join prefixes p on p.conv_id = n.conv_id and p.d <= n.depth left join children c on c.parent = n.mark
+  group by p.mark)
+select n.conv_id, cast(n.depth as bigint) as depth, n.parent_conv_id, n.n_convs, coalesce(c.n, 0) as n_children,
+       cast(b.n_leaves as bigint) as n_leaves, cast(b.saved as bigint) as saved_tokens, n.ends_sha256
+from linked n left join children c on c.parent = n.mark join below b on b.mark = n.mark""",
+    "op12_merkle": f"""
+with recursive hashed as (
+  select doc_id, lang, {_LEAF.format("n_chars")} as leaf,
+         case when doc_id is not null and {_CRC32.format("coalesce(doc_id, 0)")} % 7 = 0
+              then {_LEAF.format("(n_chars + 1)")} else {_LEAF.format("n_chars")} end as checked
+  from documents),
+leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf, checked) - 1 as idx,
+         count(*) over (partition by lang) as width
+  from hashed),
+levels as (
+  select lang, 0 as lvl, idx, width, leaf as digest from leaves
+  union all
+  select lang, lvl + 1, idx // 2, (width + 1) // 2, sha256(digest || coalesce(following, ''))
+  from (select *, lead(digest) over (partition by lang order by idx) as following from levels where width > 1)
+  where idx % 2 = 0),
+subroots as (
+  select lang, lvl as height, digest, row_number() over (order by lang nulls first) - 1 as idx, count(*) over () as width
+  from levels where width = 1),
+upper as (
+  select 0 as lvl, idx, width, digest from subroots
+  union all
+  select lvl + 1, idx // 2, (width + 1) // 2, sha256(digest || coalesce(following, ''))
+  from (select *, lead(digest) over (order by idx) as following from upper where width > 1) where idx % 2 = 0),
+steps as (
+  select n.lang, n.lvl, n.idx, case when n.idx % 2 = 1 then 'l' else 'r' end || coalesce(s.digest, '') as step
+  from levels n left join levels s on s.lang is not distinct from n.lang and s.lvl = n.lvl and s.idx = xor(n.idx, 1)
+  where n.width > 1),
+upper_steps as (
+  select n.lvl, n.idx, case when n.idx % 2 = 1 then 'l' else 'r' end || coalesce(s.digest, '') as step
+  from upper n left join upper s on s.lvl = n.lvl and s.idx = xor(n.idx, 1) where n.width > 1),
+path as (
+  select d.lang, d.idx, s.lvl, s.step
+  from leaves d join steps s on s.lang is not distinct from d.lang and s.idx = d.idx >> s.lvl
+  union all
+  select d.lang, d.idx, r.height + u.lvl, u.step
+  from leaves d join subroots r on r.lang is not distinct from d.lang join upper_steps u on u.idx = r.idx >> u.lvl),
+proofs as (select lang, idx, list(step order by lvl) as steps from path group by lang, idx),
+folded as (
+  select d.*, coalesce(p.steps, []) as steps,
+         list_reduce([d.checked] || coalesce(p.steps, []),
+                     lambda acc, s: sha256(case when s[1] = 'l' then s[2:] || acc else acc || s[2:] end)) as folded_root
+  from leaves d left join proofs p on p.lang is not distinct from d.lang and p.idx = d.idx)
+select f.doc_id, f.leaf, r.digest as subroot, u.digest as root,
+       sha256(coalesce(list_aggregate(list_transform(f.steps, lambda s: s[2:]), 'string_agg', ''), '')) as proof_sha256,
+       f.folded_root, f.folded_root = u.digest as verified
+from folded f join subroots r on r.lang is not distinct from f.lang join upper u on u.width = 1""",
 }
