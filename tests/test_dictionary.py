@@ -7,7 +7,7 @@ import random
 import pandas as pd
 import pytest
 
-from conftest import dictionary, row
+from dictionary_rows import dictionary, row
 from formweave.operators import metadata as md
 from formweave.plans.ordering import forward_fill, global_position
 from formweave.sources.dictionary import EmptyInputError, read_dictionary

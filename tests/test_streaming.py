@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import dictionary, row
+from dictionary_rows import dictionary, row
 from formweave.plans.compiled import CompiledDictionary
 from formweave.streaming.unfold import recode_stream, unfold_stream
 

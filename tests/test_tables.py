@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import dictionary, row
+from dictionary_rows import dictionary, row
 from formweave.operators.checkbox import checkbox_table, unpivot_checkbox
 from formweave.operators.recode import recode_columns
 from formweave.operators.typing import UnknownColumnError, cast_by_validation_type, dump_schema

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import dictionary, row
+from dictionary_rows import dictionary, row
 from formweave.operators import graph
 from formweave.operators.assets import asset_table, list_files
 from formweave.operators.validate import (ValidationError, check_columns, range_report, recode_report,
