@@ -8,13 +8,15 @@ order, and a sequence is a stretch of ``length`` positions: documents that
 follow each other on the curve share sequences, long ones are cut.  What is
 left at the very end is cut into powers of two, which need no padding.
 
-Token ids are written once by document and once in the order of the curve.
-A row holds at most ``SEGMENT`` ids, so a very long document is many rows.
-Nothing but one row per range is summed across ranges.
+Token ids are written once; only places and lengths are sorted, and the
+positions come back to the ids by one join.  A row holds at most ``SEGMENT``
+ids, so a very long document is many rows.  Nothing but one row per range is
+summed across ranges.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from formweave.llm.arrays import mix, text_column, with_id
-from formweave.session import remove_folder, work_dir
+from formweave.session import work_dir
 
 LENGTH = 2048
 END_ID = 1
@@ -35,9 +37,9 @@ DIMENSIONS = 4
 BITS = 15
 BUCKETS = 256
 SEGMENT = 1 << 16
-PART_TOKENS = 4_000_000
+PART_TOKENS = 64_000_000
 BLOCK_CHARS = 1 << 18
-CACHE = 300_000
+CACHE = 500_000
 
 # A text may be cut before a space or line break that follows a character
 # which is no white space of any kind: no token spans that place, and the
@@ -58,19 +60,39 @@ class Encoder:
         self.model.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        line_break = self.model.encode("\n", add_special_tokens=False).ids
+        self.line_break = line_break[0] if len(line_break) == 1 else None
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words without line breaks and with at most one leading
+        space: all at once as lines of one text, cut again at the line breaks,
+        whose id no such word contains."""
+        ids = np.array(self.model.encode_batch_fast(["\n".join([*words, ""])], add_special_tokens=False)[0].ids, self.dtype)
+        ends = np.flatnonzero(ids == self.line_break)
+        if self.line_break is None or len(ends) != len(words):
+            return self._whole(words)
+        flat, at, out = ids.tobytes(), 0, []
+        for end in (ends * ids.itemsize).tolist():
+            out.append(flat[at:end])
+            at = end + ids.itemsize
+        return out
+
     def _block(self, text: str) -> bytes:
         if _OTHER_SPACE.search(text):
             return self._whole([text])[0]
         parts = _WORD.findall(text)
         if len(self.known) > CACHE:
             self.known.clear()
-        new = [w for w in set(parts) if w not in self.known]
-        self.known.update(zip(new, self._whole(new)))
+        new = {w for w in parts if w not in self.known}
+        plain = [w for w in new if w[:2].strip(" ") and "\n" not in w]
+        self.known.update(zip(plain, self._words(plain)))
+        rest = [w for w in new if w not in self.known]
+        if rest:
+            self.known.update(zip(rest, self._whole(rest)))
         return b"".join([self.known[w] for w in parts])
 
     def __call__(self, text: str) -> np.ndarray:
@@ -85,6 +107,12 @@ class Encoder:
         return np.frombuffer(b"".join(out), self.dtype)
 
 
+@functools.lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder a worker process, so that its cache serves all its tasks."""
+    return Encoder(path)
+
+
 class Projection:
     """Hashed token vectors, projected to ``DIMENSIONS`` coordinates."""
 
@@ -133,34 +161,39 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+_TOKEN_FIELDS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
+                           ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("place", pa.int64())])
+
+
 def _tokenise(path: str, end_id: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = encoder(path)
         project = Projection(max(encode.model.get_vocab_size(), end_id + 1))
         end = np.array([end_id], encode.dtype)
-        names = ["doc_id", "place", "start", "length", "doc_tokens", "ids"]
-        out: list[tuple] = []
-        held = 0
+        out, points, held = [], [], 0
+
+        def flushed():
+            columns = [*zip(*out), hilbert_key(np.array(points))]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _TOKEN_FIELDS)],
+                                              schema=_TOKEN_FIELDS)
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), text_column(batch)):
                 ids = encode(text.as_py())
-                place = int(hilbert_key(project(ids)[None, :])[0])
+                point = project(ids)
                 ids = np.concatenate((ids, end))
                 for at in range(0, len(ids), SEGMENT):
                     piece = ids[at:at + SEGMENT].tobytes()
-                    out.append((doc, place, at, len(piece) // ids.itemsize, len(ids), piece))
+                    out.append((doc, at, len(piece) // ids.itemsize, len(ids), piece))
+                    points.append(point)
                     held += len(piece)
                     if held > 4 << 20 or len(out) >= 4096:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TOKEN_TYPES)], names)
-                        out, held = [], 0
+                        yield flushed()
+                        out, points, held = [], [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TOKEN_TYPES)], names)
+            yield flushed()
     return rows
 
 
-_TOKEN_TYPES = [pa.int64()] * 5 + [pa.binary()]
-
-
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds ``before``: the tokens of the same range before each row."""
     total = 0
@@ -171,27 +204,27 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = int(ends[-1]) if len(ends) else total
 
 
-def curve_order(documents: DataFrame, folder: str, path: str, end_id: int = END_ID,
-                part_tokens: int = PART_TOKENS) -> DataFrame:
-    """The documents' token ids in the order of the curve, written below
-    ``folder``: ``part, before, doc_id, start, length, doc_tokens, ids``.
-
-    ``part`` numbers the ranges of the order and ``before`` counts the tokens
-    ahead in the same range; a row holds a segment of at most ``SEGMENT`` ids,
-    ``start`` ids into its document."""
-    spark = documents.sparkSession
+def write_tokens(documents: DataFrame, folder: str, path: str, end_id: int = END_ID) -> DataFrame:
+    """The documents' token ids, written to ``folder``: ``row, doc_id, start,
+    length, doc_tokens, ids, place``, a row for each segment of at most
+    ``SEGMENT`` ids, ``start`` ids into its document; ``place`` is the
+    document's place on the curve."""
     (with_id(documents, "text").mapInArrow(
-        _tokenise(path, end_id), "doc_id bigint, place bigint, start bigint, length bigint, doc_tokens bigint, ids binary")
-     .withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/tokens"))
-    tokens = spark.read.parquet(f"{folder}/tokens")
+        _tokenise(path, end_id), "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary, place bigint")
+     .withColumn("row", F.monotonically_increasing_id()).write.parquet(folder))
+    return documents.sparkSession.read.parquet(folder)
+
+
+def curve_order(tokens: DataFrame, folder: str, part_tokens: int = PART_TOKENS) -> DataFrame:
+    """``row, doc_id, length, part, before`` in the order of the curve, written
+    to ``folder``: ``part`` numbers the ranges of the order, ``before`` counts
+    the tokens ahead in the same range."""
     total = tokens.agg(F.sum("length")).first()[0] or 0
-    order = ["place", "doc_id", "row", "start"]
-    placed = (tokens.repartitionByRange(1 + total // part_tokens, *order).sortWithinPartitions(*order)
-              .select(F.spark_partition_id().alias("part"), "doc_id", "start", "length", "doc_tokens", "ids"))
-    placed.mapInArrow(_running, "part int, doc_id bigint, start bigint, length bigint, doc_tokens bigint, "
-                                "ids binary, before bigint").write.parquet(f"{folder}/ordered")
-    remove_folder(spark, f"{folder}/tokens")
-    return spark.read.parquet(f"{folder}/ordered")
+    order = ["place", "doc_id", "row"]
+    placed = (tokens.select(*order, "length").repartitionByRange(1 + total // part_tokens, *order).sortWithinPartitions(*order)
+              .select("row", "doc_id", "length", F.spark_partition_id().alias("part")))
+    placed.mapInArrow(_running, "row bigint, doc_id bigint, length bigint, part int, before bigint").write.parquet(folder)
+    return tokens.sparkSession.read.parquet(folder)
 
 
 def sequence_ends(total: int, length: int) -> list[int]:
@@ -253,12 +286,15 @@ def pack_documents(documents: DataFrame, length: int = LENGTH, path: str | None
     columns are ignored; an empty table gives no rows."""
     spark = documents.sparkSession
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    ordered = curve_order(documents, work_dir(spark, "packing"), path, end_id, part_tokens)
+    folder = work_dir(spark, "packing")
+    tokens = write_tokens(documents, f"{folder}/tokens", path, end_id)
+    ordered = curve_order(tokens, f"{folder}/order", part_tokens)
     parts = ordered.groupBy("part").agg(F.sum("length").alias("n"))
     total = parts.agg(F.sum("n")).first()[0] or 0
     across = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(across), F.lit(0)).alias("ahead"))
-    rows = ordered.join(parts, "part").withColumn("at", F.col("ahead") + F.col("before"))
-    return rows.select("doc_id", "start", "length", "doc_tokens", "ids", "at").mapInArrow(
+    # one row per range of part_tokens tokens
+    places = ordered.join(F.broadcast(parts), "part").select("row", (F.col("ahead") + F.col("before")).alias("at"))
+    return tokens.join(places, "row").select("doc_id", "start", "length", "doc_tokens", "ids", "at").mapInArrow(
         _cut(total, length), "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
                              "sequence_id bigint, offset bigint")

@@ -11,7 +11,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from formweave.llm import curve_packing
-from formweave.llm.curve_packing import Encoder, Projection, curve_order, hilbert_key, pack_documents, sequence_ends
+from formweave.llm.curve_packing import (Encoder, Projection, curve_order, hilbert_key, pack_documents,
+                                            sequence_ends, write_tokens)
 from formweave.session import work_dir
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,7 +74,9 @@ def test_copies_are_neighbours(spark):
     words = [f"word{i}" for i in range(3000)]
     groups = [" ".join(rng.choice(words, 80)) for _ in range(40)]
     df = spark.createDataFrame([(i, groups[i % 40]) for i in range(400)], "doc_id bigint, text string")
-    order = [r.doc_id % 40 for r in curve_order(df, work_dir(spark, "curve"), PATH, part_tokens=1000).orderBy("part", "before").collect()]
+    tokens = write_tokens(df, work_dir(spark, "tokens"), PATH)
+    ordered = curve_order(tokens, work_dir(spark, "curve"), part_tokens=1000)
+    order = [r.doc_id % 40 for r in ordered.orderBy("part", "before").collect()]
     assert len(list(itertools.groupby(order))) == 40
 
 
@@ -109,8 +112,7 @@ WORDS = st.sampled_from(["it's", "don't,", "x1", "Größe", "...", "日本語",
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.one_of(SPACES, WORDS, st.text(max_size=4)), max_size=30).map("".join))
 def test_ids_by_words_and_blocks_are_the_ids_of_the_whole(text):
-    encode = ENCODER
-    assert encode(text).tolist() == ids_of(text)[:-1].tolist()
+    assert ENCODER(text).tolist() == ids_of(text)[:-1].tolist()
 
 
 ENCODER = Encoder(PATH)
