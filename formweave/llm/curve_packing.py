@@ -17,6 +17,8 @@ summed across ranges.
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import os
 import re
 import zlib
@@ -39,19 +41,45 @@ BUCKETS = 256
 SEGMENT = 1 << 16
 PART_TOKENS = 64_000_000
 BLOCK_CHARS = 1 << 18
-CACHE = 500_000
 
 # A text may be cut before a space or line break that follows a character
 # which is no white space of any kind: no token spans that place, and the
 # tokens of both sides are those of the whole.
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])[ \n]")
-_WORD = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+
+
+def byte_of_character() -> dict[str, int]:
+    """Byte-level files write a byte as the character of its number if that is
+    printable, else as the next character from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(hidden)}}
+
+
+def merge_ranks(path: str) -> dict[bytes, int] | None:
+    """The vocabulary of a plain byte-level file, in which a token's id is the
+    rank of its merge; None for any other file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    if (model["type"] != "BPE" or spec.get("normalizer") or model.get("ignore_merges") or model.get("dropout")
+            or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex")):
+        return None
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    if any(model["vocab"].get(m) != 256 + i for i, m in enumerate(merged)):
+        return None
+    byte_of = byte_of_character()
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if i < 256 + len(merged)}
+    return ranks if len(ranks) == 256 + len(merged) else None
 
 
 class Encoder:
-    """Token ids of texts by a ``tokenizers`` file.  Words seen before come
-    from a bounded cache; strings of special tokens are ordinary text."""
+    """Token ids of texts, as ``tokenizers`` gives them for the file at
+    ``path``; strings of special tokens are ordinary text.
+
+    A plain byte-level file is run by its own merge ranks in ``tiktoken``, for
+    a third of the time; ``tokenizers`` runs every other file, and
+    :meth:`check` compares the two."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -59,57 +87,40 @@ class Encoder:
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        line_break = self.model.encode("\n", add_special_tokens=False).ids
-        self.line_break = line_break[0] if len(line_break) == 1 else None
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of words without line breaks and with at most one leading
-        space: all at once as lines of one text, cut again at the line breaks,
-        whose id no such word contains."""
-        ids = np.array(self.model.encode_batch_fast(["\n".join([*words, ""])], add_special_tokens=False)[0].ids, self.dtype)
-        ends = np.flatnonzero(ids == self.line_break)
-        if self.line_break is None or len(ends) != len(words):
-            return self._whole(words)
-        flat, at, out = ids.tobytes(), 0, []
-        for end in (ends * ids.itemsize).tolist():
-            out.append(flat[at:end])
-            at = end + ids.itemsize
-        return out
-
-    def _block(self, text: str) -> bytes:
-        if _OTHER_SPACE.search(text):
-            return self._whole([text])[0]
-        parts = _WORD.findall(text)
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = {w for w in parts if w not in self.known}
-        plain = [w for w in new if w[:2].strip(" ") and "\n" not in w]
-        self.known.update(zip(plain, self._words(plain)))
-        rest = [w for w in new if w not in self.known]
-        if rest:
-            self.known.update(zip(rest, self._whole(rest)))
-        return b"".join([self.known[w] for w in parts])
-
-    def __call__(self, text: str) -> np.ndarray:
-        """The ids of one text, taken in blocks so that memory beyond the ids
-        themselves does not grow with it."""
-        out, at = [], 0
+        ranks = merge_ranks(path)
+        self.ranked = None
+        if ranks:
+            import tiktoken
+            self.ranked = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _block(self, text: str) -> np.ndarray:
+        if self.ranked:
+            return np.array(self.ranked.encode_ordinary(text), self.dtype)
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def blocks(self, text: str) -> Iterator[str]:
+        at = 0
         while at < len(text):
             cut = _CUT.search(text, at + BLOCK_CHARS)
             end = cut.start() if cut else len(text)
-            out.append(self._block(text[at:end]))
+            yield text[at:end]
             at = end
-        return np.frombuffer(b"".join(out), self.dtype)
+
+    def __call__(self, text: str) -> np.ndarray:
+        """The ids of one text, taken in blocks so that memory beyond the ids
+        themselves does not grow with it."""
+        return np.concatenate([np.zeros(0, self.dtype), *map(self._block, self.blocks(text))])
+
+    def check(self, text: str) -> None:
+        """Raise if the first block's ids are not those of ``tokenizers``."""
+        for block in itertools.islice(self.blocks(text), 1):
+            if self._block(block).tolist() != self.model.encode(block, add_special_tokens=False).ids:
+                raise ValueError("the ranks of the vocabulary file give other ids than tokenizers")
 
 
 @functools.lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """One encoder a worker process, so that its cache serves all its tasks."""
+    """One encoder a worker process for all its tasks."""
     return Encoder(path)
 
 
@@ -177,7 +188,10 @@ def _tokenise(path: str, end_id: int):
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _TOKEN_FIELDS)],
                                               schema=_TOKEN_FIELDS)
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), text_column(batch)):
+            texts = text_column(batch)
+            if batch.num_rows:
+                encode.check(texts[0].as_py())
+            for doc, text in zip(batch.column(0).to_pylist(), texts):
                 ids = encode(text.as_py())
                 point = project(ids)
                 ids = np.concatenate((ids, end))

@@ -11,8 +11,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from formweave.llm import curve_packing
-from formweave.llm.curve_packing import (Encoder, Projection, curve_order, hilbert_key, pack_documents,
-                                            sequence_ends, write_tokens)
+from formweave.llm.curve_packing import (Encoder, Projection, curve_order, hilbert_key, merge_ranks,
+                                            pack_documents, sequence_ends, write_tokens)
 from formweave.session import work_dir
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -120,6 +120,18 @@ ENCODER = Encoder(PATH)
 
 def test_blocks_of_long_texts(monkeypatch):
     monkeypatch.setattr(curve_packing, "BLOCK_CHARS", 5)
-    monkeypatch.setattr(curve_packing, "CACHE", 3)
     for text in ("one two  three\n\nfour\tfive 'll six " * 50, "x" * 3000, " " * 300, "a \tb " * 40):
-        assert Encoder(PATH)(text).tolist() == ids_of(text)[:-1].tolist()
+        assert ENCODER(text).tolist() == ids_of(text)[:-1].tolist()
+
+
+def test_given_texts_have_the_ids_of_the_library(documents):
+    for r in documents.collect():
+        ENCODER.check(r.text)
+        assert ENCODER(r.text).tolist() == ids_of(r.text)[:-1].tolist()
+
+
+def test_other_files_run_in_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert merge_ranks(path) is None and len(merge_ranks(PATH)) == 50256
+    model = Tokenizer.from_file(path)
+    assert Encoder(path)("Some words, and more.").tolist() == model.encode("Some words, and more.", add_special_tokens=False).ids
