@@ -59,16 +59,28 @@ def in_range(c: Column, lo=None, hi=None) -> Column:
     return F.coalesce(cond, F.lit(True))
 
 
+# Up to this many cells are summed side by side in one aggregate; a wider
+# report counts the numbers of the cells that rows fail.
+SUMMED_CELLS = 96
+
+
 def _tall(df: DataFrame, cells: list[tuple[str, str, Column]]) -> DataFrame:
-    """``(field, rule, n_bad)`` of all cells, zeros included.
+    """``(field, rule, n_bad)`` of all cells, zeros included, from one scan.
 
-    Each row gives the numbers of the cells it fails, and these are counted
-    by one aggregate with map-side combine.  So the plan has one grouped
-    count however many fields and rules there are.
+    Few cells are conditional counts of one aggregate, one row a task.  With
+    many (thousands of columns), each row gives the numbers of the cells it
+    fails, which are counted with map-side combine: the plan then has one
+    grouped count however many fields and rules there are.  Both give the
+    same rows.
     """
     spark = df.sparkSession
     if not cells:
         return spark.createDataFrame([], "field string, rule string, n_bad bigint")
+    if len(cells) <= SUMMED_CELLS:
+        row = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(cells)])
+        return row.select(F.inline(F.array(*[
+            F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule"), F.col(f"n{i}").alias("n_bad"))
+            for i, (f, r, _) in enumerate(cells)])))
     failed = F.array_compact(F.array(*[F.when(bad, F.lit(i)) for i, (_, _, bad) in enumerate(cells)]))
     counts = df.select(F.explode(failed).alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
     names = spark.createDataFrame([(i, f, r) for i, (f, r, _) in enumerate(cells)], "cell int, field string, rule string")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from formweave.plans import fixtures as fx
 from formweave.plans import spec_exports
-from formweave.plans.roundtrip import BIOREPOSITORY_SAMPLE, REGISTRY_SAMPLE
+from formweave.plans.specs import biorepository_profile, registry_profile
 
 DATE_SQL_FORMATS = ("%Y-%m-%d", "%Y-%m-%d %H:%M", "%Y-%m-%d %H:%M:%S", "%m/%d/%Y", "%m/%d/%Y %H:%M")
 SF_DIR = "/root/testdata/sf0.01"
@@ -404,10 +404,10 @@ ORACLES: dict[str, str] = {
     "registered_checks": REGISTERED_CHECKS,
     "batch_assets": BATCH_ASSETS,
     "sorted_files": SORTED_FILES,
-    "registry_tables": spec_exports.tables_sql(REGISTRY_SAMPLE),
-    "biorepository_tables": spec_exports.tables_sql(BIOREPOSITORY_SAMPLE),
-    "profile_report": spec_exports.report_sql(REGISTRY_SAMPLE),
-    "sample_report": spec_exports.report_sql(BIOREPOSITORY_SAMPLE),
+    "registry_tables": spec_exports.tables_sql(registry_profile()),
+    "biorepository_tables": spec_exports.tables_sql(biorepository_profile()),
+    "profile_report": spec_exports.report_sql(registry_profile()),
+    "sample_report": spec_exports.report_sql(biorepository_profile()),
     "checkbox_table": CHECKBOX_TABLE,
     "stream_checkbox_table": CHECKBOX_TABLE,
     "recode": RECODE,

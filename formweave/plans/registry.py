@@ -24,6 +24,7 @@ from formweave.operators.validate import (all_true, check_columns, decimals_chec
                                           range_report, recode_report, register_check, required_report, verify_all)
 from formweave.plans import fixtures as fx
 from formweave.plans.compiled import CompiledDictionary
+from formweave.plans.specs import biorepository_profile, registry_profile
 from formweave.plans.tables import TableSpec, build_parent, build_table, schema_table
 from formweave.sources.dictionary import prepare_dictionary
 from formweave.sources.dump import drop_all_null, drop_null_key, normalize_nulls
@@ -231,30 +232,30 @@ def q_recode_report(spark, sf_dir):
 
 
 def q_registry_tables(spark, sf_dir):
-    """Real Registry specifications over a derived export of full width,
-    through files."""
+    """All 21 Registry specifications (and their children) over a
+    derived export of full width, through files, from one pass."""
     from formweave.plans import roundtrip
-    return roundtrip.spec_tables(spark, sf_dir, roundtrip.REGISTRY_SAMPLE)
+    return roundtrip.spec_tables(spark, sf_dir, registry_profile())
 
 
 def q_biorepository_tables(spark, sf_dir):
-    """The real Biorepository sample specification, through files."""
+    """All three Biorepository specifications, through files."""
     from formweave.plans import roundtrip
-    return roundtrip.spec_tables(spark, sf_dir, roundtrip.BIOREPOSITORY_SAMPLE)
+    return roundtrip.spec_tables(spark, sf_dir, biorepository_profile())
 
 
 def q_profile_report(spark, sf_dir):
     """V5/V6/S12/N7 of a profile run: forced lab types, date bounds, bad dates
     and unknown codes, counted on the text as read."""
     from formweave.plans import roundtrip
-    return roundtrip.run_specs(spark, sf_dir, roundtrip.REGISTRY_SAMPLE).column_report.where("n_bad > 0")
+    return roundtrip.spec_report(spark, sf_dir, registry_profile())
 
 
 def q_sample_report(spark, sf_dir):
     """The same for the Biorepository profile, with the rows dropped for a
     missing key."""
     from formweave.plans import roundtrip
-    return roundtrip.run_specs(spark, sf_dir, roundtrip.BIOREPOSITORY_SAMPLE).column_report.where("n_bad > 0")
+    return roundtrip.spec_report(spark, sf_dir, biorepository_profile())
 
 
 def q_sorted_files(spark, sf_dir):
