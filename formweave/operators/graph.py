@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.functions.logic import has_logic, logic_values, logic_variables
+from formweave.functions.logic import has_logic, logic_tokens, logic_values, logic_variables
 
 # Fixed value: the root node.
 START = "start"
@@ -57,3 +57,10 @@ def logic_value_table(dd: DataFrame) -> DataFrame:
     _, lower = split_by_logic(dd)
     return lower.select("field", F.posexplode(logic_values(F.col("logic"))).alias("pos", "value")) \
         .select("field", F.col("pos").cast("bigint").alias("pos"), "value")
+
+
+def logic_token_table(dd: DataFrame) -> DataFrame:
+    """``(field, pos, kind, op, text)``: every token of every field's logic."""
+    _, lower = split_by_logic(dd)
+    return lower.select("field", F.posexplode(logic_tokens(F.col("logic"))).alias("pos", "t")) \
+        .select("field", F.col("pos").cast("bigint").alias("pos"), "t.kind", "t.op", "t.text")

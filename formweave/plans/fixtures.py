@@ -175,3 +175,20 @@ def views_sql(name: str) -> str:
         "orders_samples": ORDERS_SAMPLES_SQL,
         "orders_samples_dict": ORDERS_SAMPLES_DICT_SQL,
     }[name]
+
+# Branching logic as people write it, one per part: signed codes, signed
+# numbers and decimals, brackets, operators and gates inside quotes, quotes
+# never closed, event-qualified variables, and literals on the left.
+PART_LOGIC_SQL = """
+select 'f' || cast(p_partkey as string) as field,
+       case p_partkey % 8
+            when 0 then '[f' || cast(p_size as string) || '(-1)] = ''1'' and [f1] >= -' || cast(p_size as string) || '.5'
+            when 1 then '[a] = "see [b' || cast(p_size as string) || '] here" or ([c]<>"" and not [d] = "x and y")'
+            when 2 then '[ev' || cast(p_size as string) || '] [f2(10)] > 2.5 AND [f3]!=.75'
+            when 3 then '[f4] = ''it "is" <= ' || cast(p_size as string) || '''  or  [f5] < +' || cast(p_size as string)
+            when 4 then '''' || p_brand || ''' = [f6] and [f7] = ' || replace(p_brand, '#', '_')
+            when 5 then 'datediff([f8], "today", "d") >= ' || cast(p_size as string) || ' or [f9] = "open'
+            when 6 then '[f10(abc)][f11(1.2)] <= 1.2.3 or [no bracket = 4'
+            when 7 then '  ' end as logic
+from part
+"""

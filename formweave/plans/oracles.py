@@ -244,6 +244,31 @@ LOGIC_VALUES = _with(*PART, r"""lv as (
                      "lv2 as (select field, arr, unnest(range(0, len(arr))) as pos from lv)") + r"""
 select field, pos, regexp_replace(arr[pos + 1], '^[''"]|[''"]$', '', 'g') as value from lv2"""
 
+# Quoted text is taken out first (a mark holds its place), then the rest is read.
+LOGIC_TOKENS = f"""
+with dd as ({fx.PART_LOGIC_SQL}),
+quoted as (select field, logic, regexp_extract_all(logic, '''[^'']*''|"[^"]*"') as strings from dd where trim(logic) <> ''),""" + r"""
+marked as (
+  select field, strings, regexp_extract_all(
+    regexp_replace(logic, '''[^'']*''|"[^"]*"', '§', 'g'),
+    '(?:<>|>=|<=|!=|=|<|>)\s*(?:§|[+-]?\.?\w+(?:\.\w+)*)|§|(?:\[\w+(?:\([^()\]]*\))?\]\s*)+|<>|>=|<=|!=|=|<|>|\w+(?:\.\w+)*|[()]') as toks
+  from quoted),
+numbered as (
+  select field, i - 1 as pos, toks[i] as tok, strings[len(list_filter(toks[1:i], lambda t: contains(t, '§')))] as own
+  from (select *, unnest(range(1, len(toks) + 1)) as i from marked))
+select field, pos,
+       case when tok[1] = '[' then 'variable' when tok = '§' then 'string' when tok in ('(', ')') then 'paren'
+            when tok in ('<>', '>=', '<=', '!=', '=', '<', '>') then 'operator'
+            when tok[1] in ('<', '>', '=', '!') then 'comparison'
+            when lower(tok) in ('and', 'or', 'not') then 'gate' else 'word' end as kind,
+       nullif(regexp_extract(tok, '^(<>|>=|<=|!=|=|<|>)', 1), '') as op,
+       case when tok[1] = '[' then regexp_replace(regexp_replace(trim(tok), '\]\s*\[', ':', 'g'), '^\[|\]$', '', 'g')
+            when contains(tok, '§') then substr(own, 2, length(own) - 2)
+            when tok in ('<>', '>=', '<=', '!=', '=', '<', '>') then tok
+            when tok[1] in ('<', '>', '=', '!') then regexp_replace(tok, '^[<>=!]+\s*', '')
+            when lower(tok) in ('and', 'or', 'not') then lower(tok) else tok end as text
+from numbered"""
+
 _MISSING = "('f3', 'f10', 'f17', 'f24')"
 VALIDATION_TABLE = _with(*PART, f"""v as (
   select field, case when field in {_MISSING} then 'number' else vtype end as vtype, vmin, vmax
@@ -417,6 +442,7 @@ ORACLES: dict[str, str] = {
     "section_header": SECTION_HEADER,
     "branch_edges": BRANCH_EDGES,
     "logic_values": LOGIC_VALUES,
+    "logic_tokens": LOGIC_TOKENS,
     "validation_table": VALIDATION_TABLE,
     "field_map": FIELD_MAP,
     "type_counts": TYPE_COUNTS,

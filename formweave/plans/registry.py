@@ -412,6 +412,12 @@ def q_logic_values(spark, sf_dir):
     return graph.logic_value_table(part_dict(spark, sf_dir))
 
 
+def q_logic_tokens(spark, sf_dir):
+    """Every token of branching logic as people write it."""
+    _view(spark, sf_dir, "part")
+    return graph.logic_token_table(spark.sql(fx.PART_LOGIC_SQL))
+
+
 def q_validation_table(spark, sf_dir):
     """Validation types and typed bounds."""
     return metadata.validation_table(part_dict(spark, sf_dir), PART_MISSING_TYPES)
@@ -487,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "section_header": q_section_header,
     "branch_edges": q_branch_edges,
     "logic_values": q_logic_values,
+    "logic_tokens": q_logic_tokens,
     "validation_table": q_validation_table,
     "field_map": q_field_map,
     "type_counts": q_type_counts,

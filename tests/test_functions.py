@@ -219,3 +219,19 @@ def test_known_code_matches_text_rule(spark):
     got = [r[0] for r in df.select(known_code(F.col("v"), keys)).collect()]
     want = [None if v is None else (abs(v) < 2 ** 63 and str(int(v)) in keys) for v in vals]
     assert got == want
+
+
+@pytest.mark.parametrize("logic,variables,values", [
+    ('[a] = "see [b] here"', ["a"], ["see [b] here"]),
+    ("[x] >= -1.5", ["x"], ["-1.5"]),
+    ("[x] > 2.5", ["x"], ["2.5"]),
+    ("[x(-1)] = '1'", ["x(-1)"], ["1"]),
+    ("[a]='x = [c] and \"y\"' or [b]<>\"\"", ["a", "b"], ["x = [c] and \"y\"", ""]),
+    ("[ev][v(1)] <= +.5 and 'lone", ["ev:v(1)"], ["+.5"]),
+    ("[a] = [b]", ["a", "b"], []),
+    ("'4' = [a]", ["a"], []),
+    ("", [], []),
+])
+def test_logic_is_read_by_tokens(spark, logic, variables, values):
+    df = spark.createDataFrame([(logic,)], "l string")
+    assert list(df.select(logic_variables(F.col("l")), logic_values(F.col("l"))).first()) == [variables, values]

@@ -105,3 +105,62 @@ def test_logic_variable_count_random(spark):
     got = run(spark, logics, logic_variables)
     assert got == want
     assert all(re.fullmatch(r"[\w:()]+", v) for vs in got for v in vs)
+
+
+def plain_tokens(text):
+    """Branching-logic tokens by a hand-written reader, character by character."""
+    ops = ("<>", ">=", "<=", "!=", "=", "<", ">")
+    word = re.compile(r"\w+(\.\w+)*", re.ASCII)
+    literal = re.compile(r"[+-]?\.?\w+(\.\w+)*", re.ASCII)
+    variable = re.compile(r"\[\w+(\(-?\w+(\.\w+)?\))?\]\s*", re.ASCII)
+
+    def quoted(at):
+        if at < len(text) and text[at] in "'\"" and text.find(text[at], at + 1) > 0:
+            return text.find(text[at], at + 1) + 1
+        return None
+
+    out, at = [], 0
+    while at < len(text):
+        op = next((o for o in ops if text.startswith(o, at)), None)
+        if op:
+            start = at + len(op)
+            while start < len(text) and text[start] in " \t\n\r\f\v":
+                start += 1
+            m = literal.match(text, start)
+            end = quoted(start) or (m.end() if m else None)
+            if end:
+                value = text[start:end]
+                out.append(("comparison", op, value[1:-1] if value[0] in "'\"" else value))
+                at = end
+            else:
+                out.append(("operator", op, op))
+                at += len(op)
+        elif quoted(at):
+            out.append(("string", None, text[at + 1:quoted(at) - 1]))
+            at = quoted(at)
+        elif variable.match(text, at):
+            names = []
+            while m := variable.match(text, at):
+                names.append(m.group().strip()[1:-1])
+                at = m.end()
+            out.append(("variable", None, ":".join(names)))
+        elif m := word.match(text, at):
+            w = m.group()
+            out.append(("gate", None, w.lower()) if w.lower() in ("and", "or", "not") else ("word", None, w))
+            at = m.end()
+        else:
+            if text[at] in "()":
+                out.append(("paren", None, text[at]))
+            at += 1
+    return out
+
+
+def test_logic_tokens_random(spark):
+    from formweave.functions.logic import logic_tokens
+    rnd = random.Random(18)
+    bits = ["[a]", "[b(1)]", "[c(-2)]", "[ev] ", "[", "]", "'", '"', " ", "and", " OR ", "=", "<", ">", "!", "<>", ">=",
+            "-1.5", "+2", ".5", "3.", "x_1", "(", ")", "é", "'q [z] = 1'", '""', "not"]
+    logics = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) for _ in range(4 * N)]
+    got = run(spark, logics, logic_tokens)
+    for text, tokens in zip(logics, got):
+        assert [tuple(t) for t in tokens] == plain_tokens(text), text
