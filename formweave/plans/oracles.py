@@ -419,7 +419,16 @@ from f"""
 
 SORTED_FILES = "select count(*) as n_rows, 0 as n_unsorted from orders"
 
+# What a CSV reader without a schema gives: text.
+MISNAMED_FILES = f"""
+select cast(subid as varchar) as subid, redcap_event_name, cast(site as varchar) as site, race_oth, age
+from ({fx.CUSTOMER_DUMP_SQL})"""
+
+ORDERED_DICTIONARY = _with(*PART) + "select ord - (select min(p_partkey) from part) as ord, field, form, hdr from dd"
+
 ORACLES: dict[str, str] = {
+    "misnamed_files": MISNAMED_FILES,
+    "ordered_dictionary": ORDERED_DICTIONARY,
     "unpivot_checkbox": UNPIVOT_CHECKBOX,
     "category_columns": CATEGORY_COLUMNS,
     "raw_edges": RAW_EDGES,

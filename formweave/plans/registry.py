@@ -397,6 +397,18 @@ def q_section_header(spark, sf_dir):
     return part_dict(spark, sf_dir).select("field", "form", "hdr")
 
 
+def q_misnamed_files(spark, sf_dir):
+    """T4: an export whose files' names tell nothing of their compression."""
+    from formweave.plans import roundtrip
+    return roundtrip.misnamed_round_trip(spark, sf_dir)
+
+
+def q_ordered_dictionary(spark, sf_dir):
+    """A dictionary in several files keeps the order of the files."""
+    from formweave.plans import roundtrip
+    return roundtrip.ordered_dictionary(spark, sf_dir)
+
+
 def q_branch_edges(spark, sf_dir):
     """Branching-logic edges."""
     return graph.build_graph(part_dict(spark, sf_dir))
@@ -530,4 +542,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "biorepository_tables": q_biorepository_tables,
     "profile_report": q_profile_report,
     "sample_report": q_sample_report,
+    "misnamed_files": q_misnamed_files,
+    "ordered_dictionary": q_ordered_dictionary,
 }

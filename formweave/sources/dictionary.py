@@ -8,11 +8,12 @@ a distributed plan; nothing is collected here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from formweave.functions.choices import default_yesno
 from formweave.plans.ordering import forward_fill
+from formweave.sources.compression import readable_paths
 
 # The export's dictionary headers and our short names.
 DICT_HEADERS = {
@@ -82,19 +83,37 @@ def prepare_dictionary(dd: DataFrame, fill_headers: bool = True) -> DataFrame:
     return dd
 
 
-def read_dictionary_raw(spark: SparkSession, path: str) -> DataFrame:
+def file_order(rows: DataFrame, out: str = "ord") -> DataFrame:
+    """Add the place of each row over all files of ``rows``, a frame just read:
+    files in order of their paths, rows as they stand in the file.
+
+    A file must be read by one task (``multiLine``), however tasks pack files:
+    its rows then have consecutive ids, so the place is the id less the file's
+    first one, plus the rows of the files before it.  Only one row per file is
+    summed across files.
+    """
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_id"))
+    files = placed.groupBy("_file").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return (placed.join(offsets, "_file").withColumn(out, F.col("_id") + F.col("_shift"))
+            .drop("_file", "_id", "_shift"))
+
+
+def read_dictionary_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The dictionary CSV as strings with an ``ord`` column, headers renamed.
 
     ``multiLine`` keeps quoted newlines inside a cell and reads each file
-    whole, so ``monotonically_increasing_id`` follows file order.
+    whole.  Several files follow each other in order of their paths, whatever
+    their sizes; compression is told by content.
     """
     raw = (spark.read.option("header", True).option("multiLine", True)
-           .option("escape", '"').option("inferSchema", False).csv(path))
+           .option("escape", '"').option("inferSchema", False).csv(readable_paths(spark, path)))
     if not raw.columns:
         raise EmptyInputError(f"dictionary file is empty: {path}")
-    return rename_headers(raw.withColumn("ord", F.monotonically_increasing_id()))
+    return rename_headers(file_order(raw))
 
 
-def read_dictionary(spark: SparkSession, path: str, fill_headers: bool = True) -> DataFrame:
+def read_dictionary(spark: SparkSession, path: str | list[str], fill_headers: bool = True) -> DataFrame:
     """Read and prepare a dictionary CSV."""
     return prepare_dictionary(read_dictionary_raw(spark, path), fill_headers=fill_headers)

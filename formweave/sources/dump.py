@@ -19,16 +19,20 @@ from pyspark.sql import types as T
 from formweave.functions.nulls import nan_to_null
 from formweave.operators.typing import dump_schema, recast
 from formweave.plans.compiled import CompiledDictionary
+from formweave.sources.compression import readable_paths
 from formweave.sources.dictionary import EmptyInputError
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             repartition: int | None = None, **options) -> DataFrame:
-    """T4: CSV with a header; gzip is chosen by file extension.
+def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
+             repartition: int | None = None, sniff: bool = True, **options) -> DataFrame:
+    """T4: CSV with a header; compression is told by content, whatever the
+    files are called (``sniff=False`` trusts the names).
 
     Raises on an empty file (Spark itself returns an empty schema).  A
     gzip file is one task; ``repartition`` spreads the rows after the read.
     """
+    if sniff:
+        path = readable_paths(spark, path)
     reader = spark.read.option("header", True).option("escape", '"')
     for k, v in options.items():
         reader = reader.option(k, v)
@@ -44,7 +48,7 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return df
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
+def read_header(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names from the first line of the export (one short read)."""
     first = spark.read.text(path).first()
     if first is None or not first[0].strip():
@@ -59,7 +63,7 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
     return df.select(*exprs)
 
 
-def read_dump(spark: SparkSession, path: str, compiled: CompiledDictionary,
+def read_dump(spark: SparkSession, path: str | list[str], compiled: CompiledDictionary,
               keys: Iterable[str] = (), allowed_extra: Iterable[str] = (),
               drop_null_keys: bool = False, unknown_type: str = "raise",
               strict: bool = True, repartition: int | None = None,
@@ -74,9 +78,10 @@ def read_dump(spark: SparkSession, path: str, compiled: CompiledDictionary,
     each file is then parsed by one task, so split large exports into many
     files (or ``repartition``) when using it.
     """
+    path = readable_paths(spark, path)
     header = read_header(spark, path)
     schema, rtypes = dump_schema(header, compiled, allowed_extra, unknown_type=unknown_type)
-    df = load_csv(spark, path, schema=schema, repartition=repartition,
+    df = load_csv(spark, path, schema=schema, repartition=repartition, sniff=False,
                   mode="FAILFAST" if strict else "PERMISSIVE", multiLine=multi_line)
     df = normalize_nulls(df)
     typed, missing = recast(df, compiled)
