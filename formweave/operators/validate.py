@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formweave.functions.casts import DATE_VTYPES, cast_date, has_numeric_bounds, known_code
+from formweave.functions.casts import DATE_VTYPES, cast_date, has_numeric_bounds, kept_code_text, known_code
+from formweave.operators.metadata import malformed_choices
 from formweave.plans.compiled import CompiledDictionary
 
 # Validation kinds read as numbers.
@@ -188,6 +189,17 @@ def _num(text: str | None):
         return None
 
 
+def _all_rules(df: DataFrame, compiled: CompiledDictionary, extra_checks) -> list[tuple[str, str, Column]]:
+    """The cells of :func:`column_rules` and those of the registered checks."""
+    cells = column_rules(df, compiled)
+    checks = COLUMN_CHECKS if extra_checks is None else extra_checks
+    for c, rules in checks.items():
+        if c in df.columns:
+            for rule, bad in rules.items():
+                cells.append((c, rule, F.coalesce(bad(F.col(c)), F.lit(False))))
+    return cells
+
+
 def check_columns(df: DataFrame, compiled: CompiledDictionary,
                   extra_checks: Mapping[str, Mapping[str, Callable[[Column], Column]]] | None = None) -> DataFrame:
     """V6: ``(field, rule, n_bad)`` for every applicable rule of every column.
@@ -196,13 +208,54 @@ def check_columns(df: DataFrame, compiled: CompiledDictionary,
     user rules; all rules are counted by the same aggregate.  Run it on the
     export as read, with dates as text, so that bad dates are counted too.
     """
-    cells = column_rules(df, compiled)
-    checks = COLUMN_CHECKS if extra_checks is None else extra_checks
-    for c, rules in checks.items():
-        if c in df.columns:
-            for rule, bad in rules.items():
-                cells.append((c, rule, F.coalesce(bad(F.col(c)), F.lit(False))))
-    return _tall(df, cells)
+    return _tall(df, _all_rules(df, compiled, extra_checks))
+
+
+def offending_values(df: DataFrame, compiled: CompiledDictionary, dictionary: DataFrame | None = None,
+                     extra_checks: Mapping[str, Mapping[str, Callable[[Column], Column]]] | None = None) -> DataFrame:
+    """V5: the values behind :func:`check_columns`, ``(field, rule, value, n)``.
+
+    One row per distinct value that fails a rule of a column, with the number
+    of rows that hold it; per (field, rule) these add up to ``n_bad``.  A code
+    is shown as in the export (``9``, ``1.5``); a missing value is null.  With
+    ``dictionary``, malformed items of choice lists are rows of the rule
+    ``malformed_choice``.
+
+    One scan; the count is exact and has two stages (tasks count their own
+    values before the shuffle, which deals whole (field, rule, value) keys), so
+    neither a value nor a field that fails everywhere gathers rows in a task.
+    """
+    spark = df.sparkSession
+    cells = []
+    for c, rule, bad in _all_rules(df, compiled, extra_checks):
+        shown = kept_code_text(F.col(c)) if isinstance(df.schema[c].dataType, T.NumericType) else F.col(c).cast("string")
+        cells.append(F.when(bad, F.struct(F.lit(c).alias("field"), F.lit(rule).alias("rule"), shown.alias("value"))))
+    if cells:
+        rows = df.select(F.inline(F.array_compact(F.array(*cells))))
+    else:
+        rows = spark.createDataFrame([], "field string, rule string, value string")
+    if dictionary is not None:
+        rows = rows.unionByName(malformed_choices(dictionary).select(
+            "field", F.lit("malformed_choice").alias("rule"), F.col("item").alias("value")))
+    return rows.groupBy("field", "rule", "value").agg(F.count("*").alias("n"))
+
+
+def top_offenders(values: DataFrame, k: int = 10, salts: int = 64) -> DataFrame:
+    """The ``k`` most frequent values of each (field, rule) of
+    :func:`offending_values`, for display, with their ``place`` from 1; ties by
+    value, null first.
+
+    A field may fail with as many values as there are rows (free text), so the
+    values are ranked within ``salts`` hash parts first, and only ``k`` of each
+    part are ranked together.
+    """
+    order = [F.col("n").desc(), F.col("value").asc_nulls_first()]
+    within = Window.partitionBy("field", "rule", "_salt").orderBy(*order)
+    some = (values.withColumn("_salt", F.pmod(F.xxhash64("value"), F.lit(salts)))
+            .withColumn("_place", F.row_number().over(within)).where(F.col("_place") <= k))
+    place = F.row_number().over(Window.partitionBy("field", "rule").orderBy(*order))
+    return (some.withColumn("place", place.cast("bigint")).where(F.col("place") <= k)
+            .select("field", "rule", "place", "value", "n"))
 
 
 def all_true(df: DataFrame, check: Column) -> Column:

@@ -426,7 +426,47 @@ from ({fx.CUSTOMER_DUMP_SQL})"""
 
 ORDERED_DICTIONARY = _with(*PART) + "select ord - (select min(p_partkey) from part) as ord, field, form, hdr from dd"
 
+_KEPT = "case when {c} = trunc({c}) then cast(cast({c} as bigint) as varchar) else cast({c} as varchar) end"
+_FAILING = [
+    ("subid", "required", "cast(subid as varchar)", "subid is null"),
+    *[(c, "choice", _KEPT.format(c=c), f"{c} is not null and not coalesce(trunc({c}) between 0 and {high}, false)")
+      for c, high in (("gender", 2), ("site", 1), ("ibd", 1))],
+    *[(c, "required", "null", f"{c} is null") for c in ("gender", "ibd", "age")],
+    ("age", "type", "age", "age is not null and try_cast(age as double) is null"),
+    ("age", "range", "age", "try_cast(age as double) not between 0 and 20"),
+    ("balance", "type", "balance", "balance is not null and try_cast(balance as double) is null"),
+    ("balance", "decimals", "balance", r"balance is not null and not regexp_full_match(balance, '[+-]?\d+(\.\d\d)?')"),
+    ("balance", "range", "balance", "try_cast(balance as double) not between 0 and 5000")]
+_FAILING_ORDERS = [
+    ("subid", "required", "subid", "subid is null"), ("priority", "required", "null", "priority is null"),
+    *[(c, "choice", _KEPT.format(c=c), f"{c} is not null and not coalesce(trunc({c}) between {low} and {high}, false)")
+      for c, low, high in (("priority", 1, 5), ("paid", 0, 2))],
+    ("total", "type", "total", "total is not null and try_cast(total as double) is null"),
+    ("total", "range", "total", "try_cast(total as double) not between 1000 and 500000"),
+    ("visit_date", "required", "null", "visit_date is null"),
+    ("visit_date", "type", "visit_date", f"visit_date is not null and {_VISIT} is null"),
+    ("visit_date", "range", "visit_date", f"{_VISIT} not between date '1995-01-01' and date '2000-12-31'")]
+
+
+def _values(source: str, cells: list[tuple[str, str, str, str]]) -> str:
+    return " union all ".join(f"select '{f}' as field, '{r}' as rule, {v} as value from ({source}) where {bad}"
+                              for f, r, v, bad in cells)
+
+
+OFFENDING_VALUES = _with(*PART, f"""failing as (
+{_values(fx.CUSTOMER_DUMP_SQL, _FAILING)}
+union all {_values(fx.ORDERS_DUMP_SQL, _FAILING_ORDERS)}
+union all select field, 'malformed_choice', item from ch_parsed where not valid and not blank)""") + """
+select field, rule, value, count(*) as n from failing group by field, rule, value"""
+
+TOP_OFFENDERS = f"""
+select * from (
+  select field, rule, row_number() over (partition by field, rule order by n desc, value nulls first) as place, value, n
+  from ({OFFENDING_VALUES})) where place <= 3"""
+
 ORACLES: dict[str, str] = {
+    "offending_values": OFFENDING_VALUES,
+    "top_offenders": TOP_OFFENDERS,
     "misnamed_files": MISNAMED_FILES,
     "ordered_dictionary": ORDERED_DICTIONARY,
     "unpivot_checkbox": UNPIVOT_CHECKBOX,

@@ -21,7 +21,8 @@ from formweave.operators.checkbox import checkbox_table, unpivot_checkbox
 from formweave.operators.recode import recode_columns
 from formweave.operators.typing import category_columns, column_types, dump_schema, recast
 from formweave.operators.validate import (all_true, check_columns, decimals_check, is_number_ndp, numeric_bounds,
-                                          range_report, recode_report, register_check, required_report, verify_all)
+                                          offending_values, range_report, recode_report, register_check, required_report,
+                                          top_offenders, verify_all)
 from formweave.plans import fixtures as fx
 from formweave.plans.compiled import CompiledDictionary
 from formweave.plans.specs import biorepository_profile, registry_profile
@@ -231,6 +232,24 @@ def q_recode_report(spark, sf_dir):
         recode_report(raw, CompiledDictionary.compile(orders_dict(spark), raw.columns)))
 
 
+def _offending(spark, sf_dir):
+    customers, compiled = _customer(spark, sf_dir)
+    raw = orders_dump(spark, sf_dir)
+    return (offending_values(customers, compiled, part_dict(spark, sf_dir))
+            .unionByName(offending_values(raw, CompiledDictionary.compile(orders_dict(spark), raw.columns))))
+
+
+def q_offending_values(spark, sf_dir):
+    """V5: the values behind failed checks of two exports, and malformed choice
+    items, with their counts."""
+    return _offending(spark, sf_dir)
+
+
+def q_top_offenders(spark, sf_dir):
+    """V5: the three most frequent of them per field and rule."""
+    return top_offenders(_offending(spark, sf_dir), 3)
+
+
 def q_registry_tables(spark, sf_dir):
     """All 21 Registry specifications (and their children) over a
     derived export of full width, through files, from one pass."""
@@ -544,4 +563,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_report": q_sample_report,
     "misnamed_files": q_misnamed_files,
     "ordered_dictionary": q_ordered_dictionary,
+    "offending_values": q_offending_values,
+    "top_offenders": q_top_offenders,
 }

@@ -121,3 +121,36 @@ def test_field_subset(spark):
     assert sorted(r.field for r in b["not_checkboxes"].collect()) == ["f2"]
     assert {(r.ftype, r.n_fields) for r in b["type_counts"].collect()} == {("checkbox", 2), ("text", 1)}
     assert field_subset(dd, start=1, end=3)["fields"].count() == 2
+
+
+def test_offending_values_add_up_to_the_report(spark):
+    from formweave.operators.validate import check_columns, offending_values, top_offenders
+    dd = dictionary(spark, [row(0, "id", "text", required="y"), row(1, "sex", "radio", choices="0, No | x, bad | 1, Yes | x, bad"),
+                            row(2, "n", "text", vtype="integer", vmin="0", vmax="9"), row(3, "d", "text", vtype="date_mdy")])
+    rows = ([("a", 9.0, "x", "never")] * 40 + [("b", 1.5, str(i), "2001-01-01") for i in range(5, 60)]
+            + [(None, None, None, None)] * 3 + [("c", 1.0, "7", "31/31/2001")])
+    df = spark.createDataFrame(rows, "id string, sex double, n string, d string").repartition(5)
+    compiled = CompiledDictionary.compile(dd, df.columns)
+    values = offending_values(df, compiled, dd)
+    got = {(r.field, r.rule, r.value): r.n for r in values.collect()}
+    assert got["sex", "choice", "9"] == 40 and got["n", "type", "x"] == 40 and got["d", "type", "31/31/2001"] == 1
+    assert ("sex", "choice", "1.5") not in got          # 1.5 counts as code 1, as in recoding
+    assert got["id", "required", None] == 3 and got["sex", "malformed_choice", " x, bad "] + got["sex", "malformed_choice", " x, bad"] == 2
+    sums: dict = {}
+    for (field, rule, _), n in got.items():
+        sums[field, rule] = sums.get((field, rule), 0) + n
+    for r in check_columns(df, compiled).collect():
+        assert sums.get((r.field, r.rule), 0) == r.n_bad
+    top = [(r.place, r.value, r.n) for r in top_offenders(values, 4, salts=3).where("field = 'n' and rule = 'range'").orderBy("place").collect()]
+    assert top == [(1, "10", 1), (2, "11", 1), (3, "12", 1), (4, "13", 1)]
+
+
+def test_few_and_many_cells_give_one_report(spark, monkeypatch):
+    from formweave.operators import validate
+    dd = dictionary(spark, [row(i, f"c{i}", "text", vtype="integer", vmin="2", required="y") for i in range(6)])
+    df = spark.createDataFrame([tuple(str((i * j) % 5) if (i + j) % 3 else None for j in range(6)) for i in range(40)],
+                               ", ".join(f"c{i} string" for i in range(6)))
+    compiled = CompiledDictionary.compile(dd, df.columns)
+    few = sorted(map(tuple, validate.check_columns(df, compiled).collect()))
+    monkeypatch.setattr(validate, "SUMMED_CELLS", 0)
+    assert sorted(map(tuple, validate.check_columns(df, compiled).collect())) == few and len(few) == 18
