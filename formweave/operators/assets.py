@@ -9,6 +9,7 @@ chunks by a small Arrow-batched helper, so no file has to fit in memory.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -17,9 +18,6 @@ from pyspark.sql import functions as F
 
 from formweave.functions.paths import SUBJECT_PARSERS, directory, file_name, path_hash, stem
 
-ASSET_SCHEMA = ("path_hash bigint, file_name string, directory string, batch_code string, "
-                "file_type string, assay_type string, bytes bigint, subject_id string")
-
 # Largest file digested inside the JVM (one in-memory value per file).
 INLINE_DIGEST_MAX_BYTES = 64 * 1024 * 1024
 DIGEST_CHUNK_BYTES = 1024 * 1024
@@ -53,44 +51,138 @@ def list_files(spark: SparkSession, globs: str | Iterable[str]) -> DataFrame:
     return out
 
 
+def split_glob(glob: str) -> tuple[str, str]:
+    """The fixed folder of a glob and the pattern below it."""
+    parts = glob.split("/")
+    fixed = next((i for i, part in enumerate(parts) if any(c in part for c in "*?[{")), len(parts) - 1)
+    fixed = min(fixed, len(parts) - 1)
+    return "/".join(parts[:fixed]) or "/", "/".join(parts[fixed:])
+
+
+def glob_regex(pattern: str) -> str:
+    """A glob below a folder as a regular expression: ``*`` and ``?`` stay inside
+    a path segment, ``[a-c]``, ``[^a]`` and ``{x,y}`` as the file systems read them."""
+    out, at, braces = [], 0, 0
+    while at < len(pattern):
+        c = pattern[at]
+        close = pattern.find("]", at + 2) if c == "[" else -1
+        if c == "*":
+            out.append("[^/]*")
+        elif c == "?":
+            out.append("[^/]")
+        elif c == "[" and close > 0:
+            inside = pattern[at + 1:close].replace("\\", "\\\\")
+            out.append("[" + ("^" + inside[1:] if inside[0] in "!^" else inside) + "]")
+            at = close
+        elif c == "{":
+            out.append("(?:")
+            braces += 1
+        elif c == "}" and braces:
+            out.append(")")
+            braces -= 1
+        elif c == "," and braces:
+            out.append("|")
+        elif c == "\\" and at + 1 < len(pattern):
+            at += 1
+            out.append(re.escape(pattern[at]))
+        else:
+            out.append(re.escape(c))
+        at += 1
+    return "^" + "".join(out) + "$"
+
+
+def topmost(folders: Iterable[str]) -> list[str]:
+    """The folders that lie below no other one, by a walk through the tree of
+    their segments."""
+    tree: dict = {}
+    out: list[str] = []
+    for folder in sorted(set(folders), key=lambda f: f.count("/") if f != "/" else 0):
+        node, covered = tree, False
+        for part in folder.rstrip("/").split("/"):
+            node = node.setdefault(part, {})
+            covered = covered or node.get("/") is True
+        if not covered:
+            node["/"] = True            # no segment is called "/"
+            out.append(folder)
+    return out
+
+
+def _qualified(spark: SparkSession, folder: str) -> tuple[str, bool]:
+    """The folder as Spark lists it, and whether it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(where).toString(), fs.exists(where)
+
+
+def configured_files(spark: SparkSession, entries: Iterable[tuple[str, str, str, str]], repeats: bool = True) -> DataFrame:
+    """``(batch_code, file_type, assay_type, path, length)`` of the files that
+    match ``(batch_code, file_type, assay_type, glob)`` entries.
+
+    One listing whatever the number of globs: the fixed folders of all globs,
+    without those below another one, are listed once, and each file is joined
+    to the entries by the folders above it; the rest of the glob is a pattern
+    on the rest of the path.  A file that two globs of one batch and type match
+    is listed once for each (as the globs stand in the configuration);
+    ``repeats=False`` lists it once for the batch and type.  Globs and folders
+    without files give no rows.
+    """
+    found, folders = [], {}
+    for batch, ftype, assay, glob in entries:
+        folder, pattern = split_glob(glob)
+        if folder not in folders:
+            folders[folder] = _qualified(spark, folder)
+        found.append((batch, ftype, assay, folders[folder][0].rstrip("/"), glob_regex(pattern)))
+    roots = topmost(q for q, there in folders.values() if there)
+    if not found or not roots:
+        return spark.createDataFrame([], "batch_code string, file_type string, assay_type string, path string, length bigint")
+    wanted = spark.createDataFrame(found, "batch_code string, file_type string, assay_type string, _folder string, _pattern string")
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots).select("path", "length"))
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    out = (listed.select("path", "length", F.explode(above).alias("_folder")).join(wanted, "_folder")
+           .where(F.expr("substring(path, length(_folder) + 2) rlike _pattern"))
+           .select("batch_code", "file_type", "assay_type", "path", "length"))
+    return out if repeats else out.distinct()
+
+
+def _asset_columns(batch: Column, ftype: Column, assay: Column, subject: Column) -> list[Column]:
+    return [path_hash(F.col("path")).alias("path_hash"),
+            file_name(F.col("path")).alias("file_name"),
+            directory(F.col("path")).alias("directory"),
+            batch.alias("batch_code"), ftype.alias("file_type"), assay.alias("assay_type"),
+            F.col("length").cast("bigint").alias("bytes"), subject.alias("subject_id")]
+
+
 def asset_rows(files: DataFrame, batch_code: str, file_type: str, assay_type: str,
                parser: Callable[[Column], Column] | None = None) -> DataFrame:
     """A1 columns for one (batch, file type) listing; A2/A3 subject id."""
     name = file_name(F.col("path"))
     subject = parser(name) if parser is not None else stem(name)
-    return files.select(
-        path_hash(F.col("path")).alias("path_hash"),
-        name.alias("file_name"),
-        directory(F.col("path")).alias("directory"),
-        F.lit(batch_code).alias("batch_code"),
-        F.lit(file_type).alias("file_type"),
-        F.lit(assay_type).alias("assay_type"),
-        F.col("length").cast("bigint").alias("bytes"),
-        subject.alias("subject_id"),
-    )
+    return files.select(*_asset_columns(F.lit(batch_code), F.lit(file_type), F.lit(assay_type), subject))
 
 
 def asset_table(spark: SparkSession, conf: Mapping,
                 parsers: Mapping[str, Callable[[Column], Column]] | None = None,
-                use_batch_parsers: bool = True) -> DataFrame:
+                use_batch_parsers: bool = True, repeats: bool = True) -> DataFrame:
     """One row per file of every batch and file type of ``conf``.
 
     ``conf`` is ``{"BATCHES": {batch: {"ASSAY_TYPE": .., "FILE_TYPE": {type: [globs]}}}}``
     (the ``BATCHES`` level is optional).  With ``use_batch_parsers`` a batch
     with a registered file-name parser gets its subject id from it (A3),
-    otherwise the file stem (A2).
+    otherwise the file stem (A2).  All globs are answered by one listing; see
+    :func:`configured_files` for files that several globs match.
     """
     parsers = SUBJECT_PARSERS if parsers is None else parsers
     batches = conf.get("BATCHES", conf)
-    out = None
-    for batch, bconf in batches.items():
-        parser = parsers.get(batch) if use_batch_parsers else None
-        for ftype, globs in bconf["FILE_TYPE"].items():
-            part = asset_rows(list_files(spark, globs), batch, ftype, bconf["ASSAY_TYPE"], parser)
-            out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], ASSET_SCHEMA)
-    return out
+    entries = [(batch, ftype, bconf["ASSAY_TYPE"], glob) for batch, bconf in batches.items()
+               for ftype, globs in bconf["FILE_TYPE"].items() for glob in ([globs] if isinstance(globs, str) else globs)]
+    name = file_name(F.col("path"))
+    subject = stem(name)
+    for batch in batches:
+        if use_batch_parsers and batch in parsers:
+            subject = F.when(F.col("batch_code") == batch, parsers[batch](name)).otherwise(subject)
+    files = configured_files(spark, entries, repeats)
+    return files.select(*_asset_columns(F.col("batch_code"), F.col("file_type"), F.col("assay_type"), subject))
 
 
 def _stream_md5():

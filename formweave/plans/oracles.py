@@ -205,6 +205,21 @@ select file_name, 'file:' || regexp_replace(filename, '/[^/]*$', '') as director
             else file_name end as subject_id
 from b"""
 
+ASSET_BATCHES = r"""
+with b as (select regexp_extract(filename, '[^/]*$') as file_name, filename, size
+           from read_blob('""" + SF_DIR + r"""/*.parquet')),
+m as (
+  select 'BENCH' as batch_code, 'ORDERS' as file_type, 'WES' as assay_type, b.* from b where file_name = 'orders.parquet'
+  union all select 'BENCH', 'ORDERS', 'WES', b.* from b where starts_with(file_name, 'o')
+  union all select 'BENCH', 'PARTS', 'WES', b.* from b where starts_with(file_name, 'p')
+  union all select 'REGENERON1', 'TABLES', 'WGS', b.* from b where file_name in ('nation.parquet', 'region.parquet')
+  union all select 'REGENERON1', 'TABLES', 'WGS', b.* from b where file_name[1] between 'e' and 'l')
+select file_name, 'file:' || regexp_replace(filename, '/[^/]*$', '') as directory, batch_code, file_type, assay_type,
+       size as bytes,
+       -- no table's name has a second token
+       case when batch_code = 'BENCH' then regexp_replace(file_name, '\.[^.]+$', '') end as subject_id
+from m"""
+
 CONTENT_MD5 = """
 select regexp_extract(filename, '[^/]*$') as file_name, size as bytes, md5(content) as md5
 from read_blob('""" + SF_DIR + """/*.parquet')"""
@@ -465,6 +480,7 @@ select * from (
   from ({OFFENDING_VALUES})) where place <= 3"""
 
 ORACLES: dict[str, str] = {
+    "asset_batches": ASSET_BATCHES,
     "offending_values": OFFENDING_VALUES,
     "top_offenders": TOP_OFFENDERS,
     "misnamed_files": MISNAMED_FILES,

@@ -388,6 +388,18 @@ def q_assets(spark, sf_dir):
     return asset_table(spark, conf).drop("path_hash")
 
 
+def q_asset_batches(spark, sf_dir):
+    """Two batches, three file types, overlapping globs and globs
+    without files, from one listing (hash left out: no SQL twin)."""
+    conf = {"BATCHES": {
+        "BENCH": {"ASSAY_TYPE": "WES", "FILE_TYPE": {
+            "ORDERS": [f"{sf_dir}/orders.parquet", f"{sf_dir}/o*.parquet"],
+            "PARTS": [f"{sf_dir}/p*.parquet", f"{sf_dir}/none/*.parquet", f"{sf_dir}/*.vcf"]}},
+        "REGENERON1": {"ASSAY_TYPE": "WGS", "FILE_TYPE": {
+            "TABLES": [f"{sf_dir}/{{nation,region}}.parquet", f"{sf_dir}/[e-l]*.p?rquet"]}}}}
+    return asset_table(spark, conf).drop("path_hash")
+
+
 def q_content_md5(spark, sf_dir):
     """T5: md5 of every benchmark file."""
     m = content_md5(spark, f"{sf_dir}/*.parquet")
@@ -565,4 +577,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ordered_dictionary": q_ordered_dictionary,
     "offending_values": q_offending_values,
     "top_offenders": q_top_offenders,
+    "asset_batches": q_asset_batches,
 }

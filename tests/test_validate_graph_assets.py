@@ -154,3 +154,33 @@ def test_few_and_many_cells_give_one_report(spark, monkeypatch):
     few = sorted(map(tuple, validate.check_columns(df, compiled).collect()))
     monkeypatch.setattr(validate, "SUMMED_CELLS", 0)
     assert sorted(map(tuple, validate.check_columns(df, compiled).collect())) == few and len(few) == 18
+
+
+def test_globs_are_one_listing(spark, tmp_dir):
+    import os
+    from formweave.operators.assets import configured_files, glob_regex, split_glob, topmost
+    assert split_glob("/a/b/c*.x") == ("/a/b", "c*.x") and split_glob("/a/*/c.x") == ("/a", "*/c.x")
+    assert split_glob("/a/b/c.x") == ("/a/b", "c.x") and split_glob("/*.x") == ("/", "*.x")
+    assert glob_regex("a.b{x,y}[!c-d]?*") == r"^a\.b(?:x|y)[^c-d][^/][^/]*$"
+    assert sorted(topmost(["/a/b", "/a", "/ab", "/a/b/c", "/ab/x"])) == ["/a", "/ab"] and topmost(["/", "/a"]) == ["/"]
+    names = ["x/one.vcf", "x/two.vcf", "x/deep/three.vcf", "y/we ird+(1)#%.vcf", "y/_hidden.vcf", "y/four.bam"]
+    for n in names:
+        os.makedirs(os.path.dirname(f"{tmp_dir}/{n}"), exist_ok=True)
+        with open(f"{tmp_dir}/{n}", "w") as f:
+            f.write(n)
+    entries = [("A", "VCF", "W", f"{tmp_dir}/x/*.vcf"), ("A", "VCF", "W", f"{tmp_dir}/x/one.vcf"), ("A", "ANY", "W", f"{tmp_dir}/*/*"),
+               ("B", "VCF", "G", f"{tmp_dir}/y/*+(1)#%.vcf"), ("B", "NONE", "G", f"{tmp_dir}/z/*.vcf"),
+               ("B", "DEEP", "G", f"{tmp_dir}/x/*/t{{hree,wo}}.vcf"), ("B", "VCF", "G", f"{tmp_dir}/y/[a-f]*.bam")]
+
+    def got(**options):
+        return sorted((r.batch_code, r.file_type, r.path.split(tmp_dir + "/")[1], r.length)
+                      for r in configured_files(spark, entries, **options).collect())
+    want = sorted([("A", "VCF", n, len(n)) for n in ("x/one.vcf", "x/one.vcf", "x/two.vcf")]
+                  + [("A", "ANY", n, len(n)) for n in ("x/one.vcf", "x/two.vcf", names[3], "y/four.bam")]
+                  + [("B", "VCF", names[3], len(names[3])), ("B", "DEEP", names[2], len(names[2])), ("B", "VCF", "y/four.bam", 10)])
+    assert got() == want
+    assert got(repeats=False) == sorted(set(want))
+    many = configured_files(spark, [("A", str(i), "W", f"{tmp_dir}/x/*{i}*.vcf") for i in range(1000)])
+    assert many._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 1
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert configured_files(spark, []).count() == 0 and configured_files(spark, [entries[4]]).count() == 0
