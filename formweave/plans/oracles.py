@@ -479,7 +479,26 @@ select * from (
   select field, rule, row_number() over (partition by field, rule order by n desc, value nulls first) as place, value, n
   from ({OFFENDING_VALUES})) where place <= 3"""
 
+CLUSTERED_FILES = ("select count(*) as n_rows, cast(0 as bigint) as n_unsorted, cast(0 as bigint) as n_overlapping, "
+                   "cast(0 as bigint) as n_oversized from orders")
+
+_TEXT = {c: f"cast({c} as varchar)" for c in ("gender", "site", "race_oth", "age")}
+CATEGORY_CODES = f"with dump as ({fx.CUSTOMER_DUMP_SQL})\nselect subid, " + ", ".join(
+    f"case when {c} is null then -1 else dense_rank() over (order by {v} nulls last) - 1 end as {c}_code"
+    for c, v in _TEXT.items()) + ", true as same from dump"
+
+PUBLISHED_SET = _with(*CUSTOMER, _DEMO_CODES.replace(" and balance is null", "").replace(
+    "age, balance,", "age,"), _demo_guard, f"""demo as (
+  select distinct s.subid, s.redcap_event_name, {_demo_sel}, cast(s.age as double) as age
+  from codes s {_demo_join} where not s.empty)""", _RACE) + """
+select cast(2 as bigint) as version, 'demo' as table_name, count(*) as n_rows from demo
+union all select 2, 'demo_race', count(*) from race"""
+
 ORACLES: dict[str, str] = {
+    "clustered_files": CLUSTERED_FILES,
+    "category_codes": CATEGORY_CODES,
+    "published_set": PUBLISHED_SET,
+    "streamed_md5": CONTENT_MD5,
     "asset_batches": ASSET_BATCHES,
     "offending_values": OFFENDING_VALUES,
     "top_offenders": TOP_OFFENDERS,

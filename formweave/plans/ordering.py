@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from formweave.session import remove_folder, work_dir
+
 DEFAULT_BUCKET_BITS = 20  # 1,048,576 order values per bucket
 
 
@@ -82,3 +84,33 @@ def global_position(df: DataFrame, order: str, out: str = "pos",
     return (_join_null_safe(rows, offsets, [b], "inner")
             .withColumn(out, F.col("_gp_off") + F.col("_gp_row") - 1)
             .drop(b, "_gp_off", "_gp_row"))
+
+
+def range_position(rows: DataFrame, by: list[str], order: list[str], out: str = "pos",
+                   range_rows: int = 1_000_000) -> DataFrame:
+    """Zero-based place of each row among those with equal ``by``, in ``order``
+    (any sortable columns; ties are placed one after the other).
+
+    The rows are sorted into ranges of about ``range_rows``, written to the
+    session's shared folder so that a range stays the same, and counted: a
+    window runs over at most one range, and one row per range and group is
+    summed across ranges.  So neither a large group nor a single one is
+    gathered in a task.
+    """
+    spark = rows.sparkSession
+    folder = work_dir(spark, "ranges")
+    source = f"{folder}/rows"
+    rows.write.parquet(source)          # the sampling of the ranges reads it again
+    rows = spark.read.parquet(source)
+    parts = 1 + rows.count() // range_rows
+    (rows.repartitionByRange(parts, *by, *order).withColumn("_rp_part", F.spark_partition_id())
+     .write.parquet(f"{folder}/placed"))
+    placed = spark.read.parquet(f"{folder}/placed")
+    remove_folder(spark, source)
+    key = ["_rp_part", *by]
+    before = Window.partitionBy(*by).orderBy("_rp_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*key).agg(F.count("*").alias("_rp_n"))
+    offsets = counts.select(*key, F.coalesce(F.sum("_rp_n").over(before), F.lit(0)).alias("_rp_before"))
+    inside = placed.withColumn("_rp_row", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    return (_join_null_safe(inside, offsets, key, "inner")
+            .withColumn(out, F.col("_rp_before") + F.col("_rp_row") - 1).drop("_rp_part", "_rp_row", "_rp_before"))

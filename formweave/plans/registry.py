@@ -8,6 +8,7 @@ marked rows-only there.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from formweave.functions.paths import SUBJECT_PARSERS, path_hash, stem, subject_
 from formweave.functions.subject_id import parse_subject_id
 from formweave.operators import graph, metadata
 from formweave.operators.assets import asset_rows, asset_table, content_md5
+from formweave.operators.category import decode, encode, value_dictionary
 from formweave.operators.checkbox import checkbox_table, unpivot_checkbox
 from formweave.operators.recode import recode_columns
 from formweave.operators.typing import category_columns, column_types, dump_schema, recast
@@ -293,6 +295,62 @@ def q_sorted_files(spark, sf_dir):
         F.count("*").alias("n_rows"), F.count_if("unsorted").alias("n_unsorted"))
 
 
+def q_clustered_files(spark, sf_dir):
+    """O1: a table in key-range files, its first key with three values only:
+    rows before a smaller one in their file, files that overlap in order, and
+    files of more than twice their share."""
+    from formweave.session import work_dir
+    from formweave.sources.sinks import write_tables
+    _view(spark, sf_dir, "orders")
+    table = spark.table("orders").select("o_orderstatus", "o_orderpriority", "o_orderkey")
+    keys, n_files = ("o_orderstatus", "o_orderpriority"), 8
+    path = write_tables({"orders": table}, work_dir(spark, "clustered"), sort_keys=keys, files=n_files)["orders"]
+    key = F.struct("o_orderstatus", "o_orderpriority", "o_orderkey")
+    rows = spark.read.parquet(path).select(key.alias("key"), F.col("_metadata.file_path").alias("file"),
+                                           F.col("_metadata.row_index").alias("at"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    files = rows.select("file", "key", F.coalesce(before > F.col("key"), F.lit(False)).alias("unsorted")).groupBy("file").agg(
+        F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"), F.count_if("unsorted").alias("unsorted"))
+    follow = Window.orderBy("low")                      # one row per file
+    files = files.select("*", F.coalesce(F.lag("high").over(follow) >= F.col("low"), F.lit(False)).alias("overlaps"),
+                         F.sum("n").over(Window.partitionBy()).alias("total"))
+    return files.agg(F.sum("n").alias("n_rows"), F.sum("unsorted").alias("n_unsorted"), F.count_if("overlaps").alias("n_overlapping"),
+                     F.count_if(F.col("n") > 2 * F.col("total") / n_files).alias("n_oversized"))
+
+
+CATEGORY_COLUMNS_CODED = ["gender", "site", "race_oth", "age"]
+
+
+def q_category_codes(spark, sf_dir):
+    """S16/AG4: categories as codes in order of their values, and whether they
+    decode to what they were."""
+    dump, _ = _customer(spark, sf_dir)
+    cats = CATEGORY_COLUMNS_CODED
+    rows = dump.select("subid", *[F.col(c).cast("string").alias(c) for c in cats])
+    dictionary = value_dictionary(rows, cats)
+    both = encode(rows.select("*", *[F.col(c).alias(f"{c}_was") for c in cats]), cats, dictionary)
+    back = decode(both.select("*", *[F.col(c).alias(f"{c}_code") for c in cats]), cats, dictionary)
+    same = F.lit(True)
+    for c in cats:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_was"))
+    return back.select("subid", *[f"{c}_code" for c in cats], same.alias("same"))
+
+
+def q_published_set(spark, sf_dir):
+    """Two runs published one after the other; readers see the second set,
+    whole."""
+    from formweave.session import work_dir
+    from formweave.sources.sinks import publish_tables, read_published
+    tables, _ = _customer_tables(spark, sf_dir)
+    folder = work_dir(spark, "published")
+    publish_tables({n: df.limit(0) for n, df in tables.items()}, folder, run="empty")
+    version = publish_tables(tables, folder, run="whole", sort_keys=("subid",))
+    parts = [df.groupBy().agg(F.count("*").alias("n_rows")).select(
+        F.lit(version).cast("bigint").alias("version"), F.lit(name).alias("table_name"), "n_rows")
+        for name, df in sorted(read_published(spark, folder).items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- queries over lineitem / part / customer columns ----------------------
 
 LINEITEM_BOUNDS_SQL = """
@@ -400,6 +458,12 @@ def q_asset_batches(spark, sf_dir):
     return asset_table(spark, conf).drop("path_hash")
 
 
+def q_streamed_md5(spark, sf_dir):
+    """T5: the same digests with every file streamed in pieces."""
+    m = content_md5(spark, f"{sf_dir}/*.parquet", inline_max_bytes=0)
+    return m.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "bytes", "md5")
+
+
 def q_content_md5(spark, sf_dir):
     """T5: md5 of every benchmark file."""
     m = content_md5(spark, f"{sf_dir}/*.parquet")
@@ -578,4 +642,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offending_values": q_offending_values,
     "top_offenders": q_top_offenders,
     "asset_batches": q_asset_batches,
+    "clustered_files": q_clustered_files,
+    "category_codes": q_category_codes,
+    "published_set": q_published_set,
+    "streamed_md5": q_streamed_md5,
 }
