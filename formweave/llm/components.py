@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.session import ensure_checkpoint_dir
+from formweave.session import remove_folder, work_dir
+
+
+def cut(rows: DataFrame, name: str = "rows") -> tuple[DataFrame, str]:
+    """Write rows as Parquet below the session's shared folder and read them
+    again: cuts the lineage as ``checkpoint()`` does, in a fraction of its
+    space.  Returns the rows and their folder, which may be removed when
+    nothing reads them any more."""
+    folder = work_dir(rows.sparkSession, name)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder), folder
 
 
 def _summary(edges: DataFrame) -> tuple:
@@ -34,15 +44,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternates the large-star and small-star steps until nothing changes.
     Each step is a map-side combined minimum and a join, so a vertex with
     very many neighbours is never gathered in one task, and every round is
-    cut with ``checkpoint()``.  Nulls and self-loops are ignored; repeated
+    written, and the one before it removed.  Nulls and self-loops are ignored; repeated
     edges count once.  An empty graph gives no rows.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
-    now = (edges.where("a <> b")
-           .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint())
+    spark = edges.sparkSession
+    now, folder = cut(edges.where("a <> b")
+                      .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before, size = None, _summary(now)
     while size != before:
-        now = _to_minimum(_to_minimum(now, True), False).checkpoint()
-        before, size = size, _summary(now)
+        new, next_folder = cut(_to_minimum(_to_minimum(now, True), False), "edges")
+        before, size = size, _summary(new)
+        remove_folder(spark, folder)
+        now, folder = new, next_folder
     return (now.select(F.col("u").alias("id"), F.col("v").alias("component"))
             .union(now.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct())

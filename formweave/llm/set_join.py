@@ -25,9 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.llm.arrays import LOWER, mix, shingles, slices, word_hashes, words, with_id
-from formweave.llm.components import connected_components
+from formweave.llm.components import connected_components, cut
 from formweave.llm.minwise import permutations, signature
-from formweave.session import ensure_checkpoint_dir
 
 HASHES = 64          # coordinates of a signature
 SURE = 0.5           # signature agreement below which a pair at 0.8 is ruled out (six deviations, see Recall)
@@ -181,7 +180,7 @@ def _link_large(documents: DataFrame, members: DataFrame, k: int, percent: int,
         pivots = spread(members.where(F.pmod(F.xxhash64("id", F.lit(100 + seed)),
                                              F.ceil(F.col("n") / 16).cast("bigint")) == 0))
         placed = dealt(seed).union(pivots).distinct().withColumnRenamed("id", "doc_id")
-        edges = links_in_clusters(documents, placed, k, percent).checkpoint()
+        edges, _ = cut(links_in_clusters(documents, placed, k, percent), "links")
         found = edges if found is None else found.union(edges)
     labels = connected_components(found)
     labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -213,12 +212,10 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     no component and are kept.  Very long texts are one array of hashes.
     Other columns are ignored; an empty table gives no rows.
     """
-    ensure_checkpoint_dir(documents.sparkSession)
-    sets = (with_id(documents, "text")
-            .mapInArrow(_sets(k, False), "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, marks array<int>")
-            .checkpoint())
+    sets, _ = cut(with_id(documents, "text").mapInArrow(
+        _sets(k, False), "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, marks array<int>"), "sets")
     full = sets.where("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("marks").alias("marks")).checkpoint()
+    classes, _ = cut(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("marks").alias("marks")), "classes")
 
     def coordinate(tree, level: int, branch: int):
         """The chosen hash function of a node; it differs by tree, level and branch."""
@@ -232,7 +229,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
         small = counted.where(F.col("count").between(2, leaf_rows))
         part = rows.join(small, ["tree", "node"]).select("node", "rep")
         leaves = part if leaves is None else leaves.union(part)
-        rows = rows.join(counted.where(F.col("count") > leaf_rows), ["tree", "node"]).drop("count").checkpoint()
+        rows, _ = cut(rows.join(counted.where(F.col("count") > leaf_rows), ["tree", "node"]).drop("count"), "nodes")
         if level < levels:
             rows = (rows.join(classes.select("rep", "marks"), "rep")
                     .select("rep", "tree", F.explode(F.array(*[
@@ -247,13 +244,13 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80, trees:
     homes = full.join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select("doc_id", "rep").distinct()
     least = homes.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b <> most")
     same_id = homes.join(least, "doc_id").select(F.col("rep").alias("a"), "b")
-    clusters = connected_components(compared.union(edges)).checkpoint()
+    clusters, _ = cut(connected_components(compared.union(edges)), "clusters")
     members = clusters.join(clusters.groupBy("component").agg(F.count("*").alias("n")), "component") \
         .select("id", F.col("component").alias("cluster"), "n")
     one = members.where(F.col("n") <= block_rows)
     links = links_in_clusters(documents, one.select(F.col("id").alias("doc_id"), "cluster", F.lit(0).cast("bigint").alias("block")),
                    k, percent)
-    several = members.where(F.col("n") > block_rows).checkpoint()
+    several, _ = cut(members.where(F.col("n") > block_rows), "several")
     if several.take(1):
         links = links.union(_link_large(documents, several, k, percent, block_rows))
     component = connected_components(links.union(same_id))
