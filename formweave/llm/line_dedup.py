@@ -1,7 +1,8 @@
 """Line dedup with a log-template tree.
 
 Every line goes down a tree of fixed depth: by its number of tokens, then
-by its leading tokens, where tokens with digits are already variable.  In
+by its leading tokens, where tokens with digits are already variable (unless
+most tokens of the line have them: a row of numbers is its numbers).  In
 a leaf, a line joins the template it agrees with in most positions, and
 the other positions become variable fields.  Templates that recur across
 unrelated documents are dropped from all documents but the first.
@@ -27,8 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.llm.arrays import LOWER, MULT, mix, slices, word_hashes, words, with_id
+from formweave.llm.components import cut
 from formweave.llm.set_join import near_duplicates
-from formweave.session import ensure_checkpoint_dir
+from formweave.session import remove_folder
 
 LEADING = 2               # leading tokens on the way to a leaf
 GENERAL = 10              # shorter lines have no variable fields but masked tokens
@@ -50,8 +52,12 @@ def _lines(min_tokens: int, min_chars: int):
             starts, ends, first = words(low, cuts)
             hashes = word_hashes(low, starts, ends)
             digits = np.concatenate(([0], np.cumsum(digit[low])))
-            hashes[digits[ends] > digits[starts]] = VARIABLE
             n = np.diff(first)
+            masked = digits[ends] > digits[starts]
+            # a line mostly of numbers says nothing but them: it is compared by its own tokens
+            share = np.concatenate(([0], np.cumsum(masked)))
+            wordy = 2 * (share[first[1:]] - share[first[:-1]]) <= n
+            hashes[masked & np.repeat(wordy, n)] = VARIABLE
             doc = np.searchsorted(offsets, cuts[:-1], side="right") - 1     # the last of texts that start there
             number = np.arange(len(n)) - np.searchsorted(cuts[:-1], offsets[:-1])[doc]
             full = np.flatnonzero(n)
@@ -141,29 +147,30 @@ def recurring_lines(documents: DataFrame, min_tokens: int = 4, min_chars: int =
     """``doc_id, mark, drop`` (line numbers from 0, an array) of the documents
     that have lines to drop; ``mark`` is ``xxhash64(text)``.  See
     ``drop_recurring_lines``."""
-    ensure_checkpoint_dir(documents.sparkSession)
-    lines = (with_id(documents, "text", F.xxhash64("text").alias("mark"))
-             .where("doc_id is not null and text is not null")
-             .mapInArrow(_lines(min_tokens, min_chars), LINE).checkpoint())
+    spark = documents.sparkSession
+    lines, lines_folder = cut(with_id(documents, "text", F.xxhash64("text").alias("mark"))
+                              .where("doc_id is not null and text is not null")
+                              .mapInArrow(_lines(min_tokens, min_chars), LINE), "lines")
     shared = lines.groupBy("leaf").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("leaf")
     found = lines.join(shared, "leaf")
     general = F.length("tokens") >= GENERAL
-    distinct = (found.where(general).groupBy("leaf", "exact")
-                .agg(F.count("*").alias("n"), F.first("tokens").alias("tokens")).checkpoint())
+    distinct, _ = cut(found.where(general).groupBy("leaf", "exact")
+                      .agg(F.count("*").alias("n"), F.first("tokens").alias("tokens")), "leaves")
     for depth in range(LEADING, GENERAL):       # split leaves with many lines by one more leading token
         large = distinct.groupBy("leaf").agg(F.count("*").alias("rows")).where(F.col("rows") > leaf_lines)
         if not large.take(1):
             break
-        distinct = (distinct.join(large, "leaf", "left").withColumn(
+        distinct, _ = cut(distinct.join(large, "leaf", "left").withColumn(
             "leaf", F.when(F.col("rows").isNull(), F.col("leaf"))
-            .otherwise(F.xxhash64("leaf", F.substring("tokens", depth + 1, 1)))).drop("rows").checkpoint())
+            .otherwise(F.xxhash64("leaf", F.substring("tokens", depth + 1, 1)))).drop("rows"), "leaves")
     named = (distinct.repartition("leaf").sortWithinPartitions("leaf")
              .mapInArrow(_templates, "exact bigint, template bigint").where("exact <> template"))
     lines = lines.drop("tokens", "leaf").join(named, "exact", "left").select(
         "doc_id", "mark", "line", F.coalesce("template", "exact").alias("template"))
     often = (lines.groupBy("template").agg(F.count("*").alias("rows"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
              .where((F.col("rows") >= min_documents) & (F.col("a") < F.col("b"))).select("template"))
-    lines = lines.join(often, "template").checkpoint()
+    lines, _ = cut(lines.join(often, "template"), "often")
+    remove_folder(spark, lines_folder)
     classes = near_duplicates(documents).select("doc_id", F.col("component_id").alias("class")).distinct()
     recurring = (lines.join(classes, "doc_id").groupBy("template")
                  .agg(F.count_distinct("class").alias("classes"), F.min(F.struct("doc_id", "line", "mark")).alias("first"))
