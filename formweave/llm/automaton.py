@@ -1,10 +1,11 @@
-"""Weighted backoff automaton over n-grams of word classes.
-
-A symbol is a word class: a frequent word of its own, ``RARE`` for all
-other words, or ``END`` for the end of a text.  Smoothed n-grams are the
-arcs: a state is a context of up to ``ORDER - 1`` symbols, an arc carries
-the log-probability of the next symbol, and a failure arc leads to the
-state of the shorter context at the cost of the backoff weight.
+"""Weighted backoff automaton over n-grams of words or word classes.
+
+Smoothed n-grams are the arcs: a state is a context of up to ``order - 1``
+symbols, an arc carries the log-probability of the next symbol, and a failure
+arc leads to the state of the shorter context at the cost of the backoff
+weight.  Symbols are the words of a block of texts (``SortedAutomaton``) or
+word classes: a frequent word of its own, ``RARE`` for all other words, or
+``END`` for the end of a text.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ def grams(stream: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Automaton:
     """Arcs in an open-addressing table (key: state and symbol)."""
 
+    bits, order = BITS, ORDER
+
     def __init__(self, key, target, weight, fail, backoff, start):
         self.key, self.target, self.weight = key, target, weight
         self.fail, self.backoff, self.start = fail, backoff, start
@@ -62,7 +65,7 @@ class Automaton:
     def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Next states and the log10 weight of reading ``symbol``: follow the
         arc, or failure arcs until a state has one (the root has them all)."""
-        slot = self.find((state << BITS) | symbol)
+        slot = self.find((state << self.bits) | symbol)
         weight = np.zeros(len(state))
         lost = np.flatnonzero(slot < 0)
         if len(lost):
@@ -70,7 +73,7 @@ class Automaton:
             while len(lost):
                 weight[lost] += self.backoff[at]
                 at = self.fail[at]
-                got = self.find((at << BITS) | symbol[lost])
+                got = self.find((at << self.bits) | symbol[lost])
                 slot[lost] = got
                 lost, at = lost[got < 0], at[got < 0]
         return self.target[slot], weight + self.weight[slot]
@@ -92,7 +95,7 @@ class Automaton:
         text, number, begin, length = text[order], number[order], begin[order], length[order]
         state = np.where(number == 0, self.start, 0)
         later = np.flatnonzero(number > 0)
-        for back in range(ORDER - 1, 0, -1):
+        for back in range(self.order - 1, 0, -1):
             state[later], _ = self.step(state[later], stream[begin[later] - back])
         total = np.zeros(len(text))
         for t in range(int(length.max(initial=0))):
@@ -102,6 +105,20 @@ class Automaton:
         return np.bincount(text, total, len(size))
 
 
+class SortedAutomaton(Automaton):
+    """Arcs in sorted arrays, for symbols of any number of bits: quicker to
+    make than the table, for an automaton that is used once."""
+
+    def __init__(self, key, target, weight, fail, backoff, start, bits: int, order: int):
+        by = np.argsort(key, kind="stable")
+        self.key, self.target, self.weight = key[by], target[by], weight[by]
+        self.fail, self.backoff, self.start, self.bits, self.order = fail, backoff, start, bits, order
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        return np.where(self.key[at] == keys, at, -1)
+
+
 def compile_automaton(orders: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Automaton:
     """The automaton of counted n-grams.
 

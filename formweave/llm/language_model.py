@@ -1,23 +1,29 @@
-"""Language-model scoring with weighted backoff over n-grams of words.
+"""Language-model scoring with a weighted backoff automaton over n-grams of words.
 
 The probability of a word is the interpolated Witten-Bell one of up to
 ``WORDS`` words: a context (the words before) that the training texts have
-hands a share of its mass to the shorter context, one they lack all of it,
-as failure arcs of a backoff automaton do.  Below single words lies the
-uniform distribution over the vocabulary and one unknown word, so the model
-is a distribution over these, as the add-one baseline is.  Every n-gram
-counts, however rare, and nothing of the model is gathered.
-
-Scale.  Each block of texts asks for the counts of its distinct n-grams,
-bucket by bucket of the hash space of contexts, and the answers (count of
-the n-gram; total and number of different words of its context) go back to
-the block.  A frequent n-gram costs one entry per block, not one per
-document.  The n-grams of a context that would fill a bucket alone are
-dealt by themselves; the totals of these few contexts, the empty one among
-them, are summed over all buckets.
+hands a share of its mass to the shorter context, one they lack all of it.
+Below single words lies the uniform distribution over the vocabulary and one
+unknown word, so the model is a distribution over these, as the add-one
+baseline is.  Every n-gram counts, however rare, and nothing of the model is
+gathered.
+
+Scoring.  A block of texts gets the corpus counts of its own n-grams and
+makes the part of the automaton that its texts can reach: contexts are
+states, n-grams with a count are arcs, and a failure arc leads from each
+context to the shorter one at its backoff weight.  One left-to-right
+traversal of each text carries the state and sums the log-probabilities.
+
+Scale.  Counts are asked for length by length, bucket by bucket of the hash
+space of contexts.  A frequent n-gram costs one entry per block, not one per
+document.  The answer also says whether another block has the n-gram; if not,
+the block alone has all that follows it, and counts that itself.  How often a
+context occurs is known from the length before.  The n-grams of a context
+that would fill a bucket alone are dealt by themselves; the totals of these
+few contexts, the empty one among them, are summed over all buckets.
 
 ``frequent_words`` and ``train`` learn a small automaton of word classes
-(``automaton.py``) that fits one process; scoring does not use them.
+that fits one process; scoring does not use them.
 """
 
 from __future__ import annotations
@@ -26,12 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formweave.llm.arrays import LOWER, MULT, mix, slices, word_hashes, words, with_id
-from formweave.llm.automaton import BITS, END, ORDER, RARE, SYMBOLS, Automaton, compile_automaton, grams
+from formweave.llm.automaton import BITS, END, ORDER, RARE, SYMBOLS, Automaton, SortedAutomaton, compile_automaton, grams
+from formweave.llm.components import cut
 from formweave.session import ensure_checkpoint_dir
 
 END_TOKEN = np.uint64(0)        # stands for the end of a text among word hashes
@@ -115,6 +123,7 @@ def train(training: DataFrame, frequent: np.ndarray, max_grams: int = 1 << 18) -
     data: grams that occur at least ``m`` times are kept, with the smallest
     ``m >= 2`` for which they fit; the rest of the mass is in the backoff
     weights.  So what the driver compiles has a fixed bound."""
+    ensure_checkpoint_dir(training.sparkSession)
     top = _count(training, lambda tokens, at: grams(_classes(tokens, frequent), at)).checkpoint()
     counted = None
     for k in range(1, ORDER + 1):
@@ -154,22 +163,6 @@ def _contexts(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack(out)
 
 
-def _asked(tokens: np.ndarray, at: np.ndarray, hot: np.ndarray, n_buckets: int):
-    """Distinct n-grams of a block sorted by bucket, their contexts and
-    buckets, and the place of each token's n-grams among them (one row per
-    length).  The n-grams of one context stand together unless it is ``hot``
-    (sorted hashes)."""
-    context = _contexts(tokens, at)
-    gram, index, place = np.unique(mix(context * MULT + tokens).ravel(), return_index=True, return_inverse=True)
-    of = context.ravel()[index]
-    spread = np.where(_place(hot, of) >= 0, gram, of)
-    order = np.argsort(spread, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    bucket = (((spread[order] >> np.uint64(40)) * np.uint64(n_buckets)) >> np.uint64(24)).astype(np.int64)
-    return gram[order], of[order], bucket, rank[place].reshape(context.shape)
-
-
 def _place(among: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Place of each key in a sorted array that is not empty, or -1."""
     at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
@@ -196,103 +189,252 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _ask(hot, n_buckets: int):
-    """The texts with the number of their block; and per block and bucket the
-    block's n-grams (context by context), with how often its training texts
-    have them."""
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers by bytes, the lowest of all first, without those that
+    are zero in all; the first byte says how many there are."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view(np.uint64).ravel()
+
+
+def _blocks(block_bytes: int):
+    """One row per block of texts: their ids and lengths, the hashes of the
+    block's different tokens (frequent ones first) and the tokens as numbers
+    of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, (rows, data, offsets) in enumerate(slices(batches)):
-            block = (task << 32) | number
+        for number, (rows, data, offsets) in enumerate(slices(batches, max_bytes=block_bytes)):
             tokens, at = _tokens(data, offsets)
-            gram, of, bucket, place = _asked(tokens, at, hot.value, n_buckets)
-            n = rows.num_rows
-            held = np.asarray(rows.column("held_out").to_pylist(), bool)
-            learnt = np.repeat(~held, np.diff(at))
-            count = np.bincount(place[:, learnt].ravel(), minlength=len(gram))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(n, block)), pa.nulls(n, pa.int64()), rows.column("doc_id"), rows.column("held_out"),
-                rows.column("text").cast(pa.string()), *[pa.nulls(n, pa.binary())] * 4], names)
-            runs, rows_of = _cuts(bucket, of), _cuts(bucket)
-            first = np.searchsorted(runs, rows_of)
-            m, size = len(rows_of) - 1, np.diff(runs)
-            spans = list(zip(rows_of, rows_of[1:]))
-            heads = list(zip(first, first[1:]))
+            different, symbol, count = np.unique(tokens, return_inverse=True, return_counts=True)
+            order = np.argsort(-count, kind="stable")
+            rank = np.empty(len(order), np.uint64)
+            rank[order] = np.arange(len(order), dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(m, block)), pa.array(bucket[rows_of[:-1]]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()),
-                pa.nulls(m, pa.string()),
-                pa.array([gram[lo:hi].tobytes() for lo, hi in spans], pa.binary()),
-                pa.array([of[runs[lo:hi]].tobytes() for lo, hi in heads], pa.binary()),
-                pa.array([_pack(size[lo:hi]) for lo, hi in heads], pa.binary()),
-                pa.array([_pack(count[lo:hi]) for lo, hi in spans], pa.binary())], names)
-
-    names = ["block", "bucket", "doc_id", "held_out", "text", "grams", "contexts", "runs", "counts"]
+                pa.array([(task << 32) | number]), pa.array([rows.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                pa.array([rows.column("held_out").to_pylist()], pa.list_(pa.bool_())),
+                pa.array([np.diff(at)], pa.list_(pa.int64())), pa.array([different[order].tobytes()], pa.binary()),
+                pa.array([zstandard.compress(_planes(rank[symbol]))], pa.binary())],
+                ["block", "doc_id", "held_out", "lengths", "words", "symbols"])
+
     return run
 
 
+class _Texts:
+    """A block of texts read back."""
+
+    def __init__(self, table: pa.Table):
+        row = {name: table.column(name)[0] for name in table.column_names}
+        self.block = row["block"].as_py()
+        self.doc_id, self.held_out = row["doc_id"].values, row["held_out"].values
+        self.at = np.concatenate(([0], np.cumsum(row["lengths"].values.to_numpy())))
+        self.words = np.frombuffer(row["words"].as_py(), np.uint64)
+        self.symbols = _from_planes(zstandard.decompress(row["symbols"].as_py())).astype(np.int64)
+        self.tokens = self.words[self.symbols]
+        held = np.asarray(self.held_out.to_pylist(), bool)
+        self.learnt = np.repeat(~held, np.diff(self.at))
+
+
+class _Grams:
+    """The different n-grams of one length in a block: the token each ends at
+    first (``index``), the n-gram of every token (``place``), how often the
+    block's training texts have it (``own``), its context (``of``), and those
+    to ask for (``asked``, by bucket and context).  ``shared`` says of every
+    token whether other blocks may have its context."""
+
+    def __init__(self, tokens, context, learnt, shared, hot, n_buckets: int):
+        gram, self.index, self.place = np.unique(mix(context * MULT + tokens), return_index=True, return_inverse=True)
+        self.own = np.bincount(self.place[learnt], minlength=len(gram))
+        self.of = context[self.index]
+        asked = np.flatnonzero(shared[self.index])
+        of = self.of[asked]
+        spread = np.where(_place(hot, of) >= 0, gram[asked], of)
+        bucket = ((spread >> np.uint64(40)) * np.uint64(n_buckets)) >> np.uint64(24)
+        bits = np.uint64(max(1, (n_buckets - 1).bit_length()))
+        order = np.argsort((bucket << (np.uint64(64) - bits)) | (of >> bits), kind="stable")
+        self.asked, self.bucket = asked[order], bucket[order].astype(np.int64)
+        of = of[order]
+        self.runs, self.rows = _cuts(self.bucket, of), _cuts(self.bucket)    # of one context; of one bucket
+        self.heads = np.searchsorted(self.runs, self.rows)
+        self.contexts = of[self.runs[:-1]]
+
+    def answer(self, rows: pa.Table) -> None:
+        """Corpus counts, and whether another block has the n-gram, from the
+        answers in the order asked and from the block's own counts."""
+        sizes = np.diff(self.rows)
+        self.n, self.shared = self.own.copy(), np.zeros(len(self.own), bool)
+        if len(self.asked):
+            taken = rows.take(pa.array(np.argsort(rows.column("bucket").to_numpy())))
+            self.n[self.asked] = np.concatenate([
+                _unpack(x, m) for x, m in zip(taken.column("n").to_pylist(), sizes, strict=True)])
+            self.shared[self.asked] = np.concatenate([
+                np.unpackbits(np.frombuffer(x, np.uint8), count=m) for x, m in zip(taken.column("shared").to_pylist(), sizes)])
+
+    def different(self, rows: pa.Table, hot, hot_t) -> np.ndarray:
+        """For every n-gram, how many different words follow its context."""
+        out = np.zeros(len(self.own), np.int64)
+        alone = np.ones(len(self.own), bool)
+        alone[self.asked] = False
+        alone = np.flatnonzero(alone)
+        _, group = np.unique(self.of[alone], return_inverse=True)
+        out[alone] = np.bincount(group[self.own[alone] > 0], minlength=len(alone))[group]
+        if len(self.asked):
+            taken = rows.take(pa.array(np.argsort(rows.column("bucket").to_numpy())))
+            t = np.concatenate([_unpack(x, m) for x, m in zip(taken.column("t").to_pylist(), np.diff(self.heads), strict=True)])
+            at = _place(hot, self.contexts)
+            out[self.asked] = np.repeat(np.where(at >= 0, hot_t[at], t), np.diff(self.runs))
+        return out
+
+
+def _lengths(texts: _Texts, answers: pa.Table, upto: int, answered: int, hot, n_buckets: int) -> list[_Grams]:
+    """The n-grams of 1 to ``upto`` words, of which ``answers`` has those of
+    up to ``answered``."""
+    contexts = _contexts(texts.tokens, texts.at)
+    shared = np.ones(len(texts.tokens), bool)
+    length = answers.column("length").to_numpy()
+    out: list[_Grams] = []
+    for k in range(upto):
+        grams = _Grams(texts.tokens, contexts[k], texts.learnt, shared, hot, n_buckets)
+        if k < answered:
+            grams.answer(answers.filter(pa.array(length == k + 1)))
+            shared = np.ones(len(texts.tokens), bool)
+            shared[1:] = grams.shared[grams.place[:-1]]
+            shared[texts.at[:-1]] = True
+        out.append(grams)
+    return out
+
+
+def _ask(k: int, hot, n_buckets: int):
+    """Per bucket, the n-grams of ``k`` words that the block asks for, context
+    by context, with how often its training texts have them."""
+
+    def rows_of(texts: _Texts, answers: pa.Table) -> pa.Table:
+        grams = _lengths(texts, answers, k, k - 1, hot.value, n_buckets)[-1]
+        words = texts.tokens[grams.index[grams.asked]] >> np.uint64(24 if k > 1 else 0)
+        own, size, contexts = grams.own[grams.asked], np.diff(grams.runs), grams.contexts >> np.uint64(8)
+        m = len(grams.rows) - 1 if len(grams.asked) else 0
+        spans = list(zip(grams.rows, grams.rows[1:]))[:m]
+        heads = list(zip(grams.heads, grams.heads[1:]))[:m]
+        return pa.table({
+            "block": pa.array([texts.block] * m, pa.int64()), "bucket": pa.array(grams.bucket[grams.rows[:m]], pa.int64()),
+            "contexts": pa.array([_planes(np.diff(contexts[lo:hi], prepend=np.uint64(0))) for lo, hi in heads], pa.binary()),
+            "runs": pa.array([_pack(size[lo:hi]) for lo, hi in heads], pa.binary()),
+            "words": pa.array([_planes(words[lo:hi]) for lo, hi in spans], pa.binary()),
+            "counts": pa.array([_pack(own[lo:hi]) for lo, hi in spans], pa.binary())})
+
+    def alone(texts: pa.Table) -> pa.Table:
+        return rows_of(_Texts(texts), pa.table({"length": pa.array([], pa.int32())}))
+
+    def answered(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        return rows_of(_Texts(texts), answers)
+
+    return alone if k == 1 else answered
+
+
 def _answer(hot):
-    """One bucket of the hash space: the corpus count of every n-gram asked
-    for, and total and number of different words of every context, by block in
-    the order asked; on one row also what the bucket has of hot contexts."""
+    """One bucket of the hash space: per block, in the order asked, the corpus
+    count of every n-gram, whether several blocks have it, and the number of
+    different words of every context; on one row also what the bucket has of
+    hot contexts."""
 
     def run(table: pa.Table) -> pa.Table:
-        grams = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
-        contexts = [np.frombuffer(x, np.uint64) for x in table.column("contexts").to_pylist()]
-        size = [_unpack(x, len(c)) for x, c in zip(table.column("runs").to_pylist(), contexts)]
-        counts = np.concatenate([_unpack(x, len(g)) for x, g in zip(table.column("counts").to_pylist(), grams)])
-        cuts, heads = np.cumsum([len(x) for x in grams])[:-1], np.cumsum([len(x) for x in contexts])[:-1]
-        distinct, index, place = np.unique(np.concatenate(grams), return_index=True, return_inverse=True)
-        total = np.bincount(place, counts, len(distinct)).astype(np.int64)
-        contexts = np.concatenate(contexts)
+        deltas = [_from_planes(x) for x in table.column("contexts").to_pylist()]
+        contexts = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in deltas])
+        size = [_unpack(x, len(c)) for x, c in zip(table.column("runs").to_pylist(), deltas)]
+        words = [_from_planes(x) for x in table.column("words").to_pylist()]
+        counts = np.concatenate([_unpack(x, len(w)) for x, w in zip(table.column("counts").to_pylist(), words)])
+        cuts, heads = np.cumsum([len(x) for x in words])[:-1], np.cumsum([len(x) for x in deltas])[:-1]
         known, group = np.unique(contexts, return_inverse=True)
-        of = np.repeat(group, np.concatenate(size))[index]
+        of = np.repeat(group, np.concatenate(size))
+        _, index, place, blocks = np.unique(mix(known[of] * MULT + np.concatenate(words)), return_index=True,
+                                            return_inverse=True, return_counts=True)
+        total = np.bincount(place, counts, len(index)).astype(np.int64)
+        of = of[index]
         all_ = np.bincount(of, total, len(known)).astype(np.int64)
         kinds = np.bincount(of[total > 0], minlength=len(known))
-        some = np.flatnonzero((_place(hot.value, known) >= 0) & (all_ > 0))
-        shared = [[]] * table.num_rows
-        shared[0] = [{"context": int(known[i].view(np.int64)), "c": int(all_[i]), "t": int(kinds[i])} for i in some]
+        some = np.flatnonzero((_place(hot.value >> np.uint64(8), known) >= 0) & (all_ > 0))
+        sums = [[]] * table.num_rows
+        sums[0] = [{"context": int(known[i]), "c": int(all_[i]), "t": int(kinds[i])} for i in some]
         return pa.table({
             "block": table.column("block"), "bucket": table.column("bucket"),
             "n": pa.array([_pack(x) for x in np.split(total[place], cuts)], pa.binary()),
-            "c": pa.array([_pack(x) for x in np.split(all_[group], heads)], pa.binary()),
+            "shared": pa.array([np.packbits(x).tobytes() for x in np.split(blocks[place] > 1, cuts)], pa.binary()),
             "t": pa.array([_pack(x) for x in np.split(kinds[group], heads)], pa.binary()),
-            "hot": pa.array(shared, pa.list_(pa.struct([("context", pa.int64()), ("c", pa.int64()), ("t", pa.int64())])))})
+            "hot": pa.array(sums, pa.list_(pa.struct([("context", pa.int64()), ("c", pa.int64()), ("t", pa.int64())])))})
 
     return run
 
 
+def _block_automaton(texts: _Texts, lengths: list[_Grams], different: list[np.ndarray], everything: int,
+                     vocabulary: int) -> SortedAutomaton:
+    """The states and arcs that the texts of one block can reach."""
+    start = texts.at[:-1]
+    ends = lengths[0].n[lengths[0].place[texts.at[1:] - 1]]       # training texts, as often as they end
+    base, state = 0, []                  # the state of each n-gram's context
+    for grams in lengths:
+        known, group = np.unique(grams.of, return_inverse=True)
+        state.append(base + group)
+        base += len(known)
+    fail, backoff = np.zeros(base, np.int64), np.zeros(base)
+    bits = max(1, int(len(texts.words) - 1).bit_length())
+    keys, targets, weights = [], [], []
+    p = None
+    for k, (grams, t) in enumerate(zip(lengths, different)):
+        n, at = grams.n, grams.index
+        if k == 0:
+            p = (n + vocabulary / (vocabulary + 1)) / (everything + vocabulary) if everything else np.ones(len(n))
+            arc = np.arange(len(n))      # the root reads every word
+        else:
+            below = lengths[k - 1]
+            before = np.empty(len(texts.tokens), np.int64)
+            before[1:] = below.n[below.place[:-1]]                # how often the context occurs
+            before[start] = ends
+            c = before[at]
+            lower = below.place[at]
+            p = np.where(c > 0, (n + t * p[lower]) / np.maximum(c + t, 1), p[lower])
+            fail[state[k]] = state[k - 1][lower]
+            seen = c > 0
+            backoff[state[k][seen]] = np.log10(t[seen] / (c + t)[seen])
+            arc = np.flatnonzero(n > 0)
+        longer = min(k + 1, WORDS - 1)
+        inside = (n[arc] > 0) & (texts.tokens[at[arc]] != END_TOKEN)
+        target = np.zeros(len(arc), np.int64)
+        target[inside] = state[longer][lengths[longer].place[at[arc[inside]] + 1]]
+        keys.append((state[k][arc] << bits) | texts.symbols[at[arc]])
+        targets.append(target)
+        weights.append(np.log10(p[arc]))
+    begin = int(state[-1][lengths[-1].place[0]]) if ends[0] else 0
+    return SortedAutomaton(np.concatenate(keys), np.concatenate(targets), np.concatenate(weights), fail, backoff, begin,
+                           bits, WORDS)
+
+
 def _finish(totals, n_buckets: int):
-    """One block: from the corpus counts, the sums over each text's tokens."""
+    """One block: its automaton, and the sums over each text's tokens."""
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         hot, hot_c, hot_t = totals.value
-        everything, vocabulary = (int(x[_place(hot, np.array([NO_CONTEXT]))[0]]) for x in (hot_c, hot_t))
-        batch = texts.combine_chunks().to_batches()[0]
-        (rows, data, offsets), = slices(iter([batch]), max_bytes=1 << 62)
-        tokens, at = _tokens(data, offsets)
-        gram, of, bucket, place = _asked(tokens, at, hot, n_buckets)
-        runs, rows_of = _cuts(bucket, of), _cuts(bucket)
-        n_runs = np.diff(np.searchsorted(runs, rows_of))
-        order = np.argsort(answers.column("bucket").to_numpy())
-        n, c, t = ([answers.column(x)[int(i)].as_py() for i in order] for x in ("n", "c", "t"))
-        n = np.concatenate([_unpack(x, m) for x, m in zip(n, np.diff(rows_of), strict=True)])
-        c, t = (np.repeat(np.concatenate([_unpack(x, m) for x, m in zip(y, n_runs, strict=True)]), np.diff(runs))
-                for y in (c, t))
-        at_hot = _place(hot, of)
-        c, t = (np.where(at_hot >= 0, whole[at_hot], part) for whole, part in ((hot_c, c), (hot_t, t)))
-        count = n[place[0]]
-        p = (count + vocabulary / (vocabulary + 1)) / max(1, everything + vocabulary) if everything else np.ones(len(count))
-        for k in range(1, WORDS):
-            seen, different = c[place[k]], t[place[k]]
-            p = np.where(seen > 0, (n[place[k]] + different * p) / np.maximum(seen + different, 1), p)
-        m, length = batch.num_rows, np.diff(at)
+        everything, vocabulary = int(hot_c[0]), int(hot_t[0])       # of the empty context, whose hash is the least
+        texts = _Texts(texts)
+        lengths = _lengths(texts, answers, WORDS, WORDS, hot, n_buckets)
+        of_length = answers.column("length").to_numpy()
+        different = [grams.different(answers.filter(pa.array(of_length == k + 1)), hot, hot_t)
+                     for k, grams in enumerate(lengths)]
+        model = _block_automaton(texts, lengths, different, everything, vocabulary)
+        count = lengths[0].n[lengths[0].place]
+        m, length = len(texts.at) - 1, np.diff(texts.at)
         text = np.repeat(np.arange(m), length)
         return pa.table({
-            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(length),
+            "doc_id": texts.doc_id, "held_out": texts.held_out, "n_tokens": pa.array(length),
             "n_known": pa.array(np.bincount(text[count > 0], minlength=m)),
             "log_counts": pa.array(np.bincount(text, np.log10(count + 1.0), m)),
-            "score": pa.array(np.bincount(text, np.log10(p), m))})
+            "score": pa.array(model.score(texts.symbols, texts.at))})
 
     return run
 
@@ -308,7 +450,7 @@ def _hot_contexts(training: DataFrame, size: int, n_buckets: int) -> np.ndarray:
     return np.unique(np.array([0, *[r.key for r in rows]], np.int64).view(np.uint64))
 
 
-def lm_scores(documents: DataFrame, held_out, bucket_bytes: int = 16 << 20) -> DataFrame:
+def lm_scores(documents: DataFrame, held_out, bucket_bytes: int = 8 << 20, block_bytes: int = 8 << 20) -> DataFrame:
     """One row per row of ``documents`` (``doc_id``, ``text``): ``doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -317,35 +459,44 @@ def lm_scores(documents: DataFrame, held_out, bucket_bytes: int = 16 << 20) -> D
     add-one unigram log10 probability of the text's tokens (words after
     lowering A-Z, then one end), ``score`` that of the backoff model with
     all n-grams of up to ``WORDS`` tokens; in both, all words that the
-    training rows lack are one unknown word.  Words and n-grams are counted
-    by 64-bit hashes.
+    training rows lack are one unknown word.  Words are counted by 64-bit
+    hashes, longer n-grams by 56 bits of their context's and 40 of the last
+    word's.  ``block_bytes`` of text are scored together; no result depends on
+    the sizes.
 
     Null and blank texts have one token, the end.  Repeated rows count as
     often as they occur.  Without training rows every token is the unknown
     word, at probability one.  Very long texts form a block of their own.  An
-    empty table gives no rows.  Other columns are ignored."""
+    empty table gives no rows.  Other columns are ignored.  The rows are read
+    from two tables below the session's shared folder."""
     spark = documents.sparkSession
-    ensure_checkpoint_dir(spark)
     rows = with_id(documents, "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = max(1, WORDS * size // bucket_bytes)
+    n_buckets = max(1, size // bucket_bytes)
     keys = _hot_contexts(rows.where("not held_out"), size, n_buckets)
     hot = spark.sparkContext.broadcast(keys)
-    asked = rows.mapInArrow(_ask(hot, n_buckets), (
-        "block bigint, bucket bigint, doc_id bigint, held_out boolean, text string, "
-        "grams binary, contexts binary, runs binary, counts binary")).checkpoint()
-    answers = (asked.where("bucket is not null").select("block", "bucket", "grams", "contexts", "runs", "counts")
-               .groupBy("bucket").applyInArrow(_answer(hot), (
-                   "block bigint, bucket bigint, n binary, c binary, t binary, "
-                   "hot array<struct<context: bigint, c: bigint, t: bigint>>")).checkpoint())
-    c, t = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-    for r in (answers.select(F.inline("hot")).groupBy("context").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect()):
-        i = np.searchsorted(keys, np.int64(r.context).view(np.uint64))
-        c[i], t[i] = r.c, r.t
+    texts, _ = cut(rows.mapInArrow(_blocks(block_bytes), (
+        "block bigint, doc_id array<bigint>, held_out array<boolean>, lengths array<bigint>, words binary, symbols binary")), "texts")
+    question = "block bigint, bucket bigint, contexts binary, runs binary, words binary, counts binary"
+    answer = ("block bigint, bucket bigint, n binary, shared binary, t binary, "
+              "hot array<struct<context: bigint, c: bigint, t: bigint>>")
+    answers, sums = None, {}
+    for k in range(1, WORDS + 1):
+        by_block = texts.groupBy("block")
+        if answers is None:
+            asked = by_block.applyInArrow(_ask(k, hot, n_buckets), question)
+        else:
+            asked = (by_block.cogroup(answers.select("block", "length", "bucket", "n", "shared").groupBy("block"))
+                     .applyInArrow(_ask(k, hot, n_buckets), question))
+        got, _ = cut(asked.groupBy("bucket").applyInArrow(_answer(hot), answer).withColumn("length", F.lit(k)), "answers")
+        for r in got.select(F.inline("hot")).groupBy("context").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect():
+            sums[r.context] = (r.c, r.t)
+        got = got.drop("hot")
+        answers = got if answers is None else answers.unionByName(got)
+    c, t = np.array([sums.get(int(x >> np.uint64(8)), (0, 0)) for x in keys], np.int64).T
     totals = spark.sparkContext.broadcast((keys, c, t))
     n, v = int(c[0]), int(t[0])                 # of the empty context, whose hash is the least
-    return (asked.where("bucket is null").select("block", "doc_id", "held_out", "text").groupBy("block")
-            .cogroup(answers.select("block", "bucket", "n", "c", "t").groupBy("block"))
+    return (texts.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(_finish(totals, n_buckets),
                           "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, score double")
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"),

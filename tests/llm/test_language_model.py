@@ -166,8 +166,8 @@ def test_every_ngram_counts(spark):
         return (n[(*history, word)] + t[history] * below) / (c[history] + t[history]) if c[history] else below
 
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    for bucket_bytes in (1 << 10, 16 << 20):
-        got = {r.doc_id: r.score for r in scores(df, bucket_bytes=bucket_bytes)}
+    for bucket_bytes, block_bytes in ((1 << 10, 8 << 20), (16 << 20, 8 << 20), (1 << 14, 1 << 10)):
+        got = {r.doc_id: r.score for r in scores(df, bucket_bytes=bucket_bytes, block_bytes=block_bytes)}
         for i, text in rows:
             s = [None] * (WORDS - 1) + tokens(text) + [None]
             want = sum(math.log10(p(tuple(s[j - WORDS + 1:j]), s[j])) for j in range(WORDS - 1, len(s)))
