@@ -65,7 +65,7 @@ class Automaton:
     def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Next states and the log10 weight of reading ``symbol``: follow the
         arc, or failure arcs until a state has one (the root has them all)."""
-        slot = self.find((state << self.bits) | symbol)
+        slot = self.find((state.astype(np.int64) << self.bits) | symbol)
         weight = np.zeros(len(state))
         lost = np.flatnonzero(slot < 0)
         if len(lost):
@@ -73,7 +73,7 @@ class Automaton:
             while len(lost):
                 weight[lost] += self.backoff[at]
                 at = self.fail[at]
-                got = self.find((at << self.bits) | symbol[lost])
+                got = self.find((at.astype(np.int64) << self.bits) | symbol[lost])
                 slot[lost] = got
                 lost, at = lost[got < 0], at[got < 0]
         return self.target[slot], weight + self.weight[slot]
@@ -106,17 +106,23 @@ class Automaton:
 
 
 class SortedAutomaton(Automaton):
-    """Arcs in sorted arrays, for symbols of any number of bits: quicker to
-    make than the table, for an automaton that is used once."""
+    """Arcs in arrays sorted by key, for symbols of any number of bits: quicker
+    to make than the table, for an automaton that is used once."""
 
     def __init__(self, key, target, weight, fail, backoff, start, bits: int, order: int):
-        by = np.argsort(key, kind="stable")
-        self.key, self.target, self.weight = key[by], target[by], weight[by]
+        self.key, self.target, self.weight = key, target, weight
         self.fail, self.backoff, self.start, self.bits, self.order = fail, backoff, start, bits, order
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(key >> bits, minlength=len(fail)))))
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
-        return np.where(self.key[at] == keys, at, -1)
+        """Most states have one arc: the first is looked at before the search."""
+        state = keys >> self.bits
+        at = self.first[state]
+        slot = np.where(self.key[np.minimum(at, len(self.key) - 1)] == keys, at, -1)
+        more = np.flatnonzero((slot < 0) & (self.first[state + 1] > at + 1))
+        among = np.minimum(np.searchsorted(self.key, keys[more]), len(self.key) - 1)
+        slot[more] = np.where(self.key[among] == keys[more], among, -1)
+        return slot
 
 
 def compile_automaton(orders: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Automaton:

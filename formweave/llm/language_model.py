@@ -150,17 +150,18 @@ def train(training: DataFrame, frequent: np.ndarray, max_grams: int = 1 << 18) -
     return compile_automaton(orders)
 
 
-def _contexts(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hashes of the 0, 1, ... ``WORDS - 1`` tokens before each token, one row
-    per length; before the first token of a text stands its end."""
+def _contexts(tokens: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+    """Hashes of the 0, 1, ... ``WORDS - 1`` tokens before each token, length
+    by length; before the first token of a text stands its end."""
     place = np.arange(len(tokens)) - np.repeat(at[:-1], np.diff(at))
-    out = [np.full(len(tokens), NO_CONTEXT)]
+    out = np.full(len(tokens), NO_CONTEXT)
+    yield out
     for back in range(1, WORDS):
         word = np.full(len(tokens), END_TOKEN)
         word[back:] = tokens[:max(0, len(tokens) - back)]
         word[place < back] = END_TOKEN
-        out.append(mix(out[-1] * MULT + word + np.uint64(back)))
-    return np.stack(out)
+        out = mix(out * MULT + word + np.uint64(back))
+        yield out
 
 
 def _place(among: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -242,71 +243,117 @@ class _Texts:
         self.learnt = np.repeat(~held, np.diff(self.at))
 
 
+def _distinct(keys: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different key (0 <= key < ``below``) stands first, by
+    ascending key, and the rank of every key."""
+    n = len(keys)
+    bits = n.bit_length()
+    if below.bit_length() + bits < 64:      # key and place in one number: a plain sort
+        both = np.sort((keys << bits) | np.arange(n))
+        order, ordered = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    new = np.ones(n, bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    rank = np.empty(n, np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return order[new].astype(np.int32), rank
+
+
 class _Grams:
-    """The different n-grams of one length in a block: the token each ends at
-    first (``index``), the n-gram of every token (``place``), how often the
-    block's training texts have it (``own``), its context (``of``), and those
-    to ask for (``asked``, by bucket and context).  ``shared`` says of every
-    token whether other blocks may have its context."""
-
-    def __init__(self, tokens, context, learnt, shared, hot, n_buckets: int):
-        gram, self.index, self.place = np.unique(mix(context * MULT + tokens), return_index=True, return_inverse=True)
-        self.own = np.bincount(self.place[learnt], minlength=len(gram))
-        self.of = context[self.index]
+    """The different n-grams of one length in a block, by context and word.
+
+    ``index`` is the token each ends at first, ``place`` the n-gram of every
+    token, ``own`` how often the block's training texts have it, ``of`` the
+    number of its context (``context`` numbers those of all tokens) and
+    ``asked`` those to ask for, context by context: by bucket, first those of
+    common contexts, then those of ``hot`` ones, which are spread by n-gram.
+    ``shared`` says of every token whether other blocks may have its context."""
+
+    def __init__(self, texts: _Texts, context, hashes, shared, hot, n_buckets: int):
+        n_words = len(texts.words)
+        self.index, self.place = _distinct(context * n_words + texts.symbols, (int(context.max()) + 1) * n_words)
+        self.own = np.bincount(self.place[texts.learnt], minlength=len(self.index))
+        self.of = context[self.index].astype(np.int32)
         asked = np.flatnonzero(shared[self.index])
-        of = self.of[asked]
-        spread = np.where(_place(hot, of) >= 0, gram[asked], of)
-        bucket = ((spread >> np.uint64(40)) * np.uint64(n_buckets)) >> np.uint64(24)
-        bits = np.uint64(max(1, (n_buckets - 1).bit_length()))
-        order = np.argsort((bucket << (np.uint64(64) - bits)) | (of >> bits), kind="stable")
-        self.asked, self.bucket = asked[order], bucket[order].astype(np.int64)
-        of = of[order]
-        self.runs, self.rows = _cuts(self.bucket, of), _cuts(self.bucket)    # of one context; of one bucket
+        of = hashes[self.index[asked]]
+        runs = _cuts(self.of[asked])
+        if not len(asked):
+            runs = runs[:1]
+        spread = _place(hot, of[runs[:-1]]) >= 0
+        size = np.diff(runs)
+        common = np.flatnonzero(~spread)
+        common = common[np.argsort(of[runs[common]])]
+        begin, size = runs[common], size[common]
+        at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        dealt = np.flatnonzero(np.repeat(spread, np.diff(runs)))
+        gram = mix(of[dealt] * MULT + texts.tokens[self.index[asked[dealt]]])
+        dealt = dealt[np.lexsort((gram, of[dealt], _bucket(gram, n_buckets)))]
+        gram = mix(of[dealt] * MULT + texts.tokens[self.index[asked[dealt]]])
+        bucket = np.concatenate((_bucket(of[at], n_buckets), _bucket(gram, n_buckets)))
+        kind = np.repeat([0, 1], [len(at), len(dealt)])
+        at = np.concatenate((at, dealt))
+        self.asked, of = asked[at], of[at]
+        self.runs, self.rows = _cuts(kind, bucket, of), _cuts(kind, bucket)      # of one context; asked in one row
+        if not len(at):
+            self.runs, self.rows = self.runs[:1], self.rows[:1]
         self.heads = np.searchsorted(self.runs, self.rows)
-        self.contexts = of[self.runs[:-1]]
+        self.contexts, self.bucket = of[self.runs[:-1]], bucket[self.rows[:-1]]
 
     def answer(self, rows: pa.Table) -> None:
         """Corpus counts, and whether another block has the n-gram, from the
         answers in the order asked and from the block's own counts."""
-        sizes = np.diff(self.rows)
         self.n, self.shared = self.own.copy(), np.zeros(len(self.own), bool)
-        if len(self.asked):
-            taken = rows.take(pa.array(np.argsort(rows.column("bucket").to_numpy())))
-            self.n[self.asked] = np.concatenate([
-                _unpack(x, m) for x, m in zip(taken.column("n").to_pylist(), sizes, strict=True)])
-            self.shared[self.asked] = np.concatenate([
-                np.unpackbits(np.frombuffer(x, np.uint8), count=m) for x, m in zip(taken.column("shared").to_pylist(), sizes)])
+        for lo, hi, n, shared in zip(self.rows[:-1], self.rows[1:], rows.column("n"), rows.column("shared"), strict=True):
+            at = self.asked[lo:hi]
+            self.n[at] = _unpack(n.as_py(), hi - lo)
+            self.shared[at] = np.unpackbits(np.frombuffer(shared.as_py(), np.uint8), count=hi - lo)
+
+    def forget(self) -> None:
+        """Only counts are needed any more."""
+        del self.own, self.shared, self.asked, self.runs, self.rows, self.heads, self.contexts, self.bucket
 
     def different(self, rows: pa.Table, hot, hot_t) -> np.ndarray:
         """For every n-gram, how many different words follow its context."""
-        out = np.zeros(len(self.own), np.int64)
-        alone = np.ones(len(self.own), bool)
-        alone[self.asked] = False
-        alone = np.flatnonzero(alone)
-        _, group = np.unique(self.of[alone], return_inverse=True)
-        out[alone] = np.bincount(group[self.own[alone] > 0], minlength=len(alone))[group]
-        if len(self.asked):
-            taken = rows.take(pa.array(np.argsort(rows.column("bucket").to_numpy())))
-            t = np.concatenate([_unpack(x, m) for x, m in zip(taken.column("t").to_pylist(), np.diff(self.heads), strict=True)])
-            at = _place(hot, self.contexts)
-            out[self.asked] = np.repeat(np.where(at >= 0, hot_t[at], t), np.diff(self.runs))
-        return out
-
-
-def _lengths(texts: _Texts, answers: pa.Table, upto: int, answered: int, hot, n_buckets: int) -> list[_Grams]:
+        out = np.bincount(self.of[self.own > 0], minlength=int(self.of[-1]) + 1)    # of a context of this block alone
+        at = _place(hot, self.contexts)
+        contexts = self.of[self.asked[self.runs[:-1]]]
+        for lo, hi, t in zip(self.heads[:-1], self.heads[1:], rows.column("t"), strict=True):
+            out[contexts[lo:hi]] = _unpack(t.as_py(), hi - lo)
+        out[contexts[at >= 0]] = hot_t[at[at >= 0]]
+        return out[self.of]
+
+
+def _bucket(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
+    return (((hashes >> np.uint64(40)) * np.uint64(n_buckets)) >> np.uint64(24)).astype(np.int64)
+
+
+def _rows(answers: pa.Table, length: int) -> pa.Table:
+    """The answers about n-grams of one length in the order asked."""
+    rows = answers.filter(pa.array(answers.column("length").to_numpy() == length))
+    return rows.take(pa.array(np.argsort(rows.column("row").to_numpy())))
+
+
+def _lengths(texts: _Texts, answers: pa.Table, upto: int, answered: int, hot, n_buckets: int, hot_t=None) -> list[_Grams]:
     """The n-grams of 1 to ``upto`` words, of which ``answers`` has those of
-    up to ``answered``."""
-    contexts = _contexts(texts.tokens, texts.at)
-    shared = np.ones(len(texts.tokens), bool)
-    length = answers.column("length").to_numpy()
+    up to ``answered``; with ``hot_t`` (different words after hot contexts)
+    also how many different words follow each context."""
+    context, shared = np.zeros(len(texts.tokens), np.int64), np.ones(len(texts.tokens), bool)
     out: list[_Grams] = []
-    for k in range(upto):
-        grams = _Grams(texts.tokens, contexts[k], texts.learnt, shared, hot, n_buckets)
+    for k, hashes in zip(range(upto), _contexts(texts.tokens, texts.at)):
+        grams = _Grams(texts, context, hashes, shared, hot, n_buckets)
         if k < answered:
-            grams.answer(answers.filter(pa.array(length == k + 1)))
-            shared = np.ones(len(texts.tokens), bool)
+            rows = _rows(answers, k + 1)
+            grams.answer(rows)
+            # the context of the next length is the n-gram before; the ends before a text are one more
+            context[1:] = grams.place[:-1]
+            context += 1
             shared[1:] = grams.shared[grams.place[:-1]]
-            shared[texts.at[:-1]] = True
+            context[texts.at[:-1]], shared[texts.at[:-1]] = 0, True
+            if hot_t is not None:
+                grams.t = grams.different(rows, hot, hot_t)
+            grams.forget()
         out.append(grams)
     return out
 
@@ -319,11 +366,10 @@ def _ask(k: int, hot, n_buckets: int):
         grams = _lengths(texts, answers, k, k - 1, hot.value, n_buckets)[-1]
         words = texts.tokens[grams.index[grams.asked]] >> np.uint64(24 if k > 1 else 0)
         own, size, contexts = grams.own[grams.asked], np.diff(grams.runs), grams.contexts >> np.uint64(8)
-        m = len(grams.rows) - 1 if len(grams.asked) else 0
-        spans = list(zip(grams.rows, grams.rows[1:]))[:m]
-        heads = list(zip(grams.heads, grams.heads[1:]))[:m]
+        spans, heads = list(zip(grams.rows, grams.rows[1:])), list(zip(grams.heads, grams.heads[1:]))
         return pa.table({
-            "block": pa.array([texts.block] * m, pa.int64()), "bucket": pa.array(grams.bucket[grams.rows[:m]], pa.int64()),
+            "block": pa.array([texts.block] * len(spans), pa.int64()), "row": pa.array(np.arange(len(spans))),
+            "bucket": pa.array(grams.bucket),
             "contexts": pa.array([_planes(np.diff(contexts[lo:hi], prepend=np.uint64(0))) for lo, hi in heads], pa.binary()),
             "runs": pa.array([_pack(size[lo:hi]) for lo, hi in heads], pa.binary()),
             "words": pa.array([_planes(words[lo:hi]) for lo, hi in spans], pa.binary()),
@@ -363,7 +409,7 @@ def _answer(hot):
         sums = [[]] * table.num_rows
         sums[0] = [{"context": int(known[i]), "c": int(all_[i]), "t": int(kinds[i])} for i in some]
         return pa.table({
-            "block": table.column("block"), "bucket": table.column("bucket"),
+            "block": table.column("block"), "row": table.column("row"),
             "n": pa.array([_pack(x) for x in np.split(total[place], cuts)], pa.binary()),
             "shared": pa.array([np.packbits(x).tobytes() for x in np.split(blocks[place] > 1, cuts)], pa.binary()),
             "t": pa.array([_pack(x) for x in np.split(kinds[group], heads)], pa.binary()),
@@ -372,47 +418,44 @@ def _answer(hot):
     return run
 
 
-def _block_automaton(texts: _Texts, lengths: list[_Grams], different: list[np.ndarray], everything: int,
-                     vocabulary: int) -> SortedAutomaton:
-    """The states and arcs that the texts of one block can reach."""
-    start = texts.at[:-1]
-    ends = lengths[0].n[lengths[0].place[texts.at[1:] - 1]]       # training texts, as often as they end
-    base, state = 0, []                  # the state of each n-gram's context
-    for grams in lengths:
-        known, group = np.unique(grams.of, return_inverse=True)
-        state.append(base + group)
-        base += len(known)
-    fail, backoff = np.zeros(base, np.int64), np.zeros(base)
+def _block_automaton(texts: _Texts, lengths: list[_Grams], everything: int, vocabulary: int) -> SortedAutomaton:
+    """The states and arcs that the texts of one block can reach.  The states
+    of one length are numbered as the contexts of its n-grams are."""
+    is_first = np.zeros(len(texts.tokens), bool)
+    is_first[texts.at[:-1]] = True
+    ends = lengths[0].n[lengths[0].place[texts.at[1] - 1]]        # of the training texts
+    base = np.concatenate(([0], np.cumsum([int(grams.of[-1]) + 1 for grams in lengths])))
+    fail, backoff = np.zeros(base[-1], np.int32), np.zeros(base[-1])
     bits = max(1, int(len(texts.words) - 1).bit_length())
-    keys, targets, weights = [], [], []
+    # the root reads every word
+    arcs = [np.arange(len(grams.n)) if k == 0 else np.flatnonzero(grams.n) for k, grams in enumerate(lengths)]
+    size = np.concatenate(([0], np.cumsum([len(x) for x in arcs])))
+    key, target, weight = np.empty(size[-1], np.int64), np.zeros(size[-1], np.int32), np.empty(size[-1])
     p = None
-    for k, (grams, t) in enumerate(zip(lengths, different)):
-        n, at = grams.n, grams.index
+    for k, (grams, arc) in enumerate(zip(lengths, arcs)):
+        n, t, at = grams.n, grams.t, grams.index
         if k == 0:
             p = (n + vocabulary / (vocabulary + 1)) / (everything + vocabulary) if everything else np.ones(len(n))
-            arc = np.arange(len(n))      # the root reads every word
         else:
             below = lengths[k - 1]
-            before = np.empty(len(texts.tokens), np.int64)
-            before[1:] = below.n[below.place[:-1]]                # how often the context occurs
-            before[start] = ends
-            c = before[at]
             lower = below.place[at]
+            c = np.where(is_first[at], ends, below.n[below.place[at - 1]])       # how often the context occurs
             p = np.where(c > 0, (n + t * p[lower]) / np.maximum(c + t, 1), p[lower])
-            fail[state[k]] = state[k - 1][lower]
-            seen = c > 0
-            backoff[state[k][seen]] = np.log10(t[seen] / (c + t)[seen])
-            arc = np.flatnonzero(n > 0)
+            one = _cuts(grams.of)[:-1]                            # an n-gram of each context
+            state = base[k] + grams.of[one]
+            fail[state] = base[k - 1] + below.of[lower[one]]
+            seen = one[c[one] > 0]
+            backoff[state[c[one] > 0]] = np.log10(t[seen] / (c[seen] + t[seen]))
+        place = slice(size[k], size[k + 1])
+        last = at[arc]
+        key[place] = ((base[k] + grams.of[arc]) << bits) | texts.symbols[last]
+        weight[place] = np.log10(p[arc])
+        goes = np.flatnonzero((n[arc] > 0) & (texts.tokens[last] != END_TOKEN))
         longer = min(k + 1, WORDS - 1)
-        inside = (n[arc] > 0) & (texts.tokens[at[arc]] != END_TOKEN)
-        target = np.zeros(len(arc), np.int64)
-        target[inside] = state[longer][lengths[longer].place[at[arc[inside]] + 1]]
-        keys.append((state[k][arc] << bits) | texts.symbols[at[arc]])
-        targets.append(target)
-        weights.append(np.log10(p[arc]))
-    begin = int(state[-1][lengths[-1].place[0]]) if ends[0] else 0
-    return SortedAutomaton(np.concatenate(keys), np.concatenate(targets), np.concatenate(weights), fail, backoff, begin,
-                           bits, WORDS)
+        after = lengths[longer]
+        target[size[k] + goes] = base[longer] + after.of[after.place[last[goes] + 1]]
+    begin = int(base[WORDS - 1] + lengths[-1].of[lengths[-1].place[0]]) if ends else 0
+    return SortedAutomaton(key, target, weight, fail, backoff, begin, bits, WORDS)
 
 
 def _finish(totals, n_buckets: int):
@@ -422,11 +465,8 @@ def _finish(totals, n_buckets: int):
         hot, hot_c, hot_t = totals.value
         everything, vocabulary = int(hot_c[0]), int(hot_t[0])       # of the empty context, whose hash is the least
         texts = _Texts(texts)
-        lengths = _lengths(texts, answers, WORDS, WORDS, hot, n_buckets)
-        of_length = answers.column("length").to_numpy()
-        different = [grams.different(answers.filter(pa.array(of_length == k + 1)), hot, hot_t)
-                     for k, grams in enumerate(lengths)]
-        model = _block_automaton(texts, lengths, different, everything, vocabulary)
+        lengths = _lengths(texts, answers, WORDS, WORDS, hot, n_buckets, hot_t)
+        model = _block_automaton(texts, lengths, everything, vocabulary)
         count = lengths[0].n[lengths[0].place]
         m, length = len(texts.at) - 1, np.diff(texts.at)
         text = np.repeat(np.arange(m), length)
@@ -445,7 +485,7 @@ def _hot_contexts(training: DataFrame, size: int, n_buckets: int) -> np.ndarray:
     spread; no result depends on them."""
     part = min(1.0, max(64 << 20, n_buckets << 13) / max(size, 1))
     share = 1 / max(1000, n_buckets)
-    rows = (_count(training.sample(part, 1), lambda tokens, at: _contexts(tokens, at)[1:].ravel(), share / (WORDS - 1))
+    rows = (_count(training.sample(part, 1), lambda tokens, at: np.concatenate(list(_contexts(tokens, at))[1:]), share / (WORDS - 1))
             .where(F.col("n") >= share * part * size / 16).select("key").collect())
     return np.unique(np.array([0, *[r.key for r in rows]], np.int64).view(np.uint64))
 
@@ -477,8 +517,8 @@ def lm_scores(documents: DataFrame, held_out, bucket_bytes: int = 8 << 20, block
     hot = spark.sparkContext.broadcast(keys)
     texts, _ = cut(rows.mapInArrow(_blocks(block_bytes), (
         "block bigint, doc_id array<bigint>, held_out array<boolean>, lengths array<bigint>, words binary, symbols binary")), "texts")
-    question = "block bigint, bucket bigint, contexts binary, runs binary, words binary, counts binary"
-    answer = ("block bigint, bucket bigint, n binary, shared binary, t binary, "
+    question = "block bigint, row bigint, bucket bigint, contexts binary, runs binary, words binary, counts binary"
+    answer = ("block bigint, row bigint, n binary, shared binary, t binary, "
               "hot array<struct<context: bigint, c: bigint, t: bigint>>")
     answers, sums = None, {}
     for k in range(1, WORDS + 1):
@@ -486,7 +526,7 @@ def lm_scores(documents: DataFrame, held_out, bucket_bytes: int = 8 << 20, block
         if answers is None:
             asked = by_block.applyInArrow(_ask(k, hot, n_buckets), question)
         else:
-            asked = (by_block.cogroup(answers.select("block", "length", "bucket", "n", "shared").groupBy("block"))
+            asked = (by_block.cogroup(answers.select("block", "length", "row", "n", "shared").groupBy("block"))
                      .applyInArrow(_ask(k, hot, n_buckets), question))
         got, _ = cut(asked.groupBy("bucket").applyInArrow(_answer(hot), answer).withColumn("length", F.lit(k)), "answers")
         for r in got.select(F.inline("hot")).groupBy("context").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect():
