@@ -3,18 +3,20 @@
 Every line goes down a tree of fixed depth: by its number of tokens, then
 by its leading tokens, where tokens with digits are already variable (unless
 most tokens of the line have them: a row of numbers is its numbers).  In
-a leaf, a line joins the template it agrees with in most positions, and
-the other positions become variable fields.  Templates that recur across
-unrelated documents are dropped from all documents but the first.
+a leaf, lines that agree in most positions have one template, named by the
+most frequent of them; the positions that differ are its variable fields.
+Templates that recur across unrelated documents are dropped from all
+documents but the first.
 
 Copies of a document also repeat its lines, but together.  So what counts
 is the number of different documents: near copies, as near dedup finds them
 on whole texts, are one.
 
 Scale.  Lines travel as hashes and one byte per token.  Leaves seen in one
-document only are left out before any comparison, a leaf with many lines
-is split by further leading tokens, and per template only aggregates are
-taken.  Texts are shuffled to meet the numbers of their lines to drop, and
+document or with one line only are left out before any comparison.  No leaf
+is gathered: lines meet by keys of what must be equal (see
+``line_templates``), and per key only the most frequent line is taken, by
+an aggregate.  The rule is the same whatever the number of lines.  Texts are shuffled to meet the numbers of their lines to drop, and
 those in candidate clusters to be compared for near copies (``set_join.py``).
 """
 
@@ -33,8 +35,9 @@ from formweave.llm.set_join import near_duplicates
 from formweave.session import remove_folder
 
 LEADING = 2               # leading tokens on the way to a leaf
-GENERAL = 10              # shorter lines have no variable fields but masked tokens
-AGREE = 0.8               # share of positions in which a line agrees with its template
+SHORT = 10                # shorter lines have one variable field at most, of one token
+RUNS = 8                  # most runs into which a longer line is cut
+AGREE = 80                # percent of positions in which a line agrees with its template
 VARIABLE = np.uint64(0xD1B54A32D192ED03)
 LINE = "doc_id bigint, mark bigint, line int, leaf bigint, exact bigint, tokens binary"
 
@@ -84,66 +87,59 @@ def _lines(min_tokens: int, min_chars: int):
     return run
 
 
-def leaf_templates(exact: np.ndarray, count: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Template of each distinct line of one leaf, named by the line it began
-    with.  Frequent lines come first; each joins the template with the most
-    equal positions if these are at least ``AGREE`` of all, and makes the
-    positions that differ variable."""
-    template, variable, named = np.zeros_like(tokens), np.zeros(tokens.shape, bool), []
-    out = np.empty(len(exact), np.int64)
-    for i in np.lexsort((exact, -count)):
-        m = len(named)
-        if m:
-            same = ((template[:m] == tokens[i]) & ~variable[:m]).mean(axis=1)
-            best = int(same.argmax())
-            if same[best] >= AGREE:
-                # never so many fields that lines could agree in less
-                fields = variable[best] | (template[best] != tokens[i])
-                if 1 - fields.mean() >= AGREE / 2:
-                    variable[best] = fields
-                out[i] = named[best]
-                continue
-        template[m], out[i] = tokens[i], exact[i]
-        named.append(exact[i])
-    return out
-
-
-def _templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct lines sorted by leaf: the template of each."""
-    left = None
-
-    def flush(table: pa.Table) -> pa.RecordBatch:
-        leaf, exact, count = (table.column(c).to_numpy() for c in ("leaf", "exact", "n"))
-        flat = table.column("tokens").combine_chunks()
-        offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset:flat.offset + len(flat) + 1]
-        values = np.frombuffer(flat.buffers()[2], np.uint8)
-        out = np.empty(len(leaf), np.int64)
-        cuts = [0, *(np.flatnonzero(np.diff(leaf)) + 1), len(leaf)]
-        for lo, hi in zip(cuts, cuts[1:]):
-            if hi - lo == 1:
-                out[lo] = exact[lo]
-                continue
-            width = np.diff(offsets[lo:hi + 1])
-            for w in np.unique(width):          # one but for a collision of leaf hashes
-                rows = lo + np.flatnonzero(width == w)
-                out[rows] = leaf_templates(exact[rows], count[rows], values[offsets[rows][:, None] + np.arange(w)])
-        return pa.RecordBatch.from_arrays([pa.array(exact), pa.array(out)], ["exact", "template"])
-
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of lines with equally many tokens: those that agree in ``AGREE``
+    percent of the positions."""
+    names = ["leaf", "rank", "exact", "top", "template"]
     for rows in batches:
-        table = pa.Table.from_batches([rows])
-        if left is not None:
-            table = pa.concat_tables([left, table])
-        leaf = table.column("leaf").to_numpy()
-        cut = int(np.searchsorted(leaf, leaf[-1])) if len(leaf) else 0
-        if cut:
-            yield flush(table.slice(0, cut))
-        left = table.slice(cut)
-    if left is not None and left.num_rows:
-        yield flush(left)
-
-
-def recurring_lines(documents: DataFrame, min_tokens: int = 4, min_chars: int = 24, min_documents: int = 3,
-                    leaf_lines: int = 2000) -> DataFrame:
+        if not rows.num_rows:
+            continue
+        mine, other = ((c, np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1])
+                       for c in (rows.column("tokens"), rows.column("others")))
+        values = [np.frombuffer(c.buffers()[2], np.uint8)[at[0]:at[-1]] for c, at in (mine, other)]
+        offsets = mine[1] - mine[1][0]
+        same = np.add.reduceat((values[0] == values[1]).astype(np.int64), offsets[:-1])
+        yield rows.select(names).filter(pa.array(100 * same >= AGREE * np.diff(offsets)))
+
+
+def line_templates(distinct: DataFrame) -> DataFrame:
+    """``exact, template`` of the lines that belong to the template of another
+    line of their leaf (``distinct``: leaf, exact, n, tokens; one row a line;
+    n counts it).
+
+    Lines of ``SHORT`` tokens and more are cut into runs behind the leading
+    tokens, one more than there may be different tokens (``RUNS`` at most), so
+    alike lines with fields in fewer runs have a run in common.  Shorter lines
+    are taken once without each of these tokens.  Of the lines that share
+    such a key, the most frequent one (ties: by hash) is the one to agree
+    with; of all it agrees with, a line takes the most frequent.  A line
+    that others have taken is its own template."""
+    n = F.length("tokens")
+    parts = F.when(n < SHORT, n - LEADING).otherwise(F.least(F.floor(n * (100 - AGREE) / 100) + 1, F.lit(RUNS))).cast("int")
+    ranked = distinct.select("leaf", "exact", "tokens", F.expr(
+        "shiftleft(least(n, 32767L), 48) | (exact & 281474976710655L)").alias("rank"))
+    keys = (ranked.where(n * (100 - AGREE) >= 100)             # else no token may differ
+            .select("leaf", "rank", "tokens", n.alias("length"), parts.alias("parts"),
+                    F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+            .withColumn("begin", F.expr(f"cast({LEADING} + part * (length - {LEADING}) div parts as int)"))
+            .withColumn("end", F.expr(f"cast({LEADING} + (part + 1) * (length - {LEADING}) div parts as int)"))
+            .select("leaf", "rank", F.expr(f"""xxhash64(leaf, part, if(length < {SHORT},
+                concat(substring(tokens, 1, begin), substring(tokens, end + 1, length)),
+                substring(tokens, begin + 1, end - begin)))""").alias("key")))
+    tops = keys.groupBy("key").agg(F.max("rank").alias("top"), F.min("rank").alias("least")).where("least < top").drop("least")
+    pairs = keys.join(tops, "key").where("rank < top").select("leaf", "rank", "top").distinct()
+    other = ranked.select("leaf", F.col("rank").alias("top"), F.col("exact").alias("template"), F.col("tokens").alias("others"))
+    taken, _ = cut(pairs.join(ranked, ["leaf", "rank"]).join(other, ["leaf", "top"])
+                   .where(n == F.length("others"))
+                   .select("leaf", "rank", "exact", "top", "template", "tokens", "others")
+                   .mapInArrow(_agreeing, "leaf bigint, rank bigint, exact bigint, top bigint, template bigint")
+                   .groupBy("leaf", "rank").agg(F.max("top").alias("top"), F.max_by("template", "top").alias("template"),
+                                                F.first("exact").alias("exact")), "taken")
+    own = taken.select("leaf", F.col("top").alias("rank")).distinct()
+    return taken.join(own, ["leaf", "rank"], "left_anti").select("exact", "template")
+
+
+def recurring_lines(documents: DataFrame, min_tokens: int = 4, min_chars: int = 24, min_documents: int = 3) -> DataFrame:
     """``doc_id, mark, drop`` (line numbers from 0, an array) of the documents
     that have lines to drop; ``mark`` is ``xxhash64(text)``.  See
     ``drop_recurring_lines``."""
@@ -151,20 +147,12 @@ def recurring_lines(documents: DataFrame, min_tokens: int = 4, min_chars: int =
     lines, lines_folder = cut(with_id(documents, "text", F.xxhash64("text").alias("mark"))
                               .where("doc_id is not null and text is not null")
                               .mapInArrow(_lines(min_tokens, min_chars), LINE), "lines")
-    shared = lines.groupBy("leaf").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("leaf")
-    found = lines.join(shared, "leaf")
-    general = F.length("tokens") >= GENERAL
-    distinct, _ = cut(found.where(general).groupBy("leaf", "exact")
+    shared = (lines.groupBy("leaf").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"),
+                                        F.min("exact").alias("c"), F.max("exact").alias("d"))
+              .where("a < b and c < d").select("leaf"))
+    distinct, _ = cut(lines.join(shared, "leaf").groupBy("leaf", "exact")
                       .agg(F.count("*").alias("n"), F.first("tokens").alias("tokens")), "leaves")
-    for depth in range(LEADING, GENERAL):       # split leaves with many lines by one more leading token
-        large = distinct.groupBy("leaf").agg(F.count("*").alias("rows")).where(F.col("rows") > leaf_lines)
-        if not large.take(1):
-            break
-        distinct, _ = cut(distinct.join(large, "leaf", "left").withColumn(
-            "leaf", F.when(F.col("rows").isNull(), F.col("leaf"))
-            .otherwise(F.xxhash64("leaf", F.substring("tokens", depth + 1, 1)))).drop("rows"), "leaves")
-    named = (distinct.repartition("leaf").sortWithinPartitions("leaf")
-             .mapInArrow(_templates, "exact bigint, template bigint").where("exact <> template"))
+    named = line_templates(distinct)
     lines = lines.drop("tokens", "leaf").join(named, "exact", "left").select(
         "doc_id", "mark", "line", F.coalesce("template", "exact").alias("template"))
     often = (lines.groupBy("template").agg(F.count("*").alias("rows"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
