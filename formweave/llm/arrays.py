@@ -112,6 +112,32 @@ def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
     return np.unique(out)
 
 
+def shingle_sets(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles`` of several texts, one set behind the other, and the
+    offsets of the sets (text i has the words from ``first[i]`` on)."""
+    n = np.diff(first)
+    m = max(len(hashes) - k + 1, 0)
+    out = np.full(m, k, np.uint64)
+    for j in range(k):
+        out = mix(out * MULT + hashes[j:m + j])
+    inside = np.arange(m) + k <= np.repeat(first[1:], n)[:m]
+    size = np.where(n >= k, n - k + 1, np.minimum(n, 1))
+    offsets = np.concatenate(([0], np.cumsum(size)))
+    short = np.flatnonzero((n > 0) & (n < k))
+    items = np.empty(offsets[-1], np.uint64)
+    whole = np.ones(len(items), bool)
+    whole[offsets[short]] = False
+    items[whole] = out[inside]
+    for i in short:
+        items[offsets[i]] = shingles(hashes[first[i]:first[i + 1]], k)[0]
+    for i in np.flatnonzero(size > 1):
+        items[offsets[i]:offsets[i + 1]].sort()
+    new = np.ones(len(items), bool)
+    new[1:] = items[1:] != items[:-1]
+    new[offsets[:-1][size > 0]] = True
+    return items[new], np.concatenate(([0], np.cumsum(new)))[offsets]
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """Size of the intersection and of the union of two sorted distinct arrays."""
     both = len(np.intersect1d(a, b, assume_unique=True))

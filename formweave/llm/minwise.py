@@ -21,3 +21,22 @@ def signature(values: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 204
         x = values[at:at + block]
         out = np.minimum(out, ((a[:, None] * x[None, :] + b[:, None]) >> np.uint64(32)).min(axis=1))
     return out.astype(np.uint32)
+
+
+def signatures(items: np.ndarray, offsets: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 1 << 14) -> np.ndarray:
+    """``signature`` of several sets, one behind the other (set i is
+    ``items[offsets[i]:offsets[i + 1]]``), a few sets at a time."""
+    out = np.full((len(offsets) - 1, len(a)), 0xFFFFFFFF, np.uint32)
+    full = np.flatnonzero(np.diff(offsets))
+    begin = offsets[full]
+    at = 0
+    while at < len(full):
+        end = max(at + 1, int(np.searchsorted(begin, begin[at] + block)))
+        x = items[begin[at]:offsets[full[end - 1] + 1]]
+        y = np.empty_like(x)
+        for j in range(len(a)):
+            np.multiply(x, a[j], out=y)
+            y += b[j]
+            out[full[at:end], j] = np.minimum.reduceat(y, begin[at:end] - begin[at]) >> np.uint64(32)
+        at = end
+    return out

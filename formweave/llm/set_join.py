@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, mix, shingles, slices, word_hashes, words, with_id
+from formweave.llm.arrays import LOWER, mix, shingle_sets, slices, word_hashes, words, with_id
 from formweave.llm.components import connected_components, cut
-from formweave.llm.minwise import permutations, signature
+from formweave.llm.minwise import permutations, signatures
 
 HASHES = 64          # coordinates of a signature
 SURE = 0.5           # signature agreement below which a pair at 0.8 is ruled out (six deviations, see Recall)
@@ -42,20 +42,22 @@ def _sets(k: int, with_set: bool):
             data = LOWER[data]
             starts, ends, first = words(data, offsets)
             hashes = word_hashes(data, starts, ends)
-            sets = [shingles(hashes[first[i]:first[i + 1]], k) for i in range(rows.num_rows)]
-            sizes = pa.array([len(s) for s in sets], pa.int64())
+            items, at = shingle_sets(hashes, first, k)
             if with_set:
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), rows.column("cluster"), rows.column("block"),
-                     pa.array([s.tobytes() for s in sets], pa.binary())],
+                     pa.array([items[lo:hi].tobytes() for lo, hi in zip(at, at[1:])], pa.binary())],
                     ["doc_id", "cluster", "block", "items"])
                 continue
-            digest = [np.array([s.sum(), mix(s).sum()], np.uint64).view(np.int64) for s in sets]
-            marks = np.stack([signature(s, a, b) for s in sets]).view(np.int32)
+            sizes, digest = np.diff(at), np.zeros((2, rows.num_rows), np.uint64)
+            full = np.flatnonzero(sizes)
+            if len(full):
+                digest[:, full] = [np.add.reduceat(x, at[full]) for x in (items, mix(items))]
+            digest = digest.view(np.int64)
+            marks = signatures(items, at, a, b).view(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), sizes, pa.array([d[0] for d in digest], pa.int64()),
-                 pa.array([d[1] for d in digest], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * HASHES, pa.int32()),
+                [rows.column("doc_id"), pa.array(sizes), pa.array(digest[0]), pa.array(digest[1]),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(marks) + 1) * HASHES, pa.int32()),
                                           pa.array(marks.ravel()))],
                 ["doc_id", "n_shingles", "h1", "h2", "marks"])
 
