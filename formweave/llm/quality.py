@@ -34,7 +34,8 @@ def layout(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     blocks = -(-(places + 1) // BLOCK)
     begin = np.concatenate(([0], np.cumsum(blocks)))
     padded = np.zeros(int(begin[-1]) * BLOCK * UNIT, np.uint8)
-    padded[np.repeat(begin[:-1] * BLOCK * UNIT - offsets[:-1], size) + np.arange(len(data))] = data
+    for at, lo, hi in zip(begin * BLOCK * UNIT, offsets, offsets[1:]):
+        padded[at:at + hi - lo] = data[lo:hi]
     spare = blocks * BLOCK - places
     unused = np.arange(int(spare.sum())) + np.repeat(begin[:-1] * BLOCK + places - (np.cumsum(spare) - spare), spare)
     chunks = 1 + np.maximum(0, -(-(blocks - CHUNK) // STEP))
@@ -44,16 +45,35 @@ def layout(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return padded, unused, np.minimum(lo[:, None] + np.arange(CHUNK), np.repeat(begin[1:] - 1, chunks)[:, None]), first
 
 
-def responses(p: dict[str, np.ndarray], padded: np.ndarray, unused: np.ndarray) -> np.ndarray:
-    """All filters at all positions, as ``(block, position, filter)``."""
+def at_positions(p: dict[str, np.ndarray], padded: np.ndarray) -> np.ndarray:
+    """All filters at all positions; the last one sees nothing behind it."""
     units = p["embed"][padded].reshape(-1, UNIT * EMBED)
     half = UNIT * EMBED
     out = units @ p["filters"][:half]
     out[:-1] += (units @ p["filters"][half:])[1:]
+    return out
+
+
+def responses(p: dict[str, np.ndarray], padded: np.ndarray, unused: np.ndarray) -> np.ndarray:
+    """All filters at all positions, as ``(block, position, filter)``."""
+    out = at_positions(p, padded)
     out[unused] = -1e30
     return out.reshape(-1, BLOCK, FILTERS)
 
 
+def block_maxima(p: dict[str, np.ndarray], padded: np.ndarray, unused: np.ndarray, many: int = 1 << 14) -> np.ndarray:
+    """The highest response of each filter in each block, ``many`` blocks at a
+    time, so that one huge text needs little more memory than its bytes."""
+    out = np.empty((len(padded) // (BLOCK * UNIT), FILTERS), np.float32)
+    for at in range(0, len(out), many):
+        end = min(at + many, len(out))
+        found = at_positions(p, padded[at * BLOCK * UNIT:(end * BLOCK + 1) * UNIT])[:(end - at) * BLOCK]
+        lo, hi = np.searchsorted(unused, (at * BLOCK, end * BLOCK))
+        found[unused[lo:hi] - at * BLOCK] = -1e30
+        out[at:end] = found.reshape(-1, BLOCK, FILTERS).max(axis=1)
+    return out
+
+
 def head(p: dict[str, np.ndarray], pooled: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     """From the chunks' pooled responses to one probability a text."""
     act = np.maximum(pooled + p["bias"], 0)
@@ -68,7 +88,9 @@ def head(p: dict[str, np.ndarray], pooled: np.ndarray, first: np.ndarray) -> dic
 
 def score_texts(p: dict[str, np.ndarray], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     padded, unused, chunks, first = layout(data, offsets)
-    pooled = responses(p, padded, unused).max(axis=1)[chunks].max(axis=1)
+    most, pooled = block_maxima(p, padded, unused), np.full((len(chunks), FILTERS), -np.inf, np.float32)
+    for blocks in chunks.T:
+        np.maximum(pooled, most[blocks], out=pooled)
     return head(p, pooled, first)["score"].astype(np.float64)
 
 

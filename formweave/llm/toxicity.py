@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formweave.llm.arrays import LOWER, mix, slices, words, with_id
+from formweave.llm.arrays import LOWER, SPACE, mix, slices, words, with_id
 from formweave.llm.labelled import Adam, labelled_sample, sigmoid
 
 WINDOW, STRIDE = 48, 36          # words
@@ -263,12 +263,45 @@ def train(texts: pa.Array, label: np.ndarray, rounds: int = 6, batch: int = 64)
     return model
 
 
-def score_texts(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The highest window's probability for each text."""
+def highest_windows(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The highest window's logit for each text."""
     keys = word_keys(data, offsets)
     x = inputs(keys, {t: model["tables"][t][keys[t]] for t in TABLES})
     logit, begin = window_logits(model["net"], x, keys["first"])
-    return sigmoid(np.maximum.reduceat(logit, begin[:-1]).astype(np.float64))
+    return np.maximum.reduceat(logit, begin[:-1])
+
+
+def pieces(data: np.ndarray, max_bytes: int) -> Iterator[np.ndarray]:
+    """One text in pieces of about ``max_bytes`` whose windows are, together,
+    those of the text: each piece begins with the first window that is not
+    whole in the one before.  A piece ends between words, so a single word
+    may make it longer."""
+    at = 0
+    while len(data) - at > max_bytes:
+        space = np.flatnonzero(SPACE[data[at + max_bytes:at + 2 * max_bytes]])
+        if not len(space):
+            space = np.flatnonzero(SPACE[data[at + max_bytes:]])
+        if not len(space):
+            break
+        piece = data[at:at + max_bytes + int(space[0])]
+        starts, ends, _ = words(piece, np.array([0, len(piece)]))
+        count = (len(starts) - (WINDOW - STRIDE) - 1) // STRIDE
+        if count > 0:
+            yield piece[:ends[(count - 1) * STRIDE + WINDOW - 1]]
+            at += int(starts[count * STRIDE])
+        else:                                  # hardly any words in so many bytes
+            max_bytes *= 2
+    yield data[at:]
+
+
+def score_texts(model: dict, data: np.ndarray, offsets: np.ndarray, max_bytes: int = 2 << 20) -> np.ndarray:
+    """The highest window's probability for each text; a single text beyond
+    ``max_bytes`` is read in pieces."""
+    if len(offsets) == 2 and len(data) > max_bytes:
+        logit = np.max([highest_windows(model, x, np.array([0, len(x)])) for x in pieces(data, max_bytes)], axis=0)
+    else:
+        logit = highest_windows(model, data, offsets)
+    return sigmoid(logit.astype(np.float64))
 
 
 def _scorer(shared, threshold: float):
@@ -291,8 +324,9 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, held_out: Column, p
     Only the text is an input of a score.  Tables and network are trained on
     at most ``per_class`` labelled documents of each class outside
     ``held_out`` (a condition over ``doc_id``; null counts as false) and on
-    their whole texts; all windows of every document are then scored.  Null
-    and empty texts have one empty window.  Without labels the network is
+    their whole texts; all windows of every document are then scored, those
+    of a very long text piece by piece (a single word is not divided: one of
+    many megabytes takes some 80 times its bytes).  Null and empty texts have one empty window.  Without labels the network is
     untrained.  An empty table gives no rows; other columns are ignored."""
     held = F.coalesce(held_out, F.lit(False))
     texts, label = labelled_sample(documents, labels, "toxic", ~held, per_class)

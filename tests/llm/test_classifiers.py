@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -132,3 +133,54 @@ def test_odd_rows(spark, odd_rows, scores, column):
         assert len({round(r.score, 6) for r in rows if r.doc_id in (4, 5)}) == 1
     assert scores(odd_rows.limit(0), labels, F.lit(False)).collect() == []
     assert len(scores(odd_rows, labels.limit(0), F.lit(False)).collect()) == odd_rows.count()
+
+
+def peak_mb(call):
+    tracemalloc.start()
+    try:
+        out = call()
+        return out, tracemalloc.get_traced_memory()[1] / (1 << 20)
+    finally:
+        tracemalloc.stop()
+
+
+def long_text(n_bytes, seed=3):
+    rng = np.random.default_rng(seed)
+    letters = rng.integers(97, 123, n_bytes).astype(np.uint8)
+    spaces = np.cumsum(rng.integers(2, 9, n_bytes // 2))
+    letters[spaces[spaces < n_bytes]] = 0x20
+    return letters
+
+
+def test_blocks_of_a_huge_text_are_pooled_piece_by_piece():
+    p = quality.start_parameters()
+    data, offsets = long_text(60_000), np.array([0, 0, 5, 9_000, 60_000])
+    padded, unused, chunks, first = quality.layout(data, offsets)
+    most = quality.responses(p, padded, unused).max(axis=1)
+    for many in (1, 3, 10_000):
+        assert np.allclose(quality.block_maxima(p, padded, unused, many), most, rtol=1e-4, atol=1e-4)
+    whole = quality.head(p, most[chunks].max(axis=1), first)["score"]
+    assert np.allclose(quality.score_texts(p, data, offsets), whole, atol=1e-5)
+    huge = long_text(32 << 20)
+    _, mb = peak_mb(lambda: quality.score_texts(p, huge, np.array([0, len(huge)])))
+    assert mb < 700
+
+
+def test_windows_of_a_huge_text_are_those_of_its_pieces():
+    rng = np.random.default_rng(4)
+    model = {"net": toxicity.start_parameters(),
+             "tables": {t: rng.standard_normal(1 << toxicity.TABLE_BITS).astype(np.float32) for t in toxicity.TABLES}}
+    for n in (400, 3_000, 20_011, 50_000):
+        data = long_text(n, n)
+        whole = toxicity.score_texts(model, data, np.array([0, n]), n)
+        for size in (300, 1_000, 7_000):
+            parts = list(toxicity.pieces(data, size))
+            assert len(parts) > 1 or n < 2 * size + 600
+            assert np.allclose(toxicity.score_texts(model, data, np.array([0, n]), size), whole, atol=1e-6)
+            n_windows = [len(toxicity.windows(toxicity.word_keys(x, np.array([0, len(x)]))["first"])[0]) for x in (data, *parts)]
+            assert n_windows[0] == sum(n_windows[1:])
+    for blank in (np.full(5_000, 0x20, np.uint8), np.full(5_000, 97, np.uint8)):
+        assert len(list(toxicity.pieces(blank, 100))) == 1
+    huge = long_text(16 << 20)
+    _, mb = peak_mb(lambda: toxicity.score_texts(model, huge, np.array([0, len(huge)])))
+    assert mb < 400
