@@ -88,3 +88,32 @@ def test_profile_builds_every_table(spark, tmp_dir, make_profile, n_parents, n_c
         for name in res.tables:
             assert spark.table(res.views[name]).filter(f"{profile.keys[0]} is null").count() == 0
     assert res.column_report.count() > 0
+
+
+def test_derived_export_has_several_files(spark, monkeypatch):
+    """A gzip export in one file is read by one task, whatever its rows."""
+    from formweave.plans import roundtrip, spec_exports
+    from formweave.plans.specs import biorepository_profile
+    from formweave.session import work_dir
+    folder = work_dir(spark, "orders-in")
+    spark.range(400).selectExpr("id as o_orderkey", "id % 90 as o_custkey", "'O' as o_orderstatus",
+                                "timestamp '1995-01-01 00:00:00' as o_orderdate").coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    profile = biorepository_profile()
+    width = len(spec_exports.columns_of(profile)) + 2 * len(spec_exports.boxes_of(profile))
+    monkeypatch.setattr(roundtrip, "FILE_CELLS", 100 * width)
+    _, dump_path, _ = roundtrip._spec_inputs(spark, folder, profile)
+    files = [p for p, n in roundtrip.list_files(spark, dump_path) if p.endswith(".gz") and n]
+    assert len(files) == 5
+    assert spark.read.option("header", True).csv(dump_path).count() == 400
+
+
+def test_wide_report_projects_what_it_explodes(spark):
+    """An expression inside a generator is interpreted for every row."""
+    from pyspark.sql import functions as F
+    from formweave.operators.validate import SUMMED_CELLS, _tall
+    df = spark.createDataFrame([(1, None), (2, 7)], "a int, b int")
+    cells = [(f"f{i}", "r", F.col("a") > i) for i in range(SUMMED_CELLS)] + [("b", "null", F.col("b").isNull())]
+    out = _tall(df, cells)
+    assert "Generate explode(cells" in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["field"]: r["n_bad"] for r in out.collect()}
+    assert got == {**{f"f{i}": 2 - min(i, 2) for i in range(SUMMED_CELLS)}, "b": 1}
