@@ -98,3 +98,18 @@ def test_a_profile_is_published_as_one_set(spark, tmp_dir):
     assert set(published) == set(result.tables) | {"_schema", "_report"}
     assert published["subject"].count() == result.tables["subject"].count() > 0
     assert result.column_report.where("rule = 'null_key'").first()["n_bad"] == 1
+
+
+def test_sorted_files_are_divided_by_rows(spark, monkeypatch):
+    """Few key values must not put the table into as few tasks."""
+    from formweave.plans import registry
+    from formweave.session import work_dir
+    import formweave.sources.sinks as sinks
+    folder = work_dir(spark, "orders-in")
+    spark.range(1000).selectExpr("id as o_orderkey", "id % 90 as o_custkey", "'O' as o_orderstatus").write.parquet(f"{folder}/orders.parquet")
+    monkeypatch.setattr(registry, "FILE_ROWS", 100, raising=False)
+    seen, write = [], sinks.write_tables
+    monkeypatch.setattr(sinks, "write_tables", lambda tables, *a, **k: seen.append(write(tables, *a, **k)) or seen[-1])
+    assert [tuple(r) for r in registry.q_sorted_files(spark, folder).collect()] == [(1000, 0)]
+    sizes = [r["count"] for r in spark.read.parquet(seen[0]["orders"]).selectExpr("_metadata.file_path f").groupBy("f").count().collect()]
+    assert max(sizes) < 150
