@@ -117,3 +117,15 @@ def test_wide_report_projects_what_it_explodes(spark):
     assert "Generate explode(cells" in out._jdf.queryExecution().optimizedPlan().toString()
     got = {r["field"]: r["n_bad"] for r in out.collect()}
     assert got == {**{f"f{i}": 2 - min(i, 2) for i in range(SUMMED_CELLS)}, "b": 1}
+
+
+def test_wide_plans_are_left_in_methods_that_the_jvm_compiles(spark):
+    from formweave.session import HUGE_METHOD, compile_wide_plans
+    name = "spark.sql.codegen.hugeMethodLimit"
+    try:
+        for before, after in (("65535", HUGE_METHOD), ("1000", 1000)):
+            spark.conf.set(name, before)
+            compile_wide_plans(spark)
+            assert int(spark.conf.get(name)) == after
+    finally:
+        spark.conf.unset(name)
