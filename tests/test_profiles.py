@@ -129,3 +129,29 @@ def test_wide_plans_are_left_in_methods_that_the_jvm_compiles(spark):
             assert int(spark.conf.get(name)) == after
     finally:
         spark.conf.unset(name)
+
+
+def test_staged_pieces_go_as_soon_as_they_have_been_used(spark, tmp_dir, monkeypatch):
+    """The staged export and the rows of a table are not kept beside the tables."""
+    import os
+    from formweave.plans import profiles
+    from formweave.plans.table_set import TABLE
+    folder = f"{tmp_dir}/staged"
+    monkeypatch.setattr(profiles, "work_dir", lambda spark, name: folder)
+    calls, write = [], profiles.write_tables
+
+    def watched(tables, directory, **options):
+        calls.append((set(tables), os.path.exists(f"{folder}/text"), os.path.exists(f"{folder}/tables")))
+        paths = write(tables, directory, **options)
+        left = os.listdir(f"{folder}/tables") if os.path.exists(f"{folder}/tables") else []
+        calls.append((set(tables), [n for n in left if n.startswith(f"{TABLE}=")]))
+        return paths
+
+    monkeypatch.setattr(profiles, "write_tables", watched)
+    profile = biorepository_profile()
+    res = run_profile(spark, profile, *make_inputs(profile, tmp_dir), out_dir=f"{tmp_dir}/out")
+    written = [c for c in calls if len(c) == 3 and len(c[0]) > 1]
+    assert written == [(set(res.tables), False, True)]         # the report was written from the staged text before
+    assert [c[1] for c in calls if len(c) == 2 and c[0] == set(res.tables)] == [[]]
+    assert not os.path.exists(folder) and list(res.paths)[-2:] == ["_schema", "_report"]
+    assert res.column_report.count() > 0 and all(df.count() >= 0 for df in res.tables.values())
