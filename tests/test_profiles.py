@@ -155,3 +155,21 @@ def test_staged_pieces_go_as_soon_as_they_have_been_used(spark, tmp_dir, monkeyp
     assert [c[1] for c in calls if len(c) == 2 and c[0] == set(res.tables)] == [[]]
     assert not os.path.exists(folder) and list(res.paths)[-2:] == ["_schema", "_report"]
     assert res.column_report.count() > 0 and all(df.count() >= 0 for df in res.tables.values())
+
+
+def test_the_derived_export_goes_when_it_is_staged(spark, monkeypatch):
+    """Its files are not kept beside the staged copy and the tables."""
+    import os
+    from formweave.plans import profiles, roundtrip
+    from formweave.session import work_dir
+    folder = work_dir(spark, "orders-in")
+    (spark.range(200).selectExpr("id as o_orderkey", "id % 90 as o_custkey", "'O' as o_orderstatus",
+                                 "timestamp '1995-01-01 00:00:00' as o_orderdate").write.parquet(f"{folder}/orders.parquet"))
+    inputs, seen, write = [], [], profiles.write_table_set
+    make = roundtrip._spec_inputs
+    monkeypatch.setattr(roundtrip, "_spec_inputs", lambda *a: inputs.append(make(*a)) or inputs[0])
+    here = lambda path: os.path.exists(path.removeprefix("file:"))
+    monkeypatch.setattr(profiles, "write_table_set", lambda *a, **k: seen.append([here(p) for p in inputs[0][1:]]) or write(*a, **k))
+    res = roundtrip.run_specs(spark, folder, biorepository_profile())
+    assert seen == [[False, True]]                             # the dictionary stays
+    assert res.tables["sample"].count() == 200 - 9 and res.validation.count() > 0 and res.column_report.count() > 0
